@@ -9,7 +9,7 @@ from tidewell.catalogue.tables import Tables
 from tidewell.functions.scalars import round_to
 from tidewell.operators import profiles, windows
 
-ROUND_SPENT = rnd("sum(CASE WHEN event_type = 'transaction' THEN coalesce(price, 0) ELSE 0 END)", 2)
+ROUND_SPENT = rnd("sum(CAST(CASE WHEN event_type = 'transaction' THEN coalesce(price, 0) ELSE 0 END AS DECIMAL(30,10)))", 2)
 CONVERSION = f"""CASE WHEN count(*) FILTER (WHERE event_type = 'view') = 0 THEN CAST(0 AS DOUBLE) ELSE
     {rnd("count(*) FILTER (WHERE event_type = 'transaction')::DOUBLE / count(*) FILTER (WHERE event_type = 'view')", 4)}
     END"""
@@ -28,7 +28,7 @@ FROM ix_events GROUP BY 1"""
 ITEM_SQL = f"""SELECT item_id, count(*) AS total_interactions, count(*) FILTER (WHERE event_type = 'view') AS view_count,
     count(*) FILTER (WHERE event_type = 'addtocart') AS cart_count,
     count(*) FILTER (WHERE event_type = 'transaction') AS purchase_count, count(DISTINCT user_id) AS unique_users,
-    coalesce({rnd('avg(nullif(price, 0))', 2)}, 0) AS avg_price, coalesce(min(nullif(price, 0)), 0) AS min_price,
+    coalesce({rnd('sum(CAST(nullif(price, 0) AS DECIMAL(30,10)))::DOUBLE / count(nullif(price, 0))', 2)}, 0) AS avg_price, coalesce(min(nullif(price, 0)), 0) AS min_price,
     coalesce(max(nullif(price, 0)), 0) AS max_price, {rnd(POPULARITY)} AS popularity_score
 FROM ix_events GROUP BY 1"""
 

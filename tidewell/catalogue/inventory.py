@@ -208,9 +208,11 @@ def _(t: Tables):
 
 
 # Least squares written out: x counts from 0, so the sums are exact whole numbers.
-FIT = f"""fit AS (SELECT {ITEM}, count(*) AS n, regr_slope(current_stock, i::DOUBLE) AS slope,
-      regr_intercept(current_stock, i::DOUBLE) AS intercept, max(current_stock) FILTER (WHERE age = 1) AS last,
+FIT = f"""sums AS (SELECT {ITEM}, count(*)::DOUBLE AS n, sum(current_stock) AS y, sum(i::DOUBLE * current_stock) AS xy,
+      sum(i)::DOUBLE AS x, sum(i * i)::DOUBLE AS xx, max(current_stock) FILTER (WHERE age = 1) AS last,
       max(current_stock) FILTER (WHERE i = 0) AS first, max("timestamp") AS last_ms FROM {{}} GROUP BY 1, 2),
+    line AS (SELECT *, (n * xy - x * y) / nullif(n * xx - x * x, 0) AS slope FROM sums),
+    fit AS (SELECT {ITEM}, n::BIGINT AS n, slope, (y - slope * x) / n AS intercept, last, first, last_ms FROM line),
     steps AS (SELECT {ITEM}, n, last, h - 1 AS step, (intercept + slope * (n - 1 + h)) AS a,
                      last + (last - first) / nullif(n - 1, 0) * h AS b
               FROM fit, range(1, 8) r(h) WHERE n >= 10),

@@ -1,15 +1,17 @@
 """Behaviour features per event over several trailing horizons.
 
 Time is counted in tumbling windows of five minutes. The frame of a horizon is its
-number of windows, ending with the one the event falls in. All counts are therefore
+number of windows, ending with the one the event falls in. All metrics are therefore
 functions of (user, window): events are summed up to that level with map-side
 combining, and what follows works on at most one row per user and window, however
 many events the user has.
 
-Distinct counts over trailing frames come from arrivals and departures. A value seen
-in window w, next seen in window v, is inside a frame of h windows from w to
-min(v, w + h) - 1. It adds one at w and takes one away at min(v, w + h); the running
-sum is the exact distinct count, and no sets are kept.
+Trailing sums come from arrivals and departures. What happens in window w counts for
+a horizon of h windows from w on, and no longer from w + h on. It is added at w and
+taken away at w + h; the running total is the value of the frame, in one pass, whatever
+the width of the frame. All totals are whole numbers, so they are exact. Distinct counts
+work the same way: a value seen in w and next in v is added at w and taken away at
+min(v, w + h). No sets are kept.
 """
 
 from __future__ import annotations
@@ -45,91 +47,128 @@ def cents(price: Column) -> Column:
     return F.floor(price * 100 + F.lit(0.5)).cast("bigint")
 
 
+SUMS = ["events", "transactions", "priced", "cents", "cents_squared", "quantity", "carts", "searches"]
+
+
 def _activity(events: DataFrame) -> DataFrame:
-    """One row per user and window, money in whole cents so that sums are exact."""
+    """One row per user and window, money in whole cents."""
     kind, money = F.col("event_type"), F.col("_cents")
+    square = money.cast("decimal(19,0)") * money.cast("decimal(19,0)")
     return events.groupBy("user_id", "_w").agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if(kind == "transaction").alias("transactions"),
         F.count(money).alias("priced"),
-        F.sum(money).alias("cents"),
-        F.sum(money.cast("decimal(19,0)") * money.cast("decimal(19,0)")).alias("cents_squared"),
-        F.min(money).alias("cents_min"),
-        F.max(money).alias("cents_max"),
-        F.sum("quantity").alias("quantity"),
+        F.coalesce(F.sum(money), F.lit(0)).alias("cents"),
+        F.coalesce(F.sum(square), F.lit(0).cast("decimal(38,0)")).cast("decimal(38,0)").alias("cents_squared"),
+        F.coalesce(F.sum("quantity"), F.lit(0)).alias("quantity"),
         F.count_if(kind == "addtocart").alias("carts"),
         F.count_if(kind == "search").alias("searches"),
+        F.min(money).alias("cents_min"),
+        F.max(money).alias("cents_max"),
         F.min("timestamp").alias("first_ms"),
     )
 
 
-def _distinct_deltas(events: DataFrame) -> DataFrame:
-    """Arrivals and departures per user and window, one column per attribute and horizon."""
+def _step(horizon: str, at: Column, sign: int) -> Column:
+    return F.struct(F.lit(horizon).alias("horizon"), at.alias("_w"), F.lit(sign).alias("sign"))
+
+
+def _sum_steps(activity: DataFrame) -> DataFrame:
+    """Arrival and departure of each window's sums, per horizon."""
+    steps = []
+    for horizon, width in HORIZONS.items():
+        steps.append(_step(horizon, F.col("_w"), 1))
+        if width is not None:
+            steps.append(_step(horizon, F.col("_w") + width, -1))
+    moved = activity.withColumn("_s", F.explode(F.array(*steps)))
+    return moved.select(
+        "user_id", "_s.horizon", "_s._w",
+        F.when(F.col("_s.sign") > 0, 1).otherwise(0).cast("bigint").alias("here"),
+        *[F.when(F.col("_s.sign") > 0, F.col(name)).otherwise(-F.col(name)).alias(name) for name in SUMS],
+    )
+
+
+def _distinct_steps(events: DataFrame) -> DataFrame:
+    """Arrival and departure of each distinct value, per horizon."""
     values = events.select(
         "user_id", "_w",
         F.explode(F.array(*[
             F.struct(F.lit(out).alias("attribute"), F.col(column).alias("value")) for out, column in DISTINCT.items()
         ])).alias("_v"),
     ).select("user_id", "_w", "_v.*").filter(F.col("value").isNotNull() & (F.col("value") != ""))
-    seen = values.distinct()
-    # At most one row per window for each value.
+    # At most one row per window for each value, and so are the rows of this window function.
     along = W.partitionBy("user_id", "attribute", "value").orderBy("_w")
-    seen = seen.withColumns({"_next": F.lead("_w").over(along), "_known": F.lag("_w").over(along).isNotNull()})
-
-    def change(at: Column, horizon: str, sign: int) -> Column:
-        return F.struct(at.alias("_w"), F.lit(horizon).alias("horizon"), F.lit(sign).alias("delta"))
-
-    changes = []
+    seen = values.distinct().withColumns({"_next": F.lead("_w").over(along), "_known": F.lag("_w").over(along).isNotNull()})
+    steps = []
     for horizon, width in HORIZONS.items():
         if width is None:
-            changes.append(F.when(~F.col("_known"), change(F.col("_w"), horizon, 1)))
+            steps.append(F.when(~F.col("_known"), _step(horizon, F.col("_w"), 1)))
         else:
-            leaves = F.least(F.coalesce(F.col("_next"), F.col("_w") + width), F.col("_w") + width)
-            changes += [change(F.col("_w"), horizon, 1), change(leaves, horizon, -1)]
-    moved = seen.select("user_id", "attribute", F.explode(F.filter(F.array(*changes), lambda c: c.isNotNull())).alias("_c"))
-    moved = moved.select("user_id", "attribute", "_c.*")
-    return moved.groupBy("user_id", "_w").agg(*[
-        F.sum(F.when((F.col("attribute") == out) & (F.col("horizon") == horizon), F.col("delta")))
-        .alias(f"{out}_{horizon}")
-        for horizon in HORIZONS for out in DISTINCT
+            leaves = F.least(F.coalesce("_next", F.col("_w") + width), F.col("_w") + width)
+            steps += [_step(horizon, F.col("_w"), 1), _step(horizon, leaves, -1)]
+    moved = seen.select("user_id", "attribute", F.explode(F.array_compact(F.array(*steps))).alias("_s"))
+    return moved.select(
+        "user_id", "_s.horizon", "_s._w",
+        *[F.when(F.col("attribute") == out, F.col("_s.sign")).otherwise(0).cast("bigint").alias(out) for out in DISTINCT],
+    )
+
+
+def _trailing_sums(activity: DataFrame, events: DataFrame) -> DataFrame:
+    """All sums and distinct counts per user and window, one column per metric and horizon."""
+    names = SUMS + list(DISTINCT)
+    steps = _sum_steps(activity).unionByName(_distinct_steps(events), allowMissingColumns=True)
+    net = steps.groupBy("user_id", "horizon", "_w").agg(*[F.sum(name).alias(name) for name in ["here", *names]])
+    running = W.partitionBy("user_id", "horizon").orderBy("_w").rowsBetween(W.unboundedPreceding, W.currentRow)
+    totals = net.select(
+        "user_id", "horizon", "_w", "here",
+        *[F.coalesce(F.sum(name).over(running), F.lit(0)).alias(name) for name in names],
+    ).filter("here > 0")
+    return totals.groupBy("user_id", "_w").agg(*[
+        F.max(F.when(F.col("horizon") == horizon, F.col(name))).alias(f"{name}_{horizon}")
+        for horizon in HORIZONS for name in names
     ])
 
 
+def _trailing_extremes(activity: DataFrame) -> DataFrame:
+    """Lowest and highest amount and first event per user, window and horizon."""
+    along = W.partitionBy("user_id").orderBy("_w")
+    columns = []
+    for horizon, width in HORIZONS.items():
+        start = W.unboundedPreceding if width is None else -(width - 1)
+        frame = along.rangeBetween(start, W.currentRow)
+        columns += [
+            F.min("cents_min").over(frame).alias(f"cents_min_{horizon}"),
+            F.max("cents_max").over(frame).alias(f"cents_max_{horizon}"),
+            F.min("first_ms").over(frame).alias(f"first_ms_{horizon}"),
+        ]
+    return activity.select("user_id", "_w", *columns)
+
+
 def window_features(events: DataFrame) -> DataFrame:
     """All window-level metrics per user and window."""
     placed = events.select(
         "user_id", "event_type", "item_id", "category", "quantity", "timestamp",
         _window_of().alias("_w"), cents(F.col("price")).alias("_cents"),
     )
-    merged = _activity(placed).join(_distinct_deltas(placed), ["user_id", "_w"], "full")
-    along = W.partitionBy("user_id").orderBy("_w")
-    running = along.rangeBetween(W.unboundedPreceding, W.currentRow)
+    activity = _activity(placed)
+    joined = _trailing_sums(activity, placed).join(_trailing_extremes(activity), ["user_id", "_w"])
 
     columns: dict[str, Column] = {}
-    for horizon, width in HORIZONS.items():
-        frame = running if width is None else along.rangeBetween(-(width - 1), W.currentRow)
-
-        def over(name: str, how=F.sum) -> Column:
-            return how(name).over(frame)
-
-        n, total, squares = over("priced"), over("cents").cast("double"), over("cents_squared").cast("double")
-        spread = F.greatest(F.lit(0.0), squares - total * total / F.nullif(n, F.lit(0)))
+    for horizon in HORIZONS:
+        n, total = F.col(f"priced_{horizon}"), F.col(f"cents_{horizon}").cast("double")
+        squares = F.col(f"cents_squared_{horizon}").cast("double")
+        some = F.nullif(n, F.lit(0))
+        spread = F.greatest(F.lit(0.0), squares - total * total / some)
         columns |= {
-            f"events_{horizon}": over("events"),
-            f"transactions_{horizon}": over("transactions"),
-            f"amount_sum_{horizon}": F.coalesce(total / 100, F.lit(0.0)),
-            f"amount_avg_{horizon}": F.coalesce(total / 100 / F.nullif(n, F.lit(0)), F.lit(0.0)),
-            f"amount_min_{horizon}": F.coalesce(over("cents_min", F.min) / 100, F.lit(0.0)),
-            f"amount_max_{horizon}": F.coalesce(over("cents_max", F.max) / 100, F.lit(0.0)),
+            f"amount_sum_{horizon}": total / 100,
+            f"amount_avg_{horizon}": F.coalesce(total / 100 / some, F.lit(0.0)),
+            f"amount_min_{horizon}": F.coalesce(F.col(f"cents_min_{horizon}") / 100, F.lit(0.0)),
+            f"amount_max_{horizon}": F.coalesce(F.col(f"cents_max_{horizon}") / 100, F.lit(0.0)),
             f"amount_std_{horizon}": F.when(n > 1, F.sqrt(spread / F.nullif(n - 1, F.lit(0))) / 100).otherwise(0.0),
-            f"quantity_avg_{horizon}": F.coalesce(over("quantity") / over("events"), F.lit(0.0)),
-            f"carts_{horizon}": over("carts"),
-            f"searches_{horizon}": over("searches"),
-            f"_first_{horizon}": over("first_ms", F.min),
-            **{f"{out}_{horizon}": F.sum(f"{out}_{horizon}").over(running) for out in DISTINCT},
+            f"quantity_avg_{horizon}": F.col(f"quantity_{horizon}") / F.col(f"events_{horizon}"),
         }
-    kept = merged.select("user_id", "_w", F.col("events").alias("_here"), *[c.alias(n) for n, c in columns.items()])
-    return kept.filter(F.col("_here").isNotNull()).drop("_here")
+    kept = [f"{name}_{h}" for h in HORIZONS for name in ["events", "transactions", *DISTINCT, "carts", "searches", "first_ms"]]
+    return joined.select("user_id", "_w", *kept, *[column.alias(name) for name, column in columns.items()])
 
 
 def event_features(events: DataFrame) -> DataFrame:
@@ -143,6 +182,6 @@ def event_features(events: DataFrame) -> DataFrame:
     joined = own.join(window_features(events), ["user_id", "_w"])
     for_event = {}
     for horizon in HORIZONS:
-        for_event[f"seconds_since_first_{horizon}"] = (F.col("timestamp") - F.col(f"_first_{horizon}")) / 1000
+        for_event[f"seconds_since_first_{horizon}"] = (F.col("timestamp") - F.col(f"first_ms_{horizon}")) / 1000
         for_event[f"amount_ratio_{horizon}"] = ratio(F.col("amount"), F.col(f"amount_avg_{horizon}"))
     return joined.withColumns(for_event).select("event_id", *feature_names())

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tidewell.functions import ordered
 from tidewell.functions.scalars import event_type_or_view, filled, nonzero, ratio, round_to
 
+# Money is summed as decimals: the sum, and what it rounds to, does not depend on the
+# order in which tasks finish.
+MONEY = "decimal(30,10)"
+
 # Distinct counts: exact by `count_distinct` in batch. Streams have no distinct
 # aggregates; there the distinct values of one short window are collected instead.
 
@@ -32,7 +36,7 @@ def popularity(views: Column, carts: Column, purchases: Column) -> Column:
 
 def user_features(events: DataFrame) -> DataFrame:
     """Activity, spending and conversion of each user."""
-    spent = F.sum(F.when(_of_type("transaction"), F.coalesce(F.col("price"), F.lit(0.0))).otherwise(0.0))
+    spent = F.sum(F.when(_of_type("transaction"), F.coalesce(F.col("price"), F.lit(0.0))).otherwise(0.0).cast(MONEY))
     counted = events.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("total_interactions"),
         _count("view").alias("view_count"),
@@ -64,7 +68,7 @@ def item_features(events: DataFrame) -> DataFrame:
         carts.alias("cart_count"),
         purchases.alias("purchase_count"),
         F.count_distinct(filled(F.col("user_id"))).alias("unique_users"),
-        F.coalesce(round_to(F.sum(price) / F.nullif(F.count(price), F.lit(0)), 2), F.lit(0.0)).alias("avg_price"),
+        F.coalesce(round_to(F.sum(price.cast(MONEY)).cast("double") / F.nullif(F.count(price), F.lit(0)), 2), F.lit(0.0)).alias("avg_price"),
         F.coalesce(F.min(price), F.lit(0.0)).alias("min_price"),
         F.coalesce(F.max(price), F.lit(0.0)).alias("max_price"),
         popularity(views, carts, purchases).alias("popularity_score"),

@@ -10,6 +10,9 @@ that touched the whole catalog would dominate the job. Two exact facts avoid tha
   users of either item. So these last, heaviest users ("tail") never have to
   propose a pair. They only add to pairs that lighter users proposed, at most
   2 * (min_common - 1) lookups per pair.
+
+The second costs extra joins, so it applies to users above `heavy_degree` items only,
+and not at all when there are none. Lighter users propose all their pairs directly.
 """
 
 from __future__ import annotations
@@ -46,7 +49,7 @@ def item_norms(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy("item_id").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm"))
 
 
-def pair_overlaps(vectors: DataFrame, min_common: int = 3) -> DataFrame:
+def pair_overlaps(vectors: DataFrame, min_common: int = 3, heavy_degree: int = 2000) -> DataFrame:
     """Dot product and shared users of the item pairs with at least `min_common` shared users.
 
     `vectors` has one row per item and user. Each pair comes once, `item_a` < `item_b`.
@@ -55,15 +58,15 @@ def pair_overlaps(vectors: DataFrame, min_common: int = 3) -> DataFrame:
     supported = vectors.groupBy("item_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_common)
     cells = vectors.join(supported.select("item_id"), "item_id", "left_semi")
     degrees = cells.groupBy("user_id").agg(F.count(F.lit(1)).alias("degree"))
-    cells = write_once(cells.join(degrees, "user_id"), "rating-cells")
+    cells = write_once(cells.join(degrees.filter("degree > 1"), "user_id"), "rating-cells", spread=True)
 
-    heaviest = [F.col("degree").desc(), F.col("user_id").desc()]
-    tail = write_once(
-        ordered.top(cells, ["item_id"], heaviest, spare).select("item_id", "user_id", "rating"), "rating-tail"
-    )
-    head = write_once(
-        cells.join(tail, ["item_id", "user_id"], "left_anti").select("item_id", "user_id", "rating"), "rating-head"
-    )
+    with_tail = spare > 0 and not cells.filter(F.col("degree") > heavy_degree).isEmpty()
+    head = cells.select("item_id", "user_id", "rating")
+    if with_tail:
+        heaviest = [F.col("degree").desc(), F.col("user_id").desc()]
+        tail = ordered.top(cells, ["item_id"], heaviest, spare).filter(F.col("degree") > heavy_degree)
+        tail = write_once(tail.select("item_id", "user_id", "rating"), "rating-tail")
+        head = write_once(head.join(tail, ["item_id", "user_id"], "left_anti"), "rating-head", spread=True)
 
     def side(df: DataFrame, which: str) -> DataFrame:
         return df.select(
@@ -76,7 +79,7 @@ def pair_overlaps(vectors: DataFrame, min_common: int = 3) -> DataFrame:
         .filter(F.col("item_a") < F.col("item_b"))
         .groupBy("item_a", "item_b").agg(dot, F.count(F.lit(1)).alias("common"))
     )
-    if spare == 0:
+    if not with_tail:
         return proposed.filter(F.col("common") >= min_common)
     proposed = write_once(proposed, "rating-pairs")
 

@@ -113,17 +113,31 @@ def alerts(history: DataFrame, config: StockConfig = StockConfig()) -> DataFrame
 
 
 def fit_hybrid(history: DataFrame) -> DataFrame:
-    """Coefficients of each series: straight line by least squares, last level and mean step."""
+    """Coefficients of each series: straight line by least squares, last level and mean step.
+
+    The line comes from plain sums. With whole-number stock levels these are exact, so
+    the coefficients do not depend on how the rows were split over tasks.
+    """
     position = F.struct(*[F.col(name) for name in S.ORDER])
-    place = F.col("i").cast("double")
-    return S.numbered(history).groupBy(*S.KEYS).agg(
+    stock, place = F.col("current_stock"), F.col("i").cast("double")
+    sums = S.numbered(history).groupBy(*S.KEYS).agg(
         F.count(F.lit(1)).alias("n"),
-        F.regr_slope("current_stock", place).alias("slope"),
-        F.regr_intercept("current_stock", place).alias("intercept"),
+        F.sum(stock).alias("_y"),
+        F.sum(place * stock).alias("_xy"),
+        F.sum(place).alias("_x"),
+        F.sum(place * place).alias("_xx"),
         F.max_by("current_stock", position).alias("last"),
         F.min_by("current_stock", position).alias("first"),
         F.max("timestamp").alias("last_ms"),
-    ).withColumn("drift", (F.col("last") - F.col("first")) / F.nullif(F.col("n") - 1, F.lit(0)))
+    )
+    n, x, y = F.col("n").cast("double"), F.col("_x"), F.col("_y")
+    slope = (n * F.col("_xy") - x * y) / F.nullif(n * F.col("_xx") - x * x, F.lit(0.0))
+    return sums.withColumn("slope", slope).select(
+        *S.KEYS, "n", "slope",
+        ((y - F.col("slope") * x) / n).alias("intercept"),
+        "last", "first", "last_ms",
+        ((F.col("last") - F.col("first")) / F.nullif(F.col("n") - 1, F.lit(0))).alias("drift"),
+    )
 
 
 def predict_hybrid(fitted: DataFrame, config: ForecastConfig = ForecastConfig()) -> DataFrame:

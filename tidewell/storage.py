@@ -34,12 +34,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidewell/{name}-{uuid.uuid4().hex}"
 
 
-def write_once(df: DataFrame, name: str) -> DataFrame:
+def write_once(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     For results that several later branches use: it is computed once, and a lost
-    executor costs a re-read instead of the whole lineage.
+    executor costs a re-read instead of the whole lineage. `spread` divides the rows
+    evenly over all shuffle partitions: for few rows that each cause much work.
     """
     path = new_path(df.sparkSession, name)
+    if spread:
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
