@@ -162,6 +162,40 @@ def hybrid(history: DataFrame, config: ForecastConfig = ForecastConfig()) -> Dat
     return predict_hybrid(fit_hybrid(history), config)
 
 
+def trend_sums(history: DataFrame) -> DataFrame:
+    """Sums for a line through level and day, and the latest level.
+
+    Plain aggregates: the same function serves tables and streams, and rows may come
+    in any order.
+    """
+    position = F.struct(*[F.col(name) for name in S.ORDER])
+    day = F.floor(F.col("timestamp") / F.lit(86400000)).cast("double")
+    level = F.col("current_stock")
+    return history.groupBy(*S.KEYS).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(day).alias("x"),
+        F.sum(day * day).alias("xx"),
+        F.sum(level).alias("y"),
+        F.sum(day * level).alias("xy"),
+        F.max("timestamp").alias("last_ms"),
+        F.max_by("current_stock", position).alias("current_stock"),
+    )
+
+
+def project_trend(sums: DataFrame, config: ForecastConfig = ForecastConfig()) -> DataFrame:
+    """The latest level carried on along the line, a value per day; empty for short series."""
+    n = F.col("n").cast("double")
+    slope = (n * F.col("xy") - F.col("x") * F.col("y")) / F.nullif(
+        n * F.col("xx") - F.col("x") * F.col("x"), F.lit(0.0)
+    )
+    days = F.sequence(F.lit(1), F.lit(config.periods))
+    levels = F.transform(days, lambda d: F.col("current_stock") + F.coalesce("slope", F.lit(0.0)) * d)
+    return sums.withColumn("slope", slope).select(
+        *S.KEYS, "n", "current_stock", "last_ms", "slope",
+        F.when(F.col("n") >= config.min_points, levels).otherwise(F.array().cast("array<double>")).alias("forecast"),
+    ).withColumn("runout_days", runout_index(F.col("forecast")))
+
+
 def full_alerts(forecasts: DataFrame, config: StockConfig = StockConfig()) -> DataFrame:
     """Alert for low stock, or for a runout expected within the lead time."""
     soon = F.coalesce(F.col("runout_days") < config.lead_time_days, F.lit(False))
