@@ -330,7 +330,7 @@ def _(t: Tables):
     return metrics.ingest_rate(records)
 
 
-@query("business_metrics", """
+BUSINESS_SQL = """
 SELECT strftime(make_timestamp("timestamp" * 1000), '%Y-%m-%d') AS metric_date,
        floor(sum(CASE WHEN event_type = 'transaction' THEN price * quantity ELSE 0 END)::DOUBLE * 1e2 + 0.5) / 1e2 AS revenue,
        count(*) FILTER (WHERE event_type = 'transaction') AS orders, count(*) FILTER (WHERE event_type = 'view') AS views,
@@ -338,7 +338,10 @@ SELECT strftime(make_timestamp("timestamp" * 1000), '%Y-%m-%d') AS metric_date,
             ELSE floor(count(*) FILTER (WHERE event_type = 'transaction')::DOUBLE
                        / count(*) FILTER (WHERE event_type = 'view') * 1e4 + 0.5) / 1e4 END::DOUBLE AS conversion_rate
 FROM ix_events GROUP BY 1
-""")
+"""
+
+
+@query("business_metrics", BUSINESS_SQL)
 def _(t: Tables):
     return metrics.business_metrics(t.events)
 

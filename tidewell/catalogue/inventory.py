@@ -60,6 +60,11 @@ def _(t: Tables):
     return rounded(found, "avg_velocity")
 
 
+@query("ts_max_velocity", f"WITH {CHANGES} SELECT {ITEM}, mv AS max_velocity FROM one WHERE n >= 2")
+def _(t: Tables):
+    return series.change_features(t.stock).filter("n >= 2").select(*series.KEYS, "max_velocity")
+
+
 @query("ts_volatility", f"WITH {CHANGES} SELECT {ITEM}, {rnd('vol')} AS volatility FROM one WHERE n >= 2")
 def _(t: Tables):
     return rounded(series.change_features(t.stock).filter("n >= 2").select(*series.KEYS, "volatility"), "volatility")
@@ -71,6 +76,11 @@ def _(t: Tables):
     return rounded(found, "std_dev", "cv")
 
 
+@query("ts_cv", f"WITH {CHANGES} SELECT {ITEM}, {rnd(CV)} AS cv FROM one WHERE n >= 3")
+def _(t: Tables):
+    return rounded(series.change_features(t.stock).filter("n >= 3").select(*series.KEYS, "cv"), "cv")
+
+
 ALL_13 = f"""{CHANGES}, h AS ({HIST7}),
     feats AS (SELECT {ITEM}, n, {rnd(TREND)} AS trend, CAST({TREND} > 0 AS BIGINT) AS is_increasing, l - b AS velocity,
       {rnd('av')} AS avg_velocity, mv AS max_velocity, {rnd('vol')} AS volatility,

@@ -75,12 +75,15 @@ WEIGHT = """CASE event_type WHEN 'transaction' THEN 1.0 WHEN 'addtocart' THEN 0.
             WHEN 'search' THEN 0.2 ELSE 0.1 END"""
 
 
+def fixed_sql(term: str) -> str:
+    """SQL text of `fixed_sum`."""
+    return f"CAST(sum(CAST(floor(({term})::DOUBLE * 1e9 + 0.5) AS BIGINT)) AS DOUBLE) / 1e9"
+
+
 def scored_sql(weight: str, history: str, sims: str, keys: str = "user_id") -> str:
     """CTEs: `scored` has all candidates, `fresh` those not seen yet."""
-    return f"""hist AS (SELECT {keys}, item_id, sum(CAST({weight} AS DECIMAL(20,12))) AS weight
-                        FROM {history} GROUP BY ALL),
-     scored AS (SELECT {keys}, similar_item AS item_id,
-                       CAST(sum(CAST(CAST(weight AS DOUBLE) * sim AS DECIMAL(20,12))) AS DOUBLE) AS score
+    return f"""hist AS (SELECT {keys}, item_id, {fixed_sql(weight)} AS weight FROM {history} GROUP BY ALL),
+     scored AS (SELECT {keys}, similar_item AS item_id, {fixed_sql('weight * sim')} AS score
                 FROM hist JOIN {sims} USING (item_id) GROUP BY ALL),
      fresh AS (SELECT s.* FROM scored s WHERE NOT EXISTS
                (SELECT 1 FROM hist h WHERE h.user_id = s.user_id AND h.item_id = s.item_id))"""
@@ -190,7 +193,7 @@ SESSION_CTES = """s AS (
 
 @query("process_session", f"""
 WITH {SESSION_CTES},
-  hist AS (SELECT f.session_id, s.item_id, sum(CAST({WEIGHT} AS DECIMAL(20,12))) AS weight
+  hist AS (SELECT f.session_id, s.item_id, {fixed_sql(WEIGHT)} AS weight
            FROM s JOIN first f USING (session_id) WHERE f.user_id IS NOT NULL AND f.session_length >= 3 GROUP BY ALL),
   fresh AS (SELECT session_id, similar_item FROM hist JOIN sims USING (item_id)
             WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.session_id = hist.session_id AND h.item_id = similar_item)

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell import config, schemas
+from tidewell.catalogue.events import BUSINESS_SQL
 from tidewell.catalogue.features import SESSION_SQL, TUMBLING
 from tidewell.catalogue.inventory import ITEM
-from tidewell.catalogue.recommendations import WEIGHT
-from tidewell.catalogue.registry import ORACLES, query, rnd
+from tidewell.catalogue.recommendations import WEIGHT, fixed_sql
+from tidewell.catalogue.registry import query, rnd
 from tidewell.catalogue.tables import Tables
 from tidewell.functions.scalars import round_to
 from tidewell.operators import metrics, similarity, windows
@@ -197,10 +198,10 @@ WITH e AS (SELECT * FROM ix_events WHERE event_type IN ('view', 'addtocart', 'tr
         FROM (SELECT *, coalesce("timestamp" - lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp")
                                  > 1800000, true) AS opens FROM e)),
   sizes AS (SELECT session_id, user_id, count(*) AS n FROM s GROUP BY 1, 2),
-  hist AS (SELECT session_id, user_id, item_id, sum(CAST({WEIGHT} AS DECIMAL(20,12))) AS weight
+  hist AS (SELECT session_id, user_id, item_id, {fixed_sql(WEIGHT)} AS weight
            FROM s JOIN sizes USING (session_id, user_id) WHERE n >= 3 GROUP BY ALL),
   scored AS (SELECT session_id, user_id, similar_item AS item_id,
-                    CAST(sum(CAST(CAST(weight AS DOUBLE) * sim AS DECIMAL(20,12))) AS DOUBLE) AS score
+                    {fixed_sql('weight * sim')} AS score
              FROM hist JOIN sims USING (item_id) GROUP BY ALL),
   fresh AS (SELECT * FROM scored WHERE (session_id, item_id) NOT IN (SELECT (session_id, item_id) FROM hist)),
   ranked AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY score DESC, item_id) AS rank FROM fresh)
@@ -263,7 +264,7 @@ def _(t: Tables):
     return sinks.latest_per_key(table, ["user_id"]).drop("batch_id")
 
 
-@query("unified_query", ORACLES["business_metrics"])
+@query("unified_query", BUSINESS_SQL)
 def _(t: Tables):
     # Half of the time is history, half came by stream; one function reads both.
     middle = t.events.agg(F.percentile_approx("timestamp", 0.5)).scalar()

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tidewell import config
 
-# Terms of a ranked sum are fixed-point, so the sum does not depend on task order.
-TERM = "decimal(20,12)"
+# Terms of a ranked sum are whole numbers of this part of one, so that the sum does not
+# depend on the order of tasks. Integers, because wide decimals leave generated code's
+# fast path.
+UNIT = 1e9
 
 
 def lookup(key: Column, table: dict, default=None) -> Column:
@@ -86,8 +88,9 @@ def ratio(part: Column, whole: Column, default: float = 0.0) -> Column:
     )
 
 
-def fixed(term: Column) -> Column:
-    return term.cast(TERM)
+def fixed_sum(term: Column) -> Column:
+    """The sum of `term` to nine decimals, the same for any order of the rows."""
+    return F.sum(F.floor(term * F.lit(UNIT) + F.lit(0.5)).cast("bigint")).cast("double") / F.lit(UNIT)
 
 
 def to_millis(timestamp: Column) -> Column:

@@ -7,32 +7,46 @@ from pyspark.sql import functions as F
 
 from tidewell.config import RecommendConfig, SimilarityConfig
 from tidewell.functions import ordered
-from tidewell.functions.scalars import fixed, has_text, interaction_weight, round_to
+from tidewell.functions.scalars import fixed_sum, has_text, interaction_weight, round_to
 from tidewell.operators import similarity
 
 
-def candidates(history: DataFrame, sims: DataFrame, weight: Column, keys: list[str]) -> DataFrame:
-    """Score of each similar item per user (or session): summed weight x similarity.
-
-    The history shrinks to one row per key and item first; a repeated item weighs as
-    often as it occurs.
-    """
-    weighted = history.filter(has_text(F.col("item_id"))).groupBy(*keys, "item_id").agg(
-        F.sum(fixed(weight)).alias("weight")
+def _weights(history: DataFrame, weight: Column, keys: list[str]) -> DataFrame:
+    """One row per key and item; a repeated item weighs as often as it occurs."""
+    return history.filter(has_text(F.col("item_id"))).groupBy(*keys, "item_id").agg(
+        fixed_sum(weight).alias("weight")
     )
-    near = sims.select("item_id", F.col("similar_item"), "sim")
-    return (
-        weighted.join(near, "item_id")
-        .groupBy(*keys, F.col("similar_item").alias("item_id"))
-        .agg(F.sum(fixed(F.col("weight").cast("double") * F.col("sim"))).cast("double").alias("score"))
+
+
+def _terms(weights: DataFrame, sims: DataFrame, keys: list[str]) -> DataFrame:
+    near = sims.select("item_id", "similar_item", "sim")
+    return weights.join(near, "item_id").select(
+        *keys, F.col("similar_item").alias("item_id"), (F.col("weight") * F.col("sim")).alias("term")
     )
 
 
+def candidates(history: DataFrame, sims: DataFrame, weight: Column, keys: list[str]) -> DataFrame:
+    """Score of each similar item per user (or session): summed weight x similarity."""
+    terms = _terms(_weights(history, weight, keys), sims, keys)
+    return terms.groupBy(*keys, "item_id").agg(fixed_sum(F.col("term")).alias("score"))
+
+
 def exclude_seen(scored: DataFrame, history: DataFrame, keys: list[str]) -> DataFrame:
     """Candidates the user has not interacted with yet."""
     return scored.join(history.select(*keys, "item_id").distinct(), [*keys, "item_id"], "left_anti")
 
 
+def fresh_candidates(history: DataFrame, sims: DataFrame, weight: Column, keys: list[str]) -> DataFrame:
+    """Both at once: what was seen takes part in the aggregation as a mark, which saves a join."""
+    weights = _weights(history, weight, keys)
+    seen = weights.select(*keys, "item_id", F.lit(None).cast("double").alias("term"))
+    marked = _terms(weights, sims, keys).unionByName(seen)
+    summed = marked.groupBy(*keys, "item_id").agg(
+        fixed_sum(F.col("term")).alias("score"), F.bool_or(F.col("term").isNull()).alias("_seen")
+    )
+    return summed.filter(~F.col("_seen")).drop("_seen")
+
+
 def _ranked(scored: DataFrame, keys: list[str], top_n: int) -> DataFrame:
     return ordered.top(scored, keys, [F.col("score").desc(), F.col("item_id")], top_n).select(
         *keys, "item_id", round_to(F.col("score"), 4).alias("score"), "rank"
@@ -42,8 +56,7 @@ def _ranked(scored: DataFrame, keys: list[str], top_n: int) -> DataFrame:
 def recommend_cf(history: DataFrame, sims: DataFrame, top_n: int = 10, neighbors: int | None = None) -> DataFrame:
     """Items nearest to a user's history, every occurrence counted."""
     k = neighbors or SimilarityConfig().k_neighbors
-    scored = candidates(history, sims.filter(F.col("rank") <= k), F.lit(1.0), ["user_id"])
-    fresh = exclude_seen(scored, history, ["user_id"])
+    fresh = fresh_candidates(history, sims.filter(F.col("rank") <= k), F.lit(1.0), ["user_id"])
     return _ranked(fresh, ["user_id"], top_n).withColumn("source", F.lit("cf"))
 
 
@@ -83,8 +96,8 @@ def recommend_weighted(
     enough = history.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(
         F.col("_n") >= config.min_interactions
     )
-    scored = candidates(history, sims, interaction_weight(F.col("event_type")), keys)
-    fresh = exclude_seen(scored, history, keys).filter(F.col("score") > 0)
+    weight = interaction_weight(F.col("event_type"))
+    fresh = fresh_candidates(history, sims, weight, keys).filter(F.col("score") > 0)
     return _ranked(fresh.join(enough.select(*keys), keys, "left_semi"), keys, config.top_k)
 
 
