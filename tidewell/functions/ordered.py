@@ -1,10 +1,11 @@
-"""Ordered computations over keys that may be very large.
+"""Ordered computations over keys some of which may be very large.
 
 A window over one key runs in one task. A key holding a third of the rows would
-keep that task busy long after all others are done. Here a key is cut into chunks
-that follow its order (hours, days): the row-level window runs per (key, chunk),
-each chunk is summed up to one row, and what must carry over from earlier chunks
-is computed on those few rows. Results equal the plain window's.
+keep that task busy long after all others are done. Keys are therefore counted first,
+which reads the key columns only. All but the largest get a plain window. The largest
+are cut into chunks that follow their order (hours, days): the row-level window runs
+per (key, chunk), each chunk is summed up to one row, and what must carry over from
+earlier chunks is computed on those few rows. Both give the same result.
 """
 
 from __future__ import annotations
@@ -15,6 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewell.storage import write_once
+
+# What one task windows over without trouble.
+MAX_ROWS_PER_KEY = 5_000_000
+MAX_BROADCAST_KEYS = 1_000_000
+
 HOUR_MS = 3600 * 1000
 DAY_MS = 24 * HOUR_MS
 
@@ -23,6 +30,24 @@ def time_chunk(millis: Column, width_ms: int = HOUR_MS) -> Column:
     return F.floor(millis / F.lit(width_ms)).cast("bigint")
 
 
+def _large_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | None:
+    """Keys with more than `max_rows` rows, or None when there are none."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*keys)
+    if counts.isEmpty():
+        return None
+    large = write_once(counts, "large-keys")
+    return F.broadcast(large) if large.count() <= MAX_BROADCAST_KEYS else large
+
+
+def _by_size(df: DataFrame, keys: Sequence[str], max_rows: int, plain, chunked) -> DataFrame:
+    """`plain` for the rows of ordinary keys, `chunked` for those of large ones."""
+    large = _large_keys(df, keys, max_rows)
+    if large is None:
+        return plain(df)
+    keys = list(keys)
+    return plain(df.join(large, keys, "left_anti")).unionByName(chunked(df.join(large, keys, "left_semi")))
+
+
 def scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -31,6 +56,7 @@ def scan(
     previous: dict[str, str] | None = None,
     total: dict[str, Column] | None = None,
     index: str | None = None,
+    max_rows: int = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
     """Add ordered columns per key.
 
@@ -39,10 +65,30 @@ def scan(
     total: output -> expression summed from the first row up to this one
     index: output for the row's position, from 0
     """
-    previous = previous or {}
+    previous = dict(previous or {})
     totals = dict(total or {})
     if index:
         totals[index] = F.lit(1).cast("bigint")
+
+    def plain(rows: DataFrame) -> DataFrame:
+        along = W.partitionBy(*keys).orderBy(*order)
+        running = along.rowsBetween(W.unboundedPreceding, W.currentRow)
+        sums = {out: F.sum(expr).over(running) for out, expr in totals.items()}
+        if index:
+            sums[index] = sums[index] - 1
+        return rows.select(
+            "*",
+            *[F.lag(source).over(along).alias(out) for out, source in previous.items()],
+            *[column.alias(out) for out, column in sums.items()],
+        )
+
+    def chunked(rows: DataFrame) -> DataFrame:
+        return _chunked_scan(rows, keys, chunk, order, previous, totals, index)
+
+    return _by_size(df, keys, max_rows, plain, chunked)
+
+
+def _chunked_scan(df, keys, chunk, order, previous, totals, index) -> DataFrame:
     position = F.struct(*[F.col(name) for name in order])
     rows = df.withColumn("_chunk", chunk)
 
@@ -85,29 +131,40 @@ def sessions(
     gap_ms: int,
     out: str = "session_start",
     chunk_ms: int = HOUR_MS,
+    max_rows: int = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
     """Mark every row with the first instant of its session.
 
     A session ends when nothing follows within `gap_ms`; a row exactly `gap_ms`
-    later still belongs to it. Sessions are found inside each chunk first, and only
-    those, at most chunk/gap + 1 of them, are joined up along the key.
+    later still belongs to it.
     """
-    rows = df.withColumn("_chunk", time_chunk(F.col(millis), chunk_ms))
-    inside = W.partitionBy(*keys, "_chunk").orderBy(millis)
-    running = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    rows = rows.withColumn("_prev", F.lag(millis).over(inside))
+
+    def plain(rows: DataFrame) -> DataFrame:
+        return _opened(rows, keys, millis, gap_ms, out).drop("_prev")
+
+    def chunked(rows: DataFrame) -> DataFrame:
+        return _chunked_sessions(rows, keys, millis, gap_ms, out, chunk_ms)
+
+    return _by_size(df, keys, max_rows, plain, chunked)
+
+
+def _opened(rows: DataFrame, keys, millis: str, gap_ms: int, out: str, end: str | None = None) -> DataFrame:
+    """Add the instant since which no gap was found; `end` is where the row before ended."""
+    along = W.partitionBy(*keys).orderBy(millis)
+    running = along.rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.withColumn("_prev", F.lag(end or millis).over(along))
     opens = F.col("_prev").isNull() | (F.col(millis) - F.col("_prev") > gap_ms)
-    rows = rows.withColumn("_open", F.max(F.when(opens, F.col(millis))).over(running))
+    return rows.withColumn(out, F.max(F.when(opens, F.col(millis))).over(running))
+
 
+def _chunked_sessions(df, keys, millis, gap_ms, out, chunk_ms) -> DataFrame:
+    """Sessions are found inside each chunk first. Only those, at most chunk/gap + 1 of
+    them per chunk, are joined up along the key."""
+    rows = df.withColumn("_chunk", time_chunk(F.col(millis), chunk_ms))
+    rows = _opened(rows, [*keys, "_chunk"], millis, gap_ms, "_open").drop("_prev")
     local = rows.groupBy(*keys, "_chunk", "_open").agg(F.max(millis).alias("_end"))
-    along = W.partitionBy(*keys).orderBy("_open")
-    local = local.withColumn("_before", F.lag("_end").over(along))
-    starts = F.col("_before").isNull() | (F.col("_open") - F.col("_before") > gap_ms)
-    local = local.withColumn(
-        out,
-        F.max(F.when(starts, F.col("_open"))).over(along.rowsBetween(W.unboundedPreceding, W.currentRow)),
-    )
-    return rows.join(local.select(*keys, "_chunk", "_open", out), [*keys, "_chunk", "_open"]).select(
+    merged = _opened(local, keys, "_open", gap_ms, out, end="_end")
+    return rows.join(merged.select(*keys, "_chunk", "_open", out), [*keys, "_chunk", "_open"]).select(
         *df.columns, out
     )
 

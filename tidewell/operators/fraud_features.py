@@ -10,8 +10,8 @@ Trailing sums come from arrivals and departures. What happens in window w counts
 a horizon of h windows from w on, and no longer from w + h on. It is added at w and
 taken away at w + h; the running total is the value of the frame, in one pass, whatever
 the width of the frame. All totals are whole numbers, so they are exact. Distinct counts
-work the same way: a value seen in w and next in v is added at w and taken away at
-min(v, w + h). No sets are kept.
+work the same way: a value is added at w unless it was seen within the h windows before,
+and taken away at w + h unless it is seen again by then. No sets are kept.
 """
 
 from __future__ import annotations
@@ -47,19 +47,22 @@ def cents(price: Column) -> Column:
     return F.floor(price * 100 + F.lit(0.5)).cast("bigint")
 
 
-SUMS = ["events", "transactions", "priced", "cents", "cents_squared", "quantity", "carts", "searches"]
+SPLIT = 1_000_000_000
+SUMS = ["events", "transactions", "priced", "cents", "squares_low", "squares_high", "quantity", "carts", "searches"]
 
 
 def _activity(events: DataFrame) -> DataFrame:
     """One row per user and window, money in whole cents."""
     kind, money = F.col("event_type"), F.col("_cents")
-    square = money.cast("decimal(19,0)") * money.cast("decimal(19,0)")
+    square = money * money
     return events.groupBy("user_id", "_w").agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if(kind == "transaction").alias("transactions"),
         F.count(money).alias("priced"),
         F.coalesce(F.sum(money), F.lit(0)).alias("cents"),
-        F.coalesce(F.sum(square), F.lit(0).cast("decimal(38,0)")).cast("decimal(38,0)").alias("cents_squared"),
+        # In two parts: the sum of whole squares could exceed a long for a very busy user.
+        F.coalesce(F.sum(square % SPLIT), F.lit(0)).alias("squares_low"),
+        F.coalesce(F.sum(F.floor(square / SPLIT)), F.lit(0)).alias("squares_high"),
         F.coalesce(F.sum("quantity"), F.lit(0)).alias("quantity"),
         F.count_if(kind == "addtocart").alias("carts"),
         F.count_if(kind == "search").alias("searches"),
@@ -69,17 +72,18 @@ def _activity(events: DataFrame) -> DataFrame:
     )
 
 
-def _step(horizon: str, at: Column, sign: int) -> Column:
-    return F.struct(F.lit(horizon).alias("horizon"), at.alias("_w"), F.lit(sign).alias("sign"))
+def _step(place: int, at: Column, sign: int) -> Column:
+    """A change at window `at` for the horizon at that place of the list."""
+    return F.struct(F.lit(place).alias("horizon"), at.alias("_w"), F.lit(sign).alias("sign"))
 
 
 def _sum_steps(activity: DataFrame) -> DataFrame:
     """Arrival and departure of each window's sums, per horizon."""
     steps = []
-    for horizon, width in HORIZONS.items():
-        steps.append(_step(horizon, F.col("_w"), 1))
+    for place, width in enumerate(HORIZONS.values()):
+        steps.append(_step(place, F.col("_w"), 1))
         if width is not None:
-            steps.append(_step(horizon, F.col("_w") + width, -1))
+            steps.append(_step(place, F.col("_w") + width, -1))
     moved = activity.withColumn("_s", F.explode(F.array(*steps)))
     return moved.select(
         "user_id", "_s.horizon", "_s._w",
@@ -98,14 +102,15 @@ def _distinct_steps(events: DataFrame) -> DataFrame:
     ).select("user_id", "_w", "_v.*").filter(F.col("value").isNotNull() & (F.col("value") != ""))
     # At most one row per window for each value, and so are the rows of this window function.
     along = W.partitionBy("user_id", "attribute", "value").orderBy("_w")
-    seen = values.distinct().withColumns({"_next": F.lead("_w").over(along), "_known": F.lag("_w").over(along).isNotNull()})
+    seen = values.distinct().withColumns({"_next": F.lead("_w").over(along), "_before": F.lag("_w").over(along)})
+    since, until = F.col("_w") - F.col("_before"), F.col("_next") - F.col("_w")
     steps = []
-    for horizon, width in HORIZONS.items():
+    for place, width in enumerate(HORIZONS.values()):
         if width is None:
-            steps.append(F.when(~F.col("_known"), _step(horizon, F.col("_w"), 1)))
+            steps.append(F.when(since.isNull(), _step(place, F.col("_w"), 1)))
         else:
-            leaves = F.least(F.coalesce("_next", F.col("_w") + width), F.col("_w") + width)
-            steps += [_step(horizon, F.col("_w"), 1), _step(horizon, leaves, -1)]
+            steps.append(F.when(since.isNull() | (since >= width), _step(place, F.col("_w"), 1)))
+            steps.append(F.when(until.isNull() | (until >= width), _step(place, F.col("_w") + width, -1)))
     moved = seen.select("user_id", "attribute", F.explode(F.array_compact(F.array(*steps))).alias("_s"))
     return moved.select(
         "user_id", "_s.horizon", "_s._w",
@@ -124,8 +129,8 @@ def _trailing_sums(activity: DataFrame, events: DataFrame) -> DataFrame:
         *[F.coalesce(F.sum(name).over(running), F.lit(0)).alias(name) for name in names],
     ).filter("here > 0")
     return totals.groupBy("user_id", "_w").agg(*[
-        F.max(F.when(F.col("horizon") == horizon, F.col(name))).alias(f"{name}_{horizon}")
-        for horizon in HORIZONS for name in names
+        F.max(F.when(F.col("horizon") == place, F.col(name))).alias(f"{name}_{horizon}")
+        for place, horizon in enumerate(HORIZONS) for name in names
     ])
 
 
@@ -156,7 +161,7 @@ def window_features(events: DataFrame) -> DataFrame:
     columns: dict[str, Column] = {}
     for horizon in HORIZONS:
         n, total = F.col(f"priced_{horizon}"), F.col(f"cents_{horizon}").cast("double")
-        squares = F.col(f"cents_squared_{horizon}").cast("double")
+        squares = F.col(f"squares_high_{horizon}") * F.lit(float(SPLIT)) + F.col(f"squares_low_{horizon}")
         some = F.nullif(n, F.lit(0))
         spread = F.greatest(F.lit(0.0), squares - total * total / some)
         columns |= {

@@ -123,9 +123,11 @@ def session_features(events: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def user_sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
+def user_sessions(
+    events: DataFrame, gap_minutes: int = 30, max_rows: int = ordered.MAX_ROWS_PER_KEY
+) -> DataFrame:
     """Events with the start of the session they belong to."""
-    return ordered.sessions(events, ["user_id"], "timestamp", gap_minutes * 60 * 1000)
+    return ordered.sessions(events, ["user_id"], "timestamp", gap_minutes * 60 * 1000, max_rows=max_rows)
 
 
 def feature_table(events: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:

@@ -19,20 +19,32 @@ def _position() -> Column:
     return F.struct(*[F.col(name) for name in ORDER])
 
 
-def numbered(series: DataFrame) -> DataFrame:
-    """Add `i`, the place in the series from 0, and `previous`, the stock before."""
+def numbered(series: DataFrame, max_rows: int = ordered.MAX_ROWS_PER_KEY) -> DataFrame:
+    """Add `i`, the place in the series from 0, and `previous`, the stock before.
+
+    A series that has them already stays as it is.
+    """
+    if {"i", "previous"} <= set(series.columns):
+        return series
     return ordered.scan(
         series, KEYS, ordered.time_chunk(F.col("timestamp"), ordered.DAY_MS), ORDER,
-        previous={"previous": "current_stock"}, index="i",
+        previous={"previous": "current_stock"}, index="i", max_rows=max_rows,
     )
 
 
-def with_running_stock(changes: DataFrame, opening: float, chunk_ms: int = ordered.DAY_MS) -> DataFrame:
-    """Add `current_stock`: an opening level plus all changes up to each row."""
-    return ordered.scan(
+def with_running_stock(
+    changes: DataFrame, opening: float, chunk_ms: int = ordered.DAY_MS, max_rows: int = ordered.MAX_ROWS_PER_KEY
+) -> DataFrame:
+    """Add `current_stock`, an opening level plus all changes up to each row, and `i` and `previous`."""
+    scanned = ordered.scan(
         changes, KEYS, ordered.time_chunk(F.col("timestamp"), chunk_ms), ORDER,
-        total={"current_stock": F.col("quantity_change")},
-    ).withColumn("current_stock", (F.col("current_stock") + F.lit(opening)).cast("double"))
+        total={"current_stock": F.col("quantity_change")}, index="i", max_rows=max_rows,
+    )
+    level = (F.col("current_stock") + F.lit(opening)).cast("double")
+    return scanned.withColumns({
+        "current_stock": level,
+        "previous": F.when(F.col("i") > 0, level - F.col("quantity_change")),
+    })
 
 
 def newest(series: DataFrame, n: int) -> DataFrame:
