@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewell.catalogue.registry import query, rnd
 from tidewell.catalogue.tables import Tables
+from tidewell.functions import ordered
 from tidewell.functions.scalars import round_to
 from tidewell.operators import profiles, windows
 
@@ -150,11 +151,16 @@ def _(t: Tables):
 
 
 @query("win_sliding_24h", """
-SELECT item_id, warehouse_id, start_ms AS window_start, start_ms + 86400000 AS window_end, count(*) AS changes,
-       sum(quantity_change)::BIGINT AS net_change, min(current_stock) AS min_stock, max(current_stock) AS max_stock
-FROM (SELECT *, unnest(generate_series("timestamp" // 3600000 * 3600000 - 82800000,
-                                       "timestamp" // 3600000 * 3600000, 3600000)) AS start_ms FROM stock)
-GROUP BY 1, 2, 3
+WITH w AS (
+  SELECT item_id, warehouse_id, start_ms AS window_start, start_ms + 86400000 AS window_end, count(*) AS changes,
+         sum(quantity_change)::BIGINT AS net_change, min(current_stock) AS min_stock, max(current_stock) AS max_stock
+  FROM (SELECT *, unnest(generate_series("timestamp" // 3600000 * 3600000 - 82800000,
+                                         "timestamp" // 3600000 * 3600000, 3600000)) AS start_ms FROM stock)
+  GROUP BY 1, 2, 3)
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY item_id, warehouse_id
+                            ORDER BY net_change, min_stock, window_start) AS rn FROM w) WHERE rn = 1
 """)
 def _(t: Tables):
-    return windows.sliding_by_panes(t.stock)
+    # All windows are computed; the worst one of each item is reported.
+    worst = [F.col("net_change"), F.col("min_stock"), F.col("window_start")]
+    return ordered.top(windows.sliding_by_panes(t.stock), ["item_id", "warehouse_id"], worst, 1).drop("rank")

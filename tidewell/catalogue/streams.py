@@ -217,8 +217,7 @@ def _(t: Tables):
     records = lambda: topics.read_topic_files_stream(t.spark, path)
     bronze, out = new_path(t.spark, "bronze"), new_path(t.spark, "recommendations")
     run_batches(t, jobs.bronze_ingest(records(), bronze), "bronze")
-    events = jobs.events_of(records()).filter(F.col("event_type").isin(config.CLICKSTREAM_TYPES))
-    run_batches(t, jobs.recommendation_job(events, bronze, sims, out), "recommendations")
+    run_batches(t, jobs.recommendation_job(jobs.events_of(records()), bronze, sims, out), "recommendations")
     listed = t.spark.read.schema("session_id string, user_id string, item_id string, score double, rank int").parquet(
         f"{out}/batch_id=*"
     )

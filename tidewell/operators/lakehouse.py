@@ -72,11 +72,17 @@ def events_clean(bronze: DataFrame) -> DataFrame:
 
 
 def fraud_events(fraud: DataFrame, bronze: DataFrame) -> DataFrame:
-    """Scores with the amount of their event; every raw copy of the event counts."""
+    """Scores with the amount of their event; every raw copy of the event counts.
+
+    A left join, in two parts: the copies of one event may be a large share of all rows,
+    and Spark can split such a key over tasks in an inner join only. Scores without an
+    event are found against the distinct ids, which are few per task.
+    """
     amounts = bronze.select("event_id", F.col("event_data").try_cast("double").alias("amount"))
-    return fraud.join(amounts, "event_id", "left").select(
-        "event_id", "user_id", "fraud_score", "is_fraud", "amount", "timestamp"
-    )
+    columns = ["event_id", "user_id", "fraud_score", "is_fraud", "amount", "timestamp"]
+    matched = fraud.join(amounts, "event_id").select(*columns)
+    alone = fraud.join(bronze.select("event_id").distinct(), "event_id", "left_anti")
+    return matched.unionByName(alone.withColumn("amount", F.lit(None).cast("double")).select(*columns))
 
 
 def fact_purchases(clean: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join also where the next step must shuffle once more because of it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 STREAM_SETTINGS = {

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell import config, schemas
 from tidewell.config import RecommendConfig, StreamConfig
+from tidewell.functions import ordered
 from tidewell.operators import cache, fraud, recommend, stock, validate, windows
 from tidewell.plans import batch as plans
 from tidewell.sources import topics
@@ -86,7 +87,7 @@ def closed_sessions(events: DataFrame) -> DataFrame:
 def recommendation_job(
     events: DataFrame, bronze_path: str, sims: DataFrame, path: str, settings: RecommendConfig = RecommendConfig()
 ):
-    """Recommendations for each session that closes.
+    """Recommendations for each session of valid events that closes.
 
     Sessions come from the stream, their events from the bronze table that another
     stream fills: no list of events is kept in state. If the table is behind, the
@@ -98,8 +99,16 @@ def recommendation_job(
         span = batch.agg(F.min("first_ms").alias("first"), F.max("last_ms").alias("last")).first()
         day = lambda ms: F.to_date(F.timestamp_millis(F.lit(ms)))
         stored = spark.read.parquet(bronze_path).filter(F.col("event_date").between(day(span.first), day(span.last)))
-        stored = stored.select("event_id", "user_id", "item_id", "event_type", "timestamp")
-        return stored.join(batch, "user_id").filter(F.col("timestamp").between(F.col("first_ms"), F.col("last_ms")))
+        # Sessions and events meet by user and hour. A session covers few hours and an hour
+        # has few sessions, so no event meets all sessions of a busy user.
+        hour = lambda ms: F.floor(F.col(ms) / F.lit(ordered.HOUR_MS))
+        hours = batch.withColumn("_hour", F.explode(F.sequence(hour("first_ms"), hour("last_ms"))))
+        placed = stored.select(
+            "event_id", "user_id", "item_id", "event_type", "timestamp", hour("timestamp").alias("_hour")
+        )
+        return placed.join(hours, ["user_id", "_hour"]).filter(
+            F.col("timestamp").between(F.col("first_ms"), F.col("last_ms"))
+        )
 
     def run(batch: DataFrame, _: int) -> DataFrame:
         named = batch.withColumn("session_id", F.concat_ws("-", "user_id", "first_ms"))
@@ -124,7 +133,8 @@ def recommendation_job(
         finally:
             batch.unpersist()
 
-    return closed_sessions(events).writeStream.outputMode("append").foreachBatch(write)
+    valid = validate.validate(events, "fields").filter("valid")
+    return closed_sessions(valid).writeStream.outputMode("append").foreachBatch(write)
 
 
 def stock_job(changes: DataFrame, path: str):
