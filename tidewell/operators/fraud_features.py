@@ -6,12 +6,12 @@ functions of (user, window): events are summed up to that level with map-side
 combining, and what follows works on at most one row per user and window, however
 many events the user has.
 
-Trailing sums come from arrivals and departures. What happens in window w counts for
-a horizon of h windows from w on, and no longer from w + h on. It is added at w and
-taken away at w + h; the running total is the value of the frame, in one pass, whatever
-the width of the frame. All totals are whole numbers, so they are exact. Distinct counts
-work the same way: a value is added at w unless it was seen within the h windows before,
-and taken away at w + h unless it is seen again by then. No sets are kept.
+The sum over the last h windows is the sum of everything so far less the sum of everything
+up to h windows ago. Both frames start at the beginning, so Spark extends them row by row
+and the cost does not depend on h. All sums are whole numbers, so the difference is exact.
+Distinct counts are such sums too: a value arrives in a window unless it was seen within
+the h windows before, and leaves h windows later unless it is seen again by then. The
+count is all arrivals so far less all departures so far. No sets are kept.
 """
 
 from __future__ import annotations
@@ -72,75 +72,54 @@ def _activity(events: DataFrame) -> DataFrame:
     )
 
 
-def _step(place: int, at: Column, sign: int) -> Column:
-    """A change at window `at` for the horizon at that place of the list."""
-    return F.struct(F.lit(place).alias("horizon"), at.alias("_w"), F.lit(sign).alias("sign"))
+def _moves(events: DataFrame) -> DataFrame:
+    """Arrivals and departures of distinct values, per user and window.
 
-
-def _sum_steps(activity: DataFrame) -> DataFrame:
-    """Arrival and departure of each window's sums, per horizon."""
-    steps = []
-    for place, width in enumerate(HORIZONS.values()):
-        steps.append(_step(place, F.col("_w"), 1))
-        if width is not None:
-            steps.append(_step(place, F.col("_w") + width, -1))
-    moved = activity.withColumn("_s", F.explode(F.array(*steps)))
-    return moved.select(
-        "user_id", "_s.horizon", "_s._w",
-        F.when(F.col("_s.sign") > 0, 1).otherwise(0).cast("bigint").alias("here"),
-        *[F.when(F.col("_s.sign") > 0, F.col(name)).otherwise(-F.col(name)).alias(name) for name in SUMS],
-    )
-
-
-def _distinct_steps(events: DataFrame) -> DataFrame:
-    """Arrival and departure of each distinct value, per horizon."""
+    A departure is noted at the window the value was last seen in; it takes effect
+    a horizon later.
+    """
     values = events.select(
         "user_id", "_w",
         F.explode(F.array(*[
-            F.struct(F.lit(out).alias("attribute"), F.col(column).alias("value")) for out, column in DISTINCT.items()
+            F.struct(F.lit(place).alias("attribute"), F.col(column).alias("value"))
+            for place, column in enumerate(DISTINCT.values())
         ])).alias("_v"),
     ).select("user_id", "_w", "_v.*").filter(F.col("value").isNotNull() & (F.col("value") != ""))
     # At most one row per window for each value, and so are the rows of this window function.
     along = W.partitionBy("user_id", "attribute", "value").orderBy("_w")
-    seen = values.distinct().withColumns({"_next": F.lead("_w").over(along), "_before": F.lag("_w").over(along)})
-    since, until = F.col("_w") - F.col("_before"), F.col("_next") - F.col("_w")
-    steps = []
-    for place, width in enumerate(HORIZONS.values()):
-        if width is None:
-            steps.append(F.when(since.isNull(), _step(place, F.col("_w"), 1)))
-        else:
-            steps.append(F.when(since.isNull() | (since >= width), _step(place, F.col("_w"), 1)))
-            steps.append(F.when(until.isNull() | (until >= width), _step(place, F.col("_w") + width, -1)))
-    moved = seen.select("user_id", "attribute", F.explode(F.array_compact(F.array(*steps))).alias("_s"))
-    return moved.select(
-        "user_id", "_s.horizon", "_s._w",
-        *[F.when(F.col("attribute") == out, F.col("_s.sign")).otherwise(0).cast("bigint").alias(out) for out in DISTINCT],
+    seen = values.distinct().select(
+        "user_id", "_w", "attribute",
+        (F.col("_w") - F.lag("_w").over(along)).alias("since"), (F.lead("_w").over(along) - F.col("_w")).alias("until"),
     )
-
-
-def _trailing_sums(activity: DataFrame, events: DataFrame) -> DataFrame:
-    """All sums and distinct counts per user and window, one column per metric and horizon."""
-    names = SUMS + list(DISTINCT)
-    steps = _sum_steps(activity).unionByName(_distinct_steps(events), allowMissingColumns=True)
-    net = steps.groupBy("user_id", "horizon", "_w").agg(*[F.sum(name).alias(name) for name in ["here", *names]])
-    running = W.partitionBy("user_id", "horizon").orderBy("_w").rowsBetween(W.unboundedPreceding, W.currentRow)
-    totals = net.select(
-        "user_id", "horizon", "_w", "here",
-        *[F.coalesce(F.sum(name).over(running), F.lit(0)).alias(name) for name in names],
-    ).filter("here > 0")
-    return totals.groupBy("user_id", "_w").agg(*[
-        F.max(F.when(F.col("horizon") == place, F.col(name))).alias(f"{name}_{horizon}")
-        for place, horizon in enumerate(HORIZONS) for name in names
-    ])
-
-
-def _trailing_extremes(activity: DataFrame) -> DataFrame:
-    """Lowest and highest amount and first event per user, window and horizon."""
+    counts = []
+    for place, out in enumerate(DISTINCT):
+        for horizon, width in HORIZONS.items():
+            own = F.col("attribute") == place
+            if width is None:
+                counts.append(F.count_if(own & F.col("since").isNull()).alias(f"{out}_in_{horizon}"))
+            else:
+                new = F.col("since").isNull() | (F.col("since") >= width)
+                last = F.col("until").isNull() | (F.col("until") >= width)
+                counts.append(F.count_if(own & new).alias(f"{out}_in_{horizon}"))
+                counts.append(F.count_if(own & last).alias(f"{out}_out_{horizon}"))
+    return seen.groupBy("user_id", "_w").agg(*counts)
+
+
+def _trailing(activity: DataFrame) -> DataFrame:
+    """All sums, distinct counts and extremes per user, window and horizon."""
     along = W.partitionBy("user_id").orderBy("_w")
+    so_far = along.rangeBetween(W.unboundedPreceding, W.currentRow)
     columns = []
     for horizon, width in HORIZONS.items():
-        start = W.unboundedPreceding if width is None else -(width - 1)
-        frame = along.rangeBetween(start, W.currentRow)
+        gone = None if width is None else along.rangeBetween(W.unboundedPreceding, -width)
+        frame = so_far if width is None else along.rangeBetween(-(width - 1), W.currentRow)
+
+        def trailing(arrived: str, left: str) -> Column:
+            total = F.sum(arrived).over(so_far)
+            return total if gone is None else total - F.coalesce(F.sum(left).over(gone), F.lit(0))
+
+        columns += [trailing(name, name).alias(f"{name}_{horizon}") for name in SUMS]
+        columns += [trailing(f"{n}_in_{horizon}", f"{n}_out_{horizon}").alias(f"{n}_{horizon}") for n in DISTINCT]
         columns += [
             F.min("cents_min").over(frame).alias(f"cents_min_{horizon}"),
             F.max("cents_max").over(frame).alias(f"cents_max_{horizon}"),
@@ -155,8 +134,10 @@ def window_features(events: DataFrame) -> DataFrame:
         "user_id", "event_type", "item_id", "category", "quantity", "timestamp",
         _window_of().alias("_w"), cents(F.col("price")).alias("_cents"),
     )
-    activity = _activity(placed)
-    joined = _trailing_sums(activity, placed).join(_trailing_extremes(activity), ["user_id", "_w"])
+    moves = _moves(placed)
+    counted = [name for name in moves.columns if name not in ("user_id", "_w")]
+    activity = _activity(placed).join(moves, ["user_id", "_w"], "left").na.fill(0, counted)
+    joined = _trailing(activity)
 
     columns: dict[str, Column] = {}
     for horizon in HORIZONS:

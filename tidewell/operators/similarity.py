@@ -26,6 +26,10 @@ from tidewell.functions.scalars import has_text, implicit_rating
 from tidewell.storage import write_once
 
 
+# Items from which on a user counts as heavy.
+HEAVY_DEGREE = 2000
+
+
 def item_vectors(events: DataFrame) -> DataFrame:
     """Summed rating per item and user."""
     return (
@@ -49,73 +53,91 @@ def item_norms(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy("item_id").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm"))
 
 
-def pair_overlaps(vectors: DataFrame, min_common: int = 3, heavy_degree: int = 2000) -> DataFrame:
-    """Dot product and shared users of the item pairs with at least `min_common` shared users.
+def _numbered_items(vectors: DataFrame, min_common: int) -> DataFrame:
+    """Items that can be in a pair, each with a number and the length of its vector.
 
-    `vectors` has one row per item and user. Each pair comes once, `item_a` < `item_b`.
+    Pairs are shuffled and counted by number: two longs instead of two texts.
     """
+    items = vectors.groupBy("item_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm")
+    ).filter(F.col("_n") >= min_common)
+    return write_once(
+        items.select("item_id", "norm", F.monotonically_increasing_id().alias("item")), "rated-items"
+    )
+
+
+def _overlaps(vectors: DataFrame, items: DataFrame, min_common: int, heavy_degree: int) -> DataFrame:
+    """Dot product and shared users per pair of item numbers, `a` < `b`."""
     spare = max(min_common - 1, 0)
-    supported = vectors.groupBy("item_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_common)
-    cells = vectors.join(supported.select("item_id"), "item_id", "left_semi")
+    cells = vectors.join(items.select("item_id", "item"), "item_id").select("item", "user_id", "rating")
     degrees = cells.groupBy("user_id").agg(F.count(F.lit(1)).alias("degree"))
     cells = write_once(cells.join(degrees.filter("degree > 1"), "user_id"), "rating-cells", spread=True)
 
     with_tail = spare > 0 and not cells.filter(F.col("degree") > heavy_degree).isEmpty()
-    head = cells.select("item_id", "user_id", "rating")
+    head = cells.select("item", "user_id", "rating")
     if with_tail:
         heaviest = [F.col("degree").desc(), F.col("user_id").desc()]
-        tail = ordered.top(cells, ["item_id"], heaviest, spare).filter(F.col("degree") > heavy_degree)
-        tail = write_once(tail.select("item_id", "user_id", "rating"), "rating-tail")
-        head = write_once(head.join(tail, ["item_id", "user_id"], "left_anti"), "rating-head", spread=True)
+        tail = ordered.top(cells, ["item"], heaviest, spare).filter(F.col("degree") > heavy_degree)
+        tail = write_once(tail.select("item", "user_id", "rating"), "rating-tail")
+        head = write_once(head.join(tail, ["item", "user_id"], "left_anti"), "rating-head", spread=True)
 
     def side(df: DataFrame, which: str) -> DataFrame:
-        return df.select(
-            F.col("item_id").alias(f"item_{which}"), "user_id", F.col("rating").alias(f"rating_{which}")
-        )
+        return df.select(F.col("item").alias(which), "user_id", F.col("rating").alias(f"rating_{which}"))
 
-    dot = F.sum(F.col("rating_a") * F.col("rating_b")).alias("dot")
+    product = F.col("rating_a") * F.col("rating_b")
     proposed = (
-        side(head, "a").join(side(head, "b"), "user_id")
-        .filter(F.col("item_a") < F.col("item_b"))
-        .groupBy("item_a", "item_b").agg(dot, F.count(F.lit(1)).alias("common"))
+        side(head, "a").join(side(head, "b"), "user_id").filter(F.col("a") < F.col("b"))
+        .groupBy("a", "b").agg(F.sum(product).alias("dot"), F.count(F.lit(1)).alias("common"))
     )
     if not with_tail:
         return proposed.filter(F.col("common") >= min_common)
     proposed = write_once(proposed, "rating-pairs")
 
-    pairs = proposed.select("item_a", "item_b")
-    products = lambda df: df.select(
-        "item_a", "item_b", (F.col("rating_a") * F.col("rating_b")).alias("dot"), F.lit(1).cast("bigint").alias("common")
-    )
+    pairs = proposed.select("a", "b")
     # Users in the tail of a, wherever they are in b; then those in the tail of b
     # and the head of a, so that none counts twice.
-    from_a = pairs.join(side(tail, "a"), "item_a").join(side(cells, "b"), ["item_b", "user_id"])
-    from_b = pairs.join(side(tail, "b"), "item_b").join(side(head, "a"), ["item_a", "user_id"])
+    from_a = pairs.join(side(tail, "a"), "a").join(side(cells, "b"), ["b", "user_id"])
+    from_b = pairs.join(side(tail, "b"), "b").join(side(head, "a"), ["a", "user_id"])
+    single = lambda df: df.select("a", "b", product.alias("dot"), F.lit(1).cast("bigint").alias("common"))
     return (
-        proposed.unionByName(products(from_a)).unionByName(products(from_b))
-        .groupBy("item_a", "item_b")
-        .agg(F.sum("dot").alias("dot"), F.sum("common").alias("common"))
+        proposed.unionByName(single(from_a)).unionByName(single(from_b))
+        .groupBy("a", "b").agg(F.sum("dot").alias("dot"), F.sum("common").alias("common"))
         .filter(F.col("common") >= min_common)
     )
 
 
-def similarities(vectors: DataFrame, config: SimilarityConfig = SimilarityConfig()) -> DataFrame:
-    """The most similar items of each item, ties by item."""
-    norms = item_norms(vectors)
+def _named_pairs(vectors: DataFrame, min_common: int, heavy_degree: int) -> DataFrame:
+    items = _numbered_items(vectors, min_common)
 
-    def norm_of(which: str) -> DataFrame:
-        return norms.select(F.col("item_id").alias(f"item_{which}"), F.col("norm").alias(f"norm_{which}"))
+    def named(which: str) -> DataFrame:
+        return items.select(
+            F.col("item").alias(which), F.col("item_id").alias(f"id_{which}"), F.col("norm").alias(f"norm_{which}")
+        )
+
+    return _overlaps(vectors, items, min_common, heavy_degree).join(named("a"), "a").join(named("b"), "b")
+
+
+def pair_overlaps(vectors: DataFrame, min_common: int = 3, heavy_degree: int = HEAVY_DEGREE) -> DataFrame:
+    """Dot product and shared users of the item pairs with at least `min_common` shared users.
 
-    pairs = pair_overlaps(vectors, config.min_common_users)
-    scored = (
-        pairs.join(norm_of("a"), "item_a").join(norm_of("b"), "item_b")
-        .withColumn("sim", F.col("dot") / F.nullif(F.col("norm_a") * F.col("norm_b"), F.lit(0.0)))
-        .filter(F.col("sim") > 0)
+    `vectors` has one row per item and user. Each pair comes once, `item_a` < `item_b`.
+    """
+    return _named_pairs(vectors, min_common, heavy_degree).select(
+        F.least("id_a", "id_b").alias("item_a"), F.greatest("id_a", "id_b").alias("item_b"), "dot", "common"
     )
+
+
+def similarities(
+    vectors: DataFrame, config: SimilarityConfig = SimilarityConfig(), heavy_degree: int = HEAVY_DEGREE
+) -> DataFrame:
+    """The most similar items of each item, ties by item."""
+    scored = _named_pairs(vectors, config.min_common_users, heavy_degree).withColumn(
+        "sim", F.col("dot") / F.nullif(F.col("norm_a") * F.col("norm_b"), F.lit(0.0))
+    ).filter(F.col("sim") > 0)
     both = scored.select(
         F.explode(F.array(
-            F.struct(F.col("item_a").alias("item_id"), F.col("item_b").alias("similar_item"), "sim"),
-            F.struct(F.col("item_b").alias("item_id"), F.col("item_a").alias("similar_item"), "sim"),
+            F.struct(F.col("id_a").alias("item_id"), F.col("id_b").alias("similar_item"), "sim"),
+            F.struct(F.col("id_b").alias("item_id"), F.col("id_a").alias("similar_item"), "sim"),
         )).alias("_p")
     ).select("_p.*")
     return ordered.top(both, ["item_id"], [F.col("sim").desc(), F.col("similar_item")], config.k_neighbors)
