@@ -70,15 +70,15 @@ def _overlaps(vectors: DataFrame, items: DataFrame, min_common: int, heavy_degre
     """Dot product and shared users per pair of item numbers, `a` < `b`."""
     spare = max(min_common - 1, 0)
     cells = vectors.join(items.select("item_id", "item"), "item_id").select("item", "user_id", "rating")
+    cells = write_once(cells, "rating-cells", spread=True)
     degrees = cells.groupBy("user_id").agg(F.count(F.lit(1)).alias("degree"))
-    cells = write_once(cells.join(degrees.filter("degree > 1"), "user_id"), "rating-cells", spread=True)
 
-    with_tail = spare > 0 and not cells.filter(F.col("degree") > heavy_degree).isEmpty()
-    head = cells.select("item", "user_id", "rating")
+    head = cells
+    with_tail = spare > 0 and not degrees.filter(F.col("degree") > heavy_degree).isEmpty()
     if with_tail:
         heaviest = [F.col("degree").desc(), F.col("user_id").desc()]
-        tail = ordered.top(cells, ["item"], heaviest, spare).filter(F.col("degree") > heavy_degree)
-        tail = write_once(tail.select("item", "user_id", "rating"), "rating-tail")
+        tail = ordered.top(cells.join(degrees, "user_id"), ["item"], heaviest, spare)
+        tail = write_once(tail.filter(F.col("degree") > heavy_degree).select(*cells.columns), "rating-tail")
         head = write_once(head.join(tail, ["item", "user_id"], "left_anti"), "rating-head", spread=True)
 
     def side(df: DataFrame, which: str) -> DataFrame:
@@ -106,7 +106,9 @@ def _overlaps(vectors: DataFrame, items: DataFrame, min_common: int, heavy_degre
     )
 
 
-def _named_pairs(vectors: DataFrame, min_common: int, heavy_degree: int) -> DataFrame:
+def _named_pairs(vectors: DataFrame, min_common: int, heavy_degree: int, stored: bool) -> DataFrame:
+    if not stored:
+        vectors = write_once(vectors, "item-vectors")
     items = _numbered_items(vectors, min_common)
 
     def named(which: str) -> DataFrame:
@@ -117,21 +119,25 @@ def _named_pairs(vectors: DataFrame, min_common: int, heavy_degree: int) -> Data
     return _overlaps(vectors, items, min_common, heavy_degree).join(named("a"), "a").join(named("b"), "b")
 
 
-def pair_overlaps(vectors: DataFrame, min_common: int = 3, heavy_degree: int = HEAVY_DEGREE) -> DataFrame:
+def pair_overlaps(
+    vectors: DataFrame, min_common: int = 3, heavy_degree: int = HEAVY_DEGREE, stored: bool = False
+) -> DataFrame:
     """Dot product and shared users of the item pairs with at least `min_common` shared users.
 
     `vectors` has one row per item and user. Each pair comes once, `item_a` < `item_b`.
+    `stored` says that reading `vectors` again costs no computation.
     """
-    return _named_pairs(vectors, min_common, heavy_degree).select(
+    return _named_pairs(vectors, min_common, heavy_degree, stored).select(
         F.least("id_a", "id_b").alias("item_a"), F.greatest("id_a", "id_b").alias("item_b"), "dot", "common"
     )
 
 
 def similarities(
-    vectors: DataFrame, config: SimilarityConfig = SimilarityConfig(), heavy_degree: int = HEAVY_DEGREE
+    vectors: DataFrame, config: SimilarityConfig = SimilarityConfig(), heavy_degree: int = HEAVY_DEGREE,
+    stored: bool = False,
 ) -> DataFrame:
     """The most similar items of each item, ties by item."""
-    scored = _named_pairs(vectors, config.min_common_users, heavy_degree).withColumn(
+    scored = _named_pairs(vectors, config.min_common_users, heavy_degree, stored).withColumn(
         "sim", F.col("dot") / F.nullif(F.col("norm_a") * F.col("norm_b"), F.lit(0.0))
     ).filter(F.col("sim") > 0)
     both = scored.select(

@@ -35,7 +35,7 @@ def train_recommendations(
 ) -> RecommendationModel:
     """Vectors, similarities and popularity of all items."""
     vectors = write_once(similarity.item_vectors(events), "item-vectors")
-    sims = write_once(similarity.similarities(vectors, settings), "item-similarities")
+    sims = write_once(similarity.similarities(vectors, settings, stored=True), "item-similarities")
     return RecommendationModel(vectors, sims, similarity.item_popularity(events), settings)
 
 
