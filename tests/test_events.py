@@ -4,7 +4,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidewell import config, schemas

@@ -98,10 +98,6 @@ def to_millis(timestamp: Column) -> Column:
     return F.unix_millis(timestamp.cast("timestamp"))
 
 
-def from_millis(millis: Column) -> Column:
-    return F.timestamp_millis(millis)
-
-
 def last_of(values: Column, n: int) -> Column:
     """The last `n` entries of an array; the whole array when it is shorter."""
     return F.when(F.size(values) >= n, F.slice(values, -n, n)).otherwise(values) if n > 0 else values

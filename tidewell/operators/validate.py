@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell import config
-from tidewell.functions.scalars import lookup
 
 
 def has_required(fields: Column | None = None, event_type: str = "event_type") -> Column:
@@ -43,7 +42,3 @@ def consumer_stats(validated: DataFrame, by: list[str] | None = None) -> DataFra
         F.count_if(F.col("valid")).alias("consumed"),
         F.count_if(~F.col("valid")).alias("invalid"),
     )
-
-
-def topic_of(alias: str = "alias") -> Column:
-    return lookup(F.col(alias), config.TOPICS)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell import config
-from tidewell.operators import cache, fraud, lakehouse, recommend, similarity, stock
+from tidewell.operators import cache, fraud, lakehouse, similarity, stock
 from tidewell.storage import write_once
 
 
