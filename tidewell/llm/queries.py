@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import exact, mixing, shards
+from tidewell.llm import exact, fracsketch, mixing, pieces, shards
 from tidewell.session import apply_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,11 @@ def query(table: str, sql: str | None = None):
     return register
 
 
+@query("documents")
+def op5_fingerprints(docs: DataFrame) -> DataFrame:
+    return fracsketch.edited_likeness(docs)
+
+
 @query("documents")
 def op6_shards(docs: DataFrame) -> DataFrame:
     out = shards.assign(docs, 16)
@@ -52,3 +58,8 @@ def op8_mixing(docs: DataFrame) -> DataFrame:
     return mixing.taken_words(mixing.mix(docs)).select(
         F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken"
     )
+
+
+@query("documents")
+def op9_pieces(docs: DataFrame) -> DataFrame:
+    return pieces.round_trip(docs, pieces.read_model(public_tokenizers.path("piece_bpe_32k.model")))
