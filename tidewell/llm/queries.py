@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import exact, fracsketch, mixing, pieces, shards
+from tidewell.llm import exact, fracsketch, mixing, pieces, shards, simhash
 from tidewell.session import apply_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def query(table: str, sql: str | None = None):
     return register
 
 
+@query("documents")
+def op2_simhash(docs: DataFrame) -> DataFrame:
+    return simhash.near_duplicates(docs)
+
+
 @query("documents")
 def op5_fingerprints(docs: DataFrame) -> DataFrame:
     return fracsketch.edited_likeness(docs)
