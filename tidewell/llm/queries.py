@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import exact, fracsketch, mixing, pieces, shards, simhash
+from tidewell.llm import exact, fracsketch, mixing, pieces, repeats, shards, simhash
 from tidewell.session import apply_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,13 @@ def op8_mixing(docs: DataFrame) -> DataFrame:
 @query("documents")
 def op9_pieces(docs: DataFrame) -> DataFrame:
     return pieces.round_trip(docs, pieces.read_model(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@query("documents")
+def op10_substring_dedup(docs: DataFrame) -> DataFrame:
+    return repeats.removal(docs).select(
+        "doc_id",
+        F.col("words").alias("n_words"),
+        F.col("removed").alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
