@@ -226,7 +226,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
     """
     pieces = mix(docs, id_col, **options)
     copies = pieces.groupBy(F.col("id").alias("_id")).agg(
-        F.greatest(F.count_if("first = 0"), F.count_if("size = 0")).alias("_copies")
+        F.greatest(F.count_if(F.col("first") == 0), F.count_if(F.col("size") == 0)).alias("_copies")
     )
     same = F.col(f"_d.`{id_col}`").eqNullSafe(F.col("_c._id"))
     times = F.explode(F.array_repeat(F.lit(1), F.col("_c._copies").cast("int"))).alias("_copy")

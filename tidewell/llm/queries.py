@@ -8,19 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import exact, fracsketch, mixing, pieces, repeats, shards, simhash
+from tidewell.llm import exact, fracsketch, language, mixing, pieces, repeats, shards, simhash
 from tidewell.session import apply_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings and small Arrow batches, since texts may be very long."""
+    apply_settings(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def query(table: str, sql: str | None = None):
     """Register a function from one of the given tables to a result under its own name."""
 
     def register(build: Callable[[DataFrame], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(apply_settings(spark).read.parquet(f"{folder}/{table}.parquet"))
+            return build(prepared(spark).read.parquet(f"{folder}/{table}.parquet"))
 
         QUERIES[build.__name__] = run
         if sql is not None:
@@ -35,6 +41,11 @@ def op2_simhash(docs: DataFrame) -> DataFrame:
     return simhash.near_duplicates(docs)
 
 
+@query("documents")
+def op3_language(docs: DataFrame) -> DataFrame:
+    return language.identify(docs)
+
+
 @query("documents")
 def op5_fingerprints(docs: DataFrame) -> DataFrame:
     return fracsketch.edited_likeness(docs)
