@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import exact, fracsketch, language, mixing, pieces, repeats, shards, simhash
+from tidewell.llm import exact, fracsketch, html, language, mixing, pieces, repeats, shards, simhash
 from tidewell.session import apply_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,11 @@ def query(table: str, sql: str | None = None):
     return register
 
 
+@query("pages")
+def op1_main_text(pages: DataFrame) -> DataFrame:
+    return html.extract(pages, html.trained(), ("page_id", "url"))
+
+
 @query("documents")
 def op2_simhash(docs: DataFrame) -> DataFrame:
     return simhash.near_duplicates(docs)
