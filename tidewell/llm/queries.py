@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import exact, fracsketch, html, language, mixing, pieces, repeats, shards, simhash
+from tidewell.llm import exact, fracsketch, html, language, mixing, pieces, repeats, shards, simhash, surrogates
 from tidewell.session import apply_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+SURROGATE_KEY = b"a key for the given tables"
+
+
 def prepared(spark: SparkSession) -> SparkSession:
     """The session with the library's settings and small Arrow batches, since texts may be very long."""
     apply_settings(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
@@ -51,6 +54,12 @@ def op3_language(docs: DataFrame) -> DataFrame:
     return language.identify(docs)
 
 
+@query("documents")
+def op4_surrogates(docs: DataFrame) -> DataFrame:
+    """The key here is public; real work takes one from its own configuration."""
+    return surrogates.replace(docs, SURROGATE_KEY)
+
+
 @query("documents")
 def op5_fingerprints(docs: DataFrame) -> DataFrame:
     return fracsketch.edited_likeness(docs)
