@@ -13,6 +13,7 @@ import hashlib
 import heapq
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 MOST_MODEL_BYTES = 16 << 20
 # Segments a task remembers. Only the time depends on it.
-REMEMBERED = 200_000
+REMEMBERED = 600_000
+NO_PIECE = float("-inf")
 # Up to this length a plain search for the best pair beats a heap.
 SHORT = 24
 
@@ -52,7 +54,7 @@ def charsmap_rules(blob: bytes) -> dict[str, str]:
     stack = [(below(units[0]), b"")]
     while stack:
         place, key = stack.pop()
-        for byte in range(1, 256):
+        for byte in range(1, 0xF5):  # no byte of UTF-8 is higher
             child = place ^ byte
             if child >= len(units) or units[child] & 0x800000FF != byte:
                 continue
@@ -71,7 +73,7 @@ class _Remembered(dict):
     def __init__(self, work):
         self.work = work
 
-    def __missing__(self, segment: str) -> tuple[bytes, bytes]:
+    def __missing__(self, segment: str) -> bytes:
         part = self.work(segment)
         if len(segment) <= 64:
             if len(self) >= REMEMBERED:
@@ -192,20 +194,19 @@ class Codec:
         if len(parts) > SHORT:
             return self._merge_long(parts)
         score = self.scores.get
-        gains = [score(a + b) for a, b in zip(parts, parts[1:])]
-        while True:
-            best, where = None, -1
-            for i, gain in enumerate(gains):
-                if gain is not None and (best is None or gain > best):
-                    best, where = gain, i
-            if where < 0:
-                return parts
-            parts[where:where + 2] = [parts[where] + parts[where + 1]]
+        gains = [score(a + b, NO_PIECE) for a, b in zip(parts, parts[1:])]
+        while gains:
+            best = max(gains)
+            if best == NO_PIECE:
+                break
+            where = gains.index(best)
+            both = parts[where] = parts[where] + parts.pop(where + 1)
             del gains[where]
             if where:
-                gains[where - 1] = score(parts[where - 1] + parts[where])
+                gains[where - 1] = score(parts[where - 1] + both, NO_PIECE)
             if where < len(gains):
-                gains[where] = score(parts[where] + parts[where + 1])
+                gains[where] = score(both + parts[where + 1], NO_PIECE)
+        return parts
 
     def _merge_long(self, parts: list[str]) -> list[str]:
         count = len(parts)
@@ -233,32 +234,30 @@ class Codec:
             offer(left, after[left])
         return [p for p in parts if p]
 
-    def _segment(self, segment: str) -> tuple[bytes, bytes]:
-        """A segment's ids and each id's share of its bytes, both as 32-bit integers."""
-        ids: list[int] = []
-        sizes: list[int] = []
+    def _segment(self, segment: str) -> bytes:
+        """A segment's ids and each id's share of its bytes, as 64-bit integers: id times 2**32, plus the share."""
+        out: list[int] = []
         for piece in self.merge(segment):
             found = self.ids.get(piece, self.unknown)
             raw = piece.encode()
             if found == self.unknown and self.fallback:
-                ids += [self.byte_ids[b] for b in raw]
                 # All bytes of a character but the last have empty spans, before it.
-                sizes += [0] * (len(raw) - 1) + [len(raw)]
+                out += [self.byte_ids[b] << 32 for b in raw]
+                out[-1] += len(raw)
             else:
-                ids.append(found)
-                sizes.append(len(raw))
-        return np.array(ids, "<u4").tobytes(), np.array(sizes, "<u4").tobytes()
+                out.append(found << 32 | len(raw))
+        return array("Q", out).tobytes()
 
     def encode(self, text: str, ends: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the first and the end byte of each id's span in the UTF-8 text."""
         normal, at = self.normalize(text)
         known = self.remembered
         parts = [known[segment] for segment in self.segments.findall(normal)]
-        ids = np.frombuffer(b"".join([p[0] for p in parts]), "<u4")
-        sizes = np.frombuffer(b"".join([p[1] for p in parts]), "<u4")
+        both = np.frombuffer(b"".join(parts), np.uint64)
+        ids, sizes = (both >> np.uint64(32)).astype("<u4"), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
         if not self.fallback and self.unknown in ids:
             ids, sizes = self._one_unknown(ids, sizes)
-        edges = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        edges = np.concatenate([[0], np.cumsum(sizes)])
         first, last = at[edges[:-1]], at[edges[1:]]
         if ends:
             close = at[-1:]
@@ -270,7 +269,7 @@ class Codec:
         """Neighbouring unknown pieces become one."""
         new = np.ones(len(ids), bool)
         new[1:] = (ids[1:] != self.unknown) | (ids[:-1] != self.unknown)
-        return ids[new], np.add.reduceat(sizes, np.flatnonzero(new)).astype("<u4")
+        return ids[new], np.add.reduceat(sizes, np.flatnonzero(new))
 
     # Decoding.
 
@@ -294,7 +293,7 @@ class Codec:
                 if self.kinds[number] == CONTROL:
                     continue
                 if self.kinds[number] == NORMAL:
-                    raw[i] = raw[i].lstrip(b" ") if self.trim else raw[i].removeprefix(b" ")
+                    raw[i] = raw[i].removeprefix(b" ")
                     if self.trim and not raw[i]:
                         continue
                 break
