@@ -1,0 +1,95 @@
+import re
+
+import pytest
+
+from tests.llm.fixtures import check_awkward
+from tidewell.llm import surrogates
+from tidewell.llm.queries import QUERIES
+
+TEXT = (
+    "Mr. John Smith (John.Smith@mail.example.com) and Mrs Smith. Call +1 (743) 555-3824, +1 743 555 3824 or 743-555-3825. "
+    "Frau Müller traf Анна Петрова. Card 4111 1111 1111 1111, not 2123465659789240, ip 10.20.0.1, "
+    "DE89 3704 0044 0532 0130 00, 078-05-1120, token = \"24be64439e3e49cf46b2d7c90f3602a3\"; JOHN.SMITH@MAIL.EXAMPLE.COM v1.2.3.4.5"
+)
+
+
+def test_kinds_found():
+    found = [(kind, TEXT[a:b]) for a, b, kind, _ in surrogates.detect(TEXT)]
+    assert found == [
+        ("given_m", "John"), ("surname", "Smith"), ("email", "John.Smith@mail.example.com"), ("surname", "Smith"),
+        ("phone", "+1 (743) 555-3824"), ("phone", "+1 743 555 3824"), ("phone", "743-555-3825"), ("surname", "Müller"),
+        ("given_f", "Анна"), ("surname", "Петрова"), ("card", "4111 1111 1111 1111"), ("ip", "10.20.0.1"),
+        ("iban", "DE89 3704 0044 0532 0130 00"), ("ssn", "078-05-1120"), ("secret", "24be64439e3e49cf46b2d7c90f3602a3"),
+        ("email", "JOHN.SMITH@MAIL.EXAMPLE.COM"),
+    ]
+
+
+def test_plain_text_is_left_alone():
+    for text in ("", None, "The thing on the list. Der Tag. 3.14 and 2020-01-01, 1,000,000 of 12", "a@b", "1.2.3", "No 12345678901234567890123"):
+        assert surrogates.detect(text) == []
+
+
+@pytest.mark.parametrize("draw", range(30))
+def test_format_is_kept(draw):
+    make = lambda kind, normal: surrogates.surrogate(b"k", kind, normal, draw)
+    card = make("card", "4111111111111111")
+    assert card[0] == "4" and len(card) == 16 and surrogates.luhn_digit(card[:-1]) == card[-1]
+    iban = make("iban", "DE89370400440532013000")
+    assert re.fullmatch(r"DE\d{20}", iban) and surrogates.iban_digits("DE", iban[4:]) == iban[2:4]
+    assert all(1 <= int(p) <= 254 for p in make("ip", "10.20.0.1").split("."))
+    assert re.fullmatch(r"[0-9a-f]{32}", make("secret", "24be64439e3e49cf46b2d7c90f3602a3"))
+    assert re.fullmatch(r"[a-z]{4}\.[a-z]{5}@[a-z]{4}\d\.[a-z]{7}\.com", make("email", "john.smith@mail1.example.com"))
+    assert surrogates.script_of(make("surname", "петрова")) == "cyrillic"
+    for script, names in surrogates.GIVEN.items():
+        for gender in "fmn":
+            drawn = make(f"given_{gender}", names["f"].split()[0].lower()).split("-")[0]
+            assert drawn in names[gender].lower().split()
+    assert surrogates.shown("+1 (743) 555-3824", "19998887766", "phone") == "+1 (999) 888-7766"
+    assert surrogates.shown("SMITH", "doe", "surname") == "DOE"
+
+
+def test_same_entity_same_surrogate_everywhere(spark):
+    docs = spark.createDataFrame([(1, TEXT), (2, "mail john.smith@mail.example.com"), (3, "no data"), (4, None)], "doc_id bigint, text string")
+    of = {r["doc_id"]: r for r in surrogates.replace(docs, b"k").collect()}
+    assert of[3]["text"] == "no data" and of[3]["replaced"] == 0 and of[4]["text"] is None
+    new = of[1]["text"]
+    assert of[1]["replaced"] == 16 and of[1]["kinds"].split(",") == sorted(of[1]["kinds"].split(","))
+    for private in ("John", "Smith", "555", "4111", "10.20.0.1", "3704", "078-05", "24be6443", "Müller", "Петрова"):
+        assert private.lower() not in new.lower()
+    assert "not 2123465659789240" in new and "v1.2.3.4.5" in new
+    names = re.match(r"Mr\. (\w+) (\w+) \((\S+)\) and Mrs (\w+)\. Call (\+1 \(\d{3}\) \d{3}-\d{4}), (\+1 \d{3} \d{3} \d{4}) or", new)
+    assert names[2] == names[4]
+    assert re.sub(r"\D", "", names[5]) == re.sub(r"\D", "", names[6])
+    assert of[2]["text"] == "mail " + names[3].lower() and names[3].upper() in new
+
+
+def test_distinct_entities_stay_distinct(spark):
+    """More given names than surrogates of the narrow format, and every octet of one digit."""
+    rows = [("given_f", f"name{i}") for i in range(60)] + [("given_m", f"name{i}") for i in range(60)]
+    rows += [("ip", f"1.1.{a}.{b}") for a in range(1, 10) for b in range(1, 10)]
+    entities = spark.createDataFrame(rows, "kind string, normal string")
+    out = surrogates.assign(entities, b"k").collect()
+    assert sorted((r["kind"], r["normal"]) for r in out) == sorted(rows)
+    spaces = [(r["kind"].split("_")[0], r["core"]) for r in out]
+    assert len(set(spaces)) == len(rows)
+    assert not {c for _, c in spaces} & {n for _, n in rows}
+    again = surrogates.assign(entities.repartition(5), b"k").collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, out))
+    other = surrogates.assign(entities, b"another").collect()
+    assert sorted(map(tuple, other)) != sorted(map(tuple, out))
+
+
+def test_awkward(spark):
+    check_awkward(spark, lambda docs: surrogates.replace(docs, b"k"))
+
+
+def test_query(spark, folder):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = QUERIES["op4_surrogates"](spark, folder).collect()
+    assert len(rows) == len(docs)
+    originals = {docs[i][a:b] for i in docs for a, b, _, _ in surrogates.detect(docs[i])}
+    for r in rows:
+        found = surrogates.detect(docs[r["doc_id"]])
+        assert r["replaced"] == len(found)
+        assert (r["text"] == docs[r["doc_id"]]) == (not found)
+        assert not {r["text"][a:b] for a, b, _, _ in surrogates.detect(r["text"])} & originals

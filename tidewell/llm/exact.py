@@ -41,14 +41,15 @@ def merge_runs(rows: DataFrame, keep: str = "smallest", runs: int = RUNS, fan_in
     key = ["short", "sha", "bytes"]
     level = rows.select("*", F.pmod(F.spark_partition_id(), F.lit(runs)).alias("run"))
     level = level.select(*key, "run", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"))
-    while runs > 1:
+    while True:
         runs = -(-runs // fan_in)
         level = (
             level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
             .groupBy("run", *key)
             .agg(_stays(F.col("keep_id"), keep).alias("keep_id"), F.sum("group_size").alias("group_size"))
         )
-    return level.drop("run")
+        if runs == 1:
+            return level.drop("run")
 
 
 def exact_groups(

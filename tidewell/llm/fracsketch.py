@@ -45,7 +45,7 @@ def shingle_hashes(text: str, width: int = WIDTH) -> np.ndarray:
 def sketch(text: str, width: int = WIDTH, scale: int = SCALE) -> np.ndarray:
     """The distinct hashes of the text's shingles below 2**64 / scale, in order."""
     hashes = shingle_hashes(text, width)
-    return np.unique(hashes[hashes < np.uint64(2**64 // scale)])
+    return np.unique(hashes[hashes <= np.uint64(2**64 // scale - 1)])
 
 
 def merged(left: np.ndarray, right: np.ndarray) -> np.ndarray:
