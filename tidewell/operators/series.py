@@ -27,18 +27,18 @@ def numbered(series: DataFrame, max_rows: int = ordered.MAX_ROWS_PER_KEY) -> Dat
     if {"i", "previous"} <= set(series.columns):
         return series
     return ordered.scan(
-        series, KEYS, ordered.time_chunk(F.col("timestamp"), ordered.DAY_MS), ORDER,
+        series, KEYS, ORDER,
         previous={"previous": "current_stock"}, index="i", max_rows=max_rows,
     )
 
 
 def with_running_stock(
-    changes: DataFrame, opening: float, chunk_ms: int = ordered.DAY_MS, max_rows: int = ordered.MAX_ROWS_PER_KEY
+    changes: DataFrame, opening: float, max_rows: int = ordered.MAX_ROWS_PER_KEY, chunk_rows: int = ordered.ROWS_PER_CHUNK
 ) -> DataFrame:
     """Add `current_stock`, an opening level plus all changes up to each row, and `i` and `previous`."""
     scanned = ordered.scan(
-        changes, KEYS, ordered.time_chunk(F.col("timestamp"), chunk_ms), ORDER,
-        total={"current_stock": F.col("quantity_change")}, index="i", max_rows=max_rows,
+        changes, KEYS, ORDER,
+        total={"current_stock": F.col("quantity_change")}, index="i", max_rows=max_rows, chunk_rows=chunk_rows,
     )
     level = (F.col("current_stock") + F.lit(opening)).cast("double")
     return scanned.withColumns({
