@@ -136,7 +136,7 @@ def test_forest(spark, tmp_path):
     a, b = (fraud.score(m, df).select("id", "prediction", "fraud_probability") for m in (model, loaded))
     assert a.exceptAll(b).count() == 0
     assert fraud.evaluate(fraud.score(loaded, df), "prediction").first().accuracy > 0.9
-    assert fraud.load_model(str(tmp_path / "nothing")) is None and fraud.model_version(None) == "unknown"
+    assert fraud.load_model(str(tmp_path / "nothing")) is None and fraud.model_version(str(tmp_path / "nothing")) == "unknown"
     assert fraud.score(None, df).filter("prediction is not null").count() == 0
 
 

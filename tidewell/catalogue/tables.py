@@ -68,7 +68,7 @@ class Tables:
         base = self.read("events").filter("event_type = 'purchase'").select(
             F.col("event_id").cast("string").alias("event_id"),
             F.col("user_id").cast("string").alias("user_id"),
-            F.least(F.lit(5000.0), F.col("value") * 25).alias("amount"),
+            (F.col("value") * 25).alias("amount"),
             (k % 51).cast("int").alias("velocity"),
             F.col("ts").cast("timestamp").alias("timestamp"),
             (F.col("user_id") % 10 / 10.0).alias("country_risk"),
@@ -196,7 +196,7 @@ SQL_VIEWS = {
         FROM (SELECT *, CAST(0.4 AS DOUBLE) * amount / CAST(5000.0 AS DOUBLE)
                         + CAST(0.6 AS DOUBLE) * velocity / CAST(50.0 AS DOUBLE) AS fraud_score
               FROM (SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
-                           least(CAST(5000.0 AS DOUBLE), value * 25) AS amount,
+                           value * 25 AS amount,
                            CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 51 AS INTEGER) AS velocity,
                            ts AS "timestamp", CAST(user_id % 10 AS DOUBLE) / 10 AS country_risk,
                            CAST(hour(ts) >= 18 AS INTEGER) AS is_evening

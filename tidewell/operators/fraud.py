@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.config import FraudConfig
@@ -116,17 +117,24 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel | None:
     """The saved model, or None when there is none."""
-    try:
-        return PipelineModel.load(path)
-    except Exception as problem:  # Spark reports a missing path in several ways.
-        if any(text in str(problem) for text in ("does not exist", "PATH_NOT_FOUND", "matched 0 files", "not exist")):
-            return None
-        raise
+    return PipelineModel.load(path) if _saved_at(path) is not None else None
 
 
-def model_version(model: PipelineModel | None) -> str:
-    """Name of a trained model: its version and run id, `unknown` without one."""
-    return f"v1.0_{model.uid}" if model is not None else "unknown"
+def _saved_at(path: str) -> int | None:
+    """When the model at `path` was saved, in epoch milliseconds; None when there is none."""
+    try:
+        lines = SparkSession.active().read.text(f"{path}/metadata")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return lines.select(F.get_json_object("value", "$.timestamp").cast("bigint")).first()[0]
+
+
+def model_version(path: str) -> str:
+    """Name of a saved model: its version and the second it was saved in, `unknown` without one."""
+    saved = _saved_at(path)
+    return f"v1.0_{saved // 1000}" if saved is not None else "unknown"
 
 
 def evaluate(scored: DataFrame, predicted: str = "is_fraud", actual: str = "label") -> DataFrame:

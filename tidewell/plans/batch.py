@@ -90,6 +90,5 @@ def inventory(history: DataFrame, forecasting: config.ForecastConfig = config.Fo
 
 def score_fraud(events: DataFrame, names: list[str], settings: config.FraudConfig = config.FraudConfig()) -> DataFrame:
     """Features to gated scores with the rule as the model."""
-    rule = fraud.rule_score(F.least(F.lit(settings.amount_scale), F.col("amount")),
-                            F.least(F.lit(settings.velocity_scale), F.col("events_5m").cast("double")), settings)
+    rule = fraud.rule_score(F.col("amount"), F.col("events_5m").cast("double"), settings)
     return fraud.gate(events, names, rule, settings)
