@@ -7,7 +7,9 @@ import pytest
 
 from tests.conftest import rows
 from tidewell import config, schemas
+from tidewell.config import FraudConfig
 from tidewell.operators import fraud, quality, validate
+from tidewell.plans import batch
 from tidewell.sources import avro, clickstream, tables, topics
 from tidewell.storage import new_path, shared_dir
 
@@ -171,12 +173,72 @@ def test_clamp(spark):
     assert got == {"u": (1.0, 1.0, 1.0), "v": (0.0, 1.0, 0.0), "w": (0.0, 0.0, 1.0)}
 
 
-def test_avro_record():
-    record = schemas.avro_record(schemas.EVENT, "EcommerceEvent")
-    fields = {f["name"]: f["type"] for f in record["fields"]}
-    assert fields["event_id"] == "string" and fields["timestamp"] == "long"
-    assert fields["price"] == ["null", "double"] and fields["metadata"] == ["null", {"type": "map", "values": "string"}]
-    assert callable(avro.read_avro)
+def test_avro_records_match_their_contracts():
+    event, change = schemas.avro_record(schemas.EVENT_CONTRACT), schemas.avro_record(schemas.INVENTORY_CONTRACT)
+    kinds = {f["name"]: f["type"] for f in event["fields"]}
+    assert [f["name"] for f in event["fields"]] == [
+        "event_id", "event_type", "timestamp", "user_id", "session_id", "item_id", "category", "price", "quantity", "search_query",
+        "filter_type", "filter_value", "rating", "review_text", "device_type", "ip_address", "user_agent", "metadata",
+    ]
+    assert kinds["event_type"] == {
+        "type": "enum", "name": "EventType", "symbols": ["view", "addtocart", "transaction", "search", "filter", "review"]
+    }
+    assert (kinds["timestamp"], kinds["price"], kinds["quantity"]) == ("long", ["null", "double"], ["null", "int"])
+    assert kinds["metadata"] == ["null", {"type": "map", "values": "string"}]
+    assert all(f["default"] is None for f in event["fields"] if isinstance(f["type"], list))
+    kinds = {f["name"]: f["type"] for f in change["fields"]}
+    assert kinds["change_type"]["symbols"] == ["stock_in", "stock_out", "adjustment", "reservation", "release"]
+    assert (kinds["quantity_before"], kinds["warehouse_id"], kinds["unit_cost"]) == ("int", ["null", "string"], ["null", "double"])
+    assert (event["namespace"], change["name"]) == ("com.ecommerce.events", "InventoryChange")
+    assert callable(avro.read_avro) and callable(avro.decode_avro)
+
+
+def test_csv_quotes_and_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Timestamp,VisitorID,Event\n1,"a ""b"" c",view\n2,"line\nbreak",view\n')
+    got = clickstream.scan_csv(spark, str(tmp_path / "a.csv")).collect()
+    assert [r["VisitorID"] for r in got] == ['a "b" c', "line\nbreak"]
+    (tmp_path / "b.csv").write_text("VisitorID,Timestamp,Event\nu,3,view\n")
+    with pytest.raises(Exception, match="header|schema"):
+        clickstream.scan_csv(spark, str(tmp_path)).collect()
+
+
+def test_out_of_range_numbers_do_not_end_the_load(spark):
+    rows = spark.createDataFrame(
+        [("1", "u", "view", "i", "99999999999"), ("99999999999999999", "u", "view", "i", "1"), ("2", "u", "view", "i", "3")],
+        "Timestamp string, VisitorID string, Event string, ItemID string, Quantity string",
+    )
+    got = clickstream.normalize(rows).collect()
+    assert [(r.valid, r.timestamp, r.quantity) for r in got] == [(True, 1000, None), (False, None, 1), (True, 2000, 3)]
+
+
+def test_json_numbers_as_text_and_misfits(spark):
+    values = [
+        '{"event_id":"e","event_type":"view","timestamp":"1704067200000","user_id":"u","item_id":"i","price":"12.5","quantity":2}',
+        '{"event_id":"e","event_type":"view","timestamp":1,"user_id":"u","item_id":"i","price":"cheap","quantity":2.5}',
+        '{"event_id":"e","event_type":"view","timestamp":1,"user_id":"u","item_id":"i","price":null}', "no json",
+    ]
+    records = spark.createDataFrame([(v.encode(),) for v in values], "value binary")
+    checked = validate.validate(topics.parse_json(records, schemas.EVENT), "fields").collect()
+    assert [(r.parsed, r.timestamp, r.price, r.quantity, r.misfits, r.valid) for r in checked] == [
+        (True, 1704067200000, 12.5, 2, [], True), (True, 1, None, None, ["price", "quantity"], False),
+        (True, 1, None, None, [], True), (False, None, None, None, [], False),
+    ]
+
+
+def test_records_keep_null_fields(spark):
+    sent = topics.to_records(spark.createDataFrame([("u", None)], "user_id string, price double"), "t").first()
+    assert sent.value == '{"user_id":"u","price":null}'
+
+
+def test_profile_extremes_are_typed(spark):
+    found = quality.profile(spark.createDataFrame([(2.5,), (10.0,), (None,)], "price double"), ["price"]).first()
+    assert (found.min_value, found.max_value, found.total, found.nulls) == ("2.5", "10.0", 3, 1)
+
+
+def test_large_amounts_are_fraud(spark):
+    events = spark.createDataFrame([(20000.0, 1.0)], "amount double, events_5m double")
+    assert batch.score_fraud(events, ["amount"], FraudConfig(min_features=1)).first().is_fraud
+
 
 
 def test_inventory_names(spark):

@@ -17,7 +17,7 @@ def entries(df: DataFrame, key: Column, written_at: Column, ttl_seconds: int = c
     """Cache entries holding all columns of `df` as JSON."""
     return df.select(
         key.alias("key"),
-        F.to_json(F.struct(*[F.col(name) for name in df.columns])).alias("value"),
+        F.to_json(F.struct(*[F.col(name) for name in df.columns]), {"ignoreNullFields": "false"}).alias("value"),
         written_at.alias("written_at"),
         (written_at + F.make_dt_interval(secs=F.lit(ttl_seconds))).alias("expires_at"),
     )

@@ -56,7 +56,8 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows, nulls, distinct values and extremes of each column, as text.
 
     The columns are stacked to (column, value) pairs first: the distinct counts then
-    come from one grouped aggregation instead of one expansion per column.
+    come from one grouped aggregation instead of one expansion per column. Extremes are those of the
+    column's own type, so 10.0 is more than 2.5.
     """
     pairs = df.select(
         F.explode(F.array(*[
@@ -64,13 +65,20 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
         ])).alias("_p")
     ).select("_p.*")
     values = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    return values.groupBy("column_name").agg(
+    counts = values.groupBy("column_name").agg(
         F.sum("n").alias("total"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
         F.count("value").alias("distinct_values"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
     )
+    # One row of extremes, turned into one row per column.
+    extremes = df.agg(F.array(*[
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.min(name).cast("string").alias("min_value"),
+            F.max(name).cast("string").alias("max_value"),
+        ) for name in columns
+    ]).alias("_e")).select(F.inline("_e"))
+    return counts.join(extremes, "column_name")
 
 
 def compare_shares(a: DataFrame, b: DataFrame, column: str) -> DataFrame:

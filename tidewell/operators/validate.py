@@ -25,9 +25,14 @@ def has_required(fields: Column | None = None, event_type: str = "event_type") -
 
 
 def validate(events: DataFrame, fields: str | None = None) -> DataFrame:
-    """Add `valid`. `fields` names the array of present keys, where there is one."""
-    present = F.col(fields) if fields else None
-    return events.withColumn("valid", has_required(present))
+    """Add `valid`. `fields` names the array of present keys, where there is one.
+
+    An event with a value of a wrong type, listed in `misfits`, is not valid.
+    """
+    ok = has_required(F.col(fields) if fields else None)
+    if "misfits" in events.columns:
+        ok = ok & (F.coalesce(F.size("misfits"), F.lit(0)) == 0)
+    return events.withColumn("valid", ok)
 
 
 def route_valid_invalid(events: DataFrame, fields: str | None = None) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,19 +79,47 @@ _AVRO_TYPES = {
 }
 
 
-def avro_record(schema: T.StructType, name: str) -> dict:
-    """The Avro record declaration of a layout, for `from_avro` and a registry."""
+@dataclass(frozen=True)
+class AvroContract:
+    """How a layout is declared as an Avro record by those who write it."""
+
+    layout: T.StructType
+    name: str
+    namespace: str
+    enums: dict[str, tuple[str, tuple[str, ...]]]
+    absent: frozenset[str] = frozenset()
+
+
+# Names and symbols of the two record contracts; fixed values.
+EVENT_CONTRACT = AvroContract(
+    EVENT, "EcommerceEvent", "com.ecommerce.events",
+    {"event_type": ("EventType", ("view", "addtocart", "transaction", "search", "filter", "review"))},
+    frozenset({"transaction_id"}),
+)
+INVENTORY_CONTRACT = AvroContract(
+    INVENTORY_CHANGE, "InventoryChange", "com.ecommerce.inventory",
+    {"change_type": ("ChangeType", ("stock_in", "stock_out", "adjustment", "reservation", "release"))},
+)
+
+
+def avro_record(contract: AvroContract) -> dict:
+    """The Avro declaration records are written with: for `from_avro`, which needs the writer's, and a registry."""
     fields = []
-    for item in schema.fields:
-        if isinstance(item.dataType, T.MapType):
-            kind: object = {"type": "map", "values": "string"}
+    for item in contract.layout.fields:
+        if item.name in contract.absent:
+            continue
+        if item.name in contract.enums:
+            name, symbols = contract.enums[item.name]
+            kind: object = {"type": "enum", "name": name, "symbols": list(symbols)}
+        elif isinstance(item.dataType, T.MapType):
+            kind = {"type": "map", "values": "string"}
         else:
             kind = _AVRO_TYPES[item.dataType]
         if item.nullable:
             fields.append({"name": item.name, "type": ["null", kind], "default": None})
         else:
             fields.append({"name": item.name, "type": kind})
-    return {"type": "record", "name": name, "fields": fields}
+    return {"type": "record", "name": contract.name, "namespace": contract.namespace, "fields": fields}
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Avro records. Spark's Avro module is a separate jar; these need it."""
+"""Avro records. Spark's Avro module is a separate jar; these need it.
+
+Records are declared as their writers declare them, with enums, and brought to the layout after reading. Without the
+jar only the declarations are tested, field by field.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +10,20 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewell import schemas
+from tidewell.schemas import AvroContract
 
 
-def read_avro(spark: SparkSession, path: str, schema: T.StructType, name: str) -> DataFrame:
-    """Avro files whose fields are those of `schema`."""
-    declared = json.dumps(schemas.avro_record(schema, name))
-    return schemas.conform(spark.read.format("avro").option("avroSchema", declared).load(path), schema)
+def read_avro(spark: SparkSession, path: str, contract: AvroContract) -> DataFrame:
+    """Avro files of a contract, in its layout. Files carry their own writer's declaration."""
+    return schemas.conform(spark.read.format("avro").load(path), contract.layout)
 
 
-def decode_avro(records: DataFrame, schema: T.StructType, name: str) -> DataFrame:
-    """Topic records with Avro values."""
+def decode_avro(records: DataFrame, contract: AvroContract) -> DataFrame:
+    """Topic records with Avro values, in the layout of the contract."""
     from pyspark.sql.avro.functions import from_avro
 
-    declared = json.dumps(schemas.avro_record(schema, name))
-    return records.select(from_avro(F.col("value"), declared).alias("_event")).select("_event.*")
+    declared = json.dumps(schemas.avro_record(contract))
+    decoded = records.select(from_avro(F.col("value"), declared).alias("_event")).select("_event.*")
+    return schemas.conform(decoded, contract.layout)

@@ -20,10 +20,17 @@ class Normalizer(Protocol):
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.CLICKSTREAM_CSV) -> DataFrame:
-    """A CSV file with a header, every column as text. A missing file has no rows."""
+    """CSV files with a header, every column as text. A missing file has no rows.
+
+    Quotes inside a quoted value are doubled, and such a value may hold line breaks. Of several files all
+    need the same header; reading others is an error, not a mix-up of columns.
+    """
+    reader = spark.read.options(header=True, inferSchema=False, quote='"', escape='"', multiLine=True)
     try:
         # The header decides which column is which; the schema only when it is absent.
-        found = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        names = reader.csv(path).columns
+        texts = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        found = reader.options(enforceSchema=False).schema(texts).csv(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -44,7 +51,7 @@ def _exact(rows: DataFrame) -> set[str]:
 def normalize(rows: DataFrame) -> DataFrame:
     """Clickstream rows as events. Rows that are no event have `valid` = false.
 
-    A price or quantity that is no number is left out; a timestamp that is none
+    A price or quantity that is no number, or out of range, is left out; such a timestamp
     rejects the row.
     """
     kind = F.lower(_either(rows, "Event", "event"))
@@ -52,20 +59,20 @@ def normalize(rows: DataFrame) -> DataFrame:
     visitor = _either(rows, "VisitorID", "visitorid")
     item = _either(rows, "ItemID", "itemid")
     transaction = _either(rows, "TransactionID", "transactionid")
-    seconds = parse_long(stamp)
+    millis = F.try_multiply(parse_long(stamp), F.lit(1000))
     valid = (
         kind.isin(config.CLICKSTREAM_TYPES)
-        & has_text(stamp) & has_text(visitor) & has_text(item) & seconds.isNotNull()
+        & has_text(stamp) & has_text(visitor) & has_text(item) & millis.isNotNull()
     )
     return rows.select(
         F.concat(F.lit("rr-"), stamp, F.lit("-"), visitor).alias("event_id"),
         kind.alias("event_type"),
-        (seconds * 1000).alias("timestamp"),
+        millis.alias("timestamp"),
         visitor.alias("user_id"),
         item.alias("item_id"),
         F.when(kind == "transaction", transaction).alias("transaction_id"),
         parse_double(_either(rows, "Price", "price")).alias("price"),
-        parse_long(_either(rows, "Quantity", "quantity")).cast("int").alias("quantity"),
+        parse_long(_either(rows, "Quantity", "quantity")).try_cast("int").alias("quantity"),
         F.coalesce(valid, F.lit(False)).alias("valid"),
     )
 

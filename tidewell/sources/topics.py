@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidewell import config, schemas
 from tidewell.functions import ordered
-from tidewell.functions.scalars import lookup
+from tidewell.functions.scalars import lookup, parse_double, parse_long
 
 
 def resolve_topics(aliases: Iterable[str] = ("events",)) -> list[str]:
@@ -26,14 +26,24 @@ def kafka_options(
     aliases: Iterable[str] = ("events",),
     group_id: str | None = None,
     starting: str | int = "latest",
+    max_records: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
-    """Options of the Kafka source. `starting` is earliest, latest or epoch ms."""
+    """Options of the Kafka source. `starting` is earliest, latest or epoch ms.
+
+    `max_records` limits what one micro-batch takes; `min_partitions` splits large topic partitions
+    over more tasks.
+    """
     options = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": ",".join(resolve_topics(aliases)),
     }
     if group_id:
         options["kafka.group.id"] = group_id
+    if max_records:
+        options["maxOffsetsPerTrigger"] = str(max_records)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     if isinstance(starting, int):
         options["startingTimestamp"] = str(starting)
     else:
@@ -49,6 +59,7 @@ def read_topics_stream(spark: SparkSession, options: dict[str, str]) -> DataFram
 def read_topics(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Topic records up to now, as a table."""
     batch = dict(options)
+    batch.pop("maxOffsetsPerTrigger", None)
     if batch.get("startingOffsets") == "latest":
         batch["startingOffsets"] = "earliest"
     return spark.read.format("kafka").options(**batch).load()
@@ -67,19 +78,38 @@ def read_topic_files_stream(
 def parse_json(records: DataFrame, schema: T.StructType) -> DataFrame:
     """Decode topic values. `parsed` is false where the value is no JSON object.
 
+    Numbers may be written as text. `misfits` lists the fields whose value is not of the field's type;
+    they are null in the result.
+
     The record's own `topic`, `partition` and `offset` stay next to the fields; its
     timestamp is called `record_timestamp`. `fields` lists the keys that are present.
     """
-    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    numbers = {f.name: f.dataType for f in schema.fields if isinstance(f.dataType, T.NumericType)}
+    as_text = T.StructType([
+        T.StructField(f.name, T.StringType() if f.name in numbers else f.dataType) for f in schema.fields
+    ])
     text = F.col("value").cast("string")
     fields = F.json_object_keys(text)
     kept = [c for c in records.columns if c in ("topic", "partition", "offset")]
     stamped = [F.col("timestamp").alias("record_timestamp")] if "timestamp" in records.columns else []
     decoded = records.select(
-        *kept, *stamped, F.from_json(text, nullable).alias("_event"), fields.alias("fields")
+        *kept, *stamped, F.from_json(text, as_text).alias("_event"), fields.alias("fields")
     )
+
+    def typed(f: T.StructField) -> Column:
+        value = F.col("_event").getField(f.name)
+        if f.name not in numbers:
+            return value
+        number = parse_double(value) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else parse_long(value)
+        return number.try_cast(f.dataType)
+
+    wrong = [
+        F.when(F.col("_event").getField(f.name).isNotNull() & typed(f).isNull(), F.lit(f.name))
+        for f in schema.fields if f.name in numbers
+    ]
     return decoded.select(*kept, *[c for c in decoded.columns if c == "record_timestamp"],
-                          F.col("fields").isNotNull().alias("parsed"), "fields", "_event.*")
+                          F.col("fields").isNotNull().alias("parsed"), "fields", F.array_compact(F.array(*wrong)).alias("misfits"),
+                          *[typed(f).alias(f.name) for f in schema.fields])
 
 
 def to_records(events: DataFrame, topic: str | Column, key: str = "user_id") -> DataFrame:
@@ -89,7 +119,7 @@ def to_records(events: DataFrame, topic: str | Column, key: str = "user_id") ->
     return events.select(
         target.alias("topic"),
         F.col(key).cast("string").alias("key"),
-        F.to_json(F.struct(*columns)).alias("value"),
+        F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"),
     )
 
 
