@@ -170,6 +170,19 @@ def test_session_recommendations_wait_for_the_table(spark):
     assert got.groupBy("session_id", "rank").count().filter("count > 1").count() == 0
 
 
-def test_state_store_setting(spark):
-    sinks.use_state_store(spark)
-    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+def test_stream_settings_end_with_the_start(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    with sinks.stream_settings(spark):
+        assert "RocksDB" in spark.conf.get(name)
+    assert spark.conf.get(name, None) == before
+
+
+def test_streams_keep_state_in_rocksdb(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    rows.write.parquet(str(tmp_path / "in"))
+    counted = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")).groupBy("k").count()
+    writer = counted.writeStream.outputMode("complete").format("memory").queryName("counted")
+    query = sinks.start(writer, str(tmp_path / "checkpoint"), available_now=True)
+    state = query.lastProgress["stateOperators"][0]
+    assert any("rocksdb" in name for name in state["customMetrics"])

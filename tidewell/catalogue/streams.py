@@ -168,8 +168,8 @@ def _(t: Tables):
 
 @query("stream_fraud", f"""
 WITH w AS ({TUMBLING}), s AS (
-  SELECT *, 0.4::DOUBLE * least(5000.0::DOUBLE, amount) / 5000.0::DOUBLE
-            + 0.6::DOUBLE * least(50.0::DOUBLE, events::DOUBLE) / 50.0::DOUBLE AS fraud_score FROM w)
+  SELECT *, 0.4::DOUBLE * amount / 5000.0::DOUBLE
+            + 0.6::DOUBLE * events::DOUBLE / 50.0::DOUBLE AS fraud_score FROM w)
 SELECT user_id, window_start, events, amount, {rnd('fraud_score')} AS fraud_score, fraud_score > 0.05::DOUBLE AS is_fraud,
        'fraud:score:' || user_id || ':' || CAST(window_start AS VARCHAR) AS key, window_end + 86400000 AS expires_ms
 FROM s
@@ -255,7 +255,6 @@ SELECT user_id, count(*) AS total_interactions, count(*) FILTER (WHERE event_typ
 FROM ix_events GROUP BY 1
 """)
 def _(t: Tables):
-    sinks.use_state_store(t.spark)
     activity = jobs.user_activity(jobs.events_of(archived(t, t.event_records(), "raw-events")))
     path = new_path(t.spark, "activity")
     run_batches(t, activity.writeStream.outputMode("update").foreachBatch(sinks.batches_to(path)), "activity")

@@ -14,7 +14,12 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Taken over by a stream when it starts.
 STREAM_SETTINGS = {
+    # Sessions of a task's rows are merged before the shuffle, so a busy user sends few rows.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.numRecentProgressUpdates": "10000",
+    # State may outgrow the executors' memory.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

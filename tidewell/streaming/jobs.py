@@ -56,9 +56,8 @@ def dedup_latest(events: DataFrame, path: str, order: list[str]):
 def fraud_scores(events: DataFrame, settings: config.FraudConfig = config.FraudConfig()) -> DataFrame:
     """A score per user and five-minute window, from its amount and its number of events."""
     per_window = windows.tumbling(events)
-    amount = F.least(F.lit(settings.amount_scale), F.col("amount"))
-    velocity = F.least(F.lit(settings.velocity_scale), F.col("events").cast("double"))
-    scored = per_window.withColumn("fraud_score", fraud.rule_score(amount, velocity, settings))
+    score = fraud.rule_score(F.col("amount"), F.col("events").cast("double"), settings)
+    scored = per_window.withColumn("fraud_score", score)
     return scored.withColumn("is_fraud", F.col("fraud_score") > settings.threshold)
 
 
