@@ -128,7 +128,7 @@ def exploded(df, *names):
     """One row per place of the arrays."""
     zipped = F.arrays_zip(*[F.col(name) for name in names])
     rest = [name for name in df.columns if name not in names]
-    return df.select(*rest, F.posexplode(zipped).alias("step", "_z")).select(*rest, "step", "_z.*")
+    return df.select(*rest, F.posexplode_outer(zipped).alias("step", "_z")).select(*rest, "step", "_z.*")
 
 
 @query("last_n_values", f"SELECT {ITEM}, step, v AS value FROM ({LAST7})")
@@ -174,6 +174,7 @@ WITH {RUNOUT}
 SELECT f.{', f.'.join(ITEM.split(', '))}, l.n, f.step, {rnd(BLEND)} AS forecast, {BANDS.replace('n >=', 'l.n >=')},
        {RUNOUT_DATE} AS runout_date, 0.86::DOUBLE AS accuracy
 FROM ({LAST7}) f JOIN latest l USING ({ITEM}) LEFT JOIN r USING ({ITEM}) WHERE l.n >= 10
+UNION ALL SELECT {ITEM}, n, NULL, NULL, NULL, NULL, 'N/A', 0 FROM latest WHERE n < 10
 """)
 def _(t: Tables):
     renamed = stock.forecast(t.stock).withColumnsRenamed({"confidence_lower": "lower", "confidence_upper": "upper"})
@@ -181,15 +182,14 @@ def _(t: Tables):
 
 
 def sparse(t: Tables):
-    """Returns only: a third of the points, so many series are too short for a forecast."""
-    back = t.changes.filter("change_type = 'stock_in'")
-    return series.with_running_stock(back, 0)
+    """All changes as series per item and supplier: many are too short for a forecast."""
+    return series.with_running_stock(t.changes.withColumn("warehouse_id", F.right("change_id", F.lit(8))), 0)
 
 
 @query("forecast_default", f"""
-SELECT {ITEM}, count(*) AS n, CASE WHEN count(*) < 10 THEN 0 ELSE 7 END AS points,
+SELECT item_id, right(change_id, 8) AS warehouse_id, count(*) AS n, CASE WHEN count(*) < 10 THEN 0 ELSE 7 END AS points,
        CASE WHEN count(*) < 10 THEN 0 ELSE 0.86 END::DOUBLE AS accuracy, 'N/A' AS runout_date
-FROM changes WHERE change_type = 'stock_in' GROUP BY 1, 2
+FROM changes GROUP BY 1, 2
 """)
 def _(t: Tables):
     return rounded(stock.forecast(sparse(t)).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidewell import schemas
@@ -95,11 +97,12 @@ def _(t: Tables):
 SELECT event_id, user_id, event_type, event_value FROM events_clean
 """)
 def _(t: Tables):
-    path = new_path(t.spark, "events-clean")
+    # A catalog table, rebuilt; a name of its own, since other runs may share the catalog.
+    name = f"events_clean_{uuid.uuid4().hex}"
     clean = lakehouse.events_clean(lakehouse.bronze_events(t.raw_events))
     for _ in range(2):
-        table_io.overwrite_path(clean, path)
-    return table_io.read_table(t.spark, path, "parquet").select("event_id", "user_id", "event_type", "event_value")
+        table_io.overwrite_table(clean, name)
+    return table_io.read_table(t.spark, name).select("event_id", "user_id", "event_type", "event_value")
 
 
 @query("sink_partitioned_day", """
@@ -172,8 +175,8 @@ def _(t: Tables):
 
 def profile_sql(column: str) -> str:
     return f"""SELECT '{column}' AS column_name, count(*) AS total, count(*) - count("{column}") AS nulls,
-    count(DISTINCT "{column}") AS distinct_values, min(CAST("{column}" AS VARCHAR)) AS min_value,
-    max(CAST("{column}" AS VARCHAR)) AS max_value FROM ix_events"""
+    count(DISTINCT "{column}") AS distinct_values, CAST(min("{column}") AS VARCHAR) AS min_value,
+    CAST(max("{column}") AS VARCHAR) AS max_value FROM ix_events"""
 
 
 @query("dq_dataset_validate", " UNION ALL ".join(

@@ -13,6 +13,7 @@ from tidewell.catalogue.tables import Tables
 from tidewell.functions.scalars import interaction_weight, round_to
 from tidewell.operators import profiles, recommend, similarity
 from tidewell.plans import batch
+from tidewell.sources import topics
 from tidewell.storage import new_path
 
 
@@ -224,8 +225,8 @@ def _(t: Tables):
 
 @query("sink_recommendations", f"""
 WITH {scored_sql(WEIGHT, 'ix_events', 'sims')}
-SELECT 'recommendations' AS topic, 'recommendations:' || user_id AS key, max(item_id) FILTER (WHERE rank = 1) AS best,
-       count(*) AS n, max(newest) + 3600000 AS expires_ms
+SELECT 'recommendations' AS topic, user_id AS record_key, 'recommendations:' || user_id AS key,
+       string_agg(item_id, ',' ORDER BY rank) AS items, max(newest) + 3600000 AS expires_ms
 FROM ({TOP}), (SELECT max("timestamp") AS newest FROM ix_events)
 WHERE rank <= 10 AND score > 0 AND user_id IN (SELECT user_id FROM ix_events GROUP BY 1 HAVING count(*) >= 3)
 GROUP BY user_id
@@ -233,10 +234,16 @@ GROUP BY user_id
 def _(t: Tables):
     newest = t.events.agg(F.timestamp_millis(F.max("timestamp"))).scalar()
     entries = batch.recommendation_entries(recommend.recommend_weighted(t.events, model_sims(t)), newest)
-    items = F.from_json("value", "recommendations array<struct<rank int, item_id string, score double>>")
-    return entries.withColumn("_v", items["recommendations"]).select(
-        F.lit("recommendations").alias("topic"), "key", F.col("_v")[0]["item_id"].alias("best"),
-        F.size("_v").alias("n"), F.unix_millis("expires_at").alias("expires_ms"),
+    shape = "user_id string, recommendations array<struct<rank int, item_id string, score double>>"
+    entries = entries.withColumn("_v", F.from_json("value", shape)).withColumn("user_id", F.col("_v.user_id"))
+    # The record for the topic, and what a reader finds in its value.
+    records = topics.to_records(entries.drop("_v"), "recommendations")
+    sent = F.from_json("value", "key string, value string, expires_at timestamp")
+    sent = records.select("topic", F.col("key").alias("record_key"), sent.alias("_r")).select("topic", "record_key", "_r.*")
+    ranked = F.from_json("value", shape)["recommendations"]
+    return sent.select(
+        "topic", "record_key", "key", F.array_join(F.transform(ranked, lambda r: r["item_id"]), ",").alias("items"),
+        F.unix_millis("expires_at").alias("expires_ms"),
     )
 
 
