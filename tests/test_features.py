@@ -80,7 +80,7 @@ def test_event_features_by_brute_force(spark):
     for n in range(250):
         # One user has most of the events; times reach over all horizons.
         user = "hot" if n % 3 else f"u{rnd.randrange(4)}"
-        stamp = rnd.choice([rnd.randrange(0, 3600000), rnd.randrange(0, 60 * 86400000)])
+        stamp = rnd.choice([rnd.randrange(0, 3600000), rnd.randrange(0, 60 * 86400000), 150000 * rnd.randrange(9), 600000])
         kind = rnd.choice(["view", "addtocart", "transaction", "search"])
         price = round(rnd.uniform(1, 50), 2) if kind in ("transaction", "addtocart") else None
         data.append((user, f"i{rnd.randrange(6)}", kind, f"c{rnd.randrange(3)}", price, stamp))
@@ -88,10 +88,10 @@ def test_event_features_by_brute_force(spark):
     got = {r.event_id: r for r in fraud_features.event_features(df).collect()}
     assert len(got) == 250 and len(fraud_features.feature_names()) == 95
     for number, (user, _, _, _, price, stamp) in enumerate(data):
-        row, here = got[f"e{number}"], stamp // fraud_features.WINDOW_MS
+        row = got[f"e{number}"]
         for horizon, width in fraud_features.HORIZONS.items():
-            frame = [e for e in data if e[0] == user and e[5] // fraud_features.WINDOW_MS <= here
-                     and (width is None or e[5] // fraud_features.WINDOW_MS > here - width)]
+            frame = [e for e in data if e[0] == user and e[5] <= stamp
+                     and (width is None or e[5] >= stamp - width * fraud_features.WINDOW_MS)]
             prices = [e[4] for e in frame if e[4] is not None]
             assert row[f"events_{horizon}"] == len(frame)
             assert row[f"items_{horizon}"] == len({e[1] for e in frame})
@@ -108,6 +108,14 @@ def test_event_features_by_brute_force(spark):
             assert row[f"amount_ratio_{horizon}"] == pytest.approx((price or 0) / mean if mean else 0)
 
 
+def test_features_do_not_look_ahead_and_keep_every_event(spark):
+    rows = [("u", 1000), ("u", 200000), ("u", 310000), (None, 5), (None, 6), ("v", None)]
+    df = events(spark, [(u, "i", "view", "c", None, ms) for u, ms in rows]).withColumn("quantity", F.lit(1))
+    got = {r.event_id: r.events_5m for r in fraud_features.event_features(df).collect()}
+    assert [got[f"e{n}"] for n in range(5)] == [1, 2, 2, 1, 2] and len(got) == 6
+
+
+
 def test_gate(spark):
     df = spark.createDataFrame([(1, 100.0, 1, True), (2, 5000.0, 50, True), (3, 100.0, None, True), (4, 1.0, 1, False)],
                                "id int, amount double, velocity int, ok boolean")

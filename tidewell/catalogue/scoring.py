@@ -135,7 +135,7 @@ def _(t: Tables):
 def features_sql() -> str:
     parts = []
     for name, width in fraud_features.HORIZONS.items():
-        inside = "true" if width is None else f"b.w > a.w - {width}"
+        inside = "true" if width is None else f"b.ms >= a.at - {width * fraud_features.WINDOW_MS}"
 
         def agg(call: str, extra: str = "true") -> str:
             return f"{call} FILTER (WHERE {inside} AND {extra})"
@@ -173,12 +173,12 @@ def features_sql() -> str:
             else:
                 final.append(column)
     return f"""
-WITH e AS (SELECT *, "timestamp" AS ms, "timestamp" // 300000 AS w, CAST(floor(price * 100 + 0.5) AS BIGINT) AS c
+WITH e AS (SELECT *, "timestamp" AS ms, CAST(floor(price * 100 + 0.5) AS BIGINT) AS c
            FROM ix_events),
-     f AS (SELECT a.user_id, a.w, {', '.join(parts)}
-           FROM (SELECT DISTINCT user_id, w FROM e) a JOIN e b ON a.user_id = b.user_id AND b.w <= a.w GROUP BY 1, 2)
+     f AS (SELECT a.who, a.at, {', '.join(parts)}
+           FROM (SELECT DISTINCT user_id AS who, ms AS at FROM e) a JOIN e b ON a.who = b.user_id AND b.ms <= a.at GROUP BY 1, 2)
 SELECT event_id, e.user_id, event_type, "timestamp", coalesce(price, 0) AS amount, quantity, {', '.join(final)}
-FROM e JOIN f ON f.user_id = e.user_id AND f.w = e.w
+FROM e JOIN f ON f.who = e.user_id AND f.at = e.ms
 """
 
 
@@ -196,9 +196,9 @@ def _(t: Tables):
 
 
 @query("fraud_gate_full", f"""
-WITH w AS (SELECT user_id, "timestamp" // 300000 AS w, count(*) AS n FROM ix_events GROUP BY 1, 2),
-     s AS (SELECT event_id, 0.4::DOUBLE * coalesce(price, 0) / 5000.0::DOUBLE + 0.6::DOUBLE * n / 50.0::DOUBLE AS score
-           FROM ix_events e JOIN w ON w.user_id = e.user_id AND w.w = e."timestamp" // 300000)
+WITH s AS (SELECT a.event_id, 0.4::DOUBLE * coalesce(any_value(a.price), 0) / 5000.0::DOUBLE + 0.6::DOUBLE * count(*) / 50.0::DOUBLE AS score
+           FROM ix_events a JOIN ix_events b ON a.user_id = b.user_id AND b."timestamp" BETWEEN a."timestamp" - 300000 AND a."timestamp"
+           GROUP BY 1)
 SELECT event_id, 95 AS feature_count, {rnd("score")} AS fraud_score, score > 0.85::DOUBLE AS is_fraud, 'scored' AS reason FROM s
 """)
 def _(t: Tables):

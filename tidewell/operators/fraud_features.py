@@ -1,16 +1,18 @@
 """Behaviour features per event over several trailing horizons.
 
-Time is counted in tumbling windows of five minutes. The frame of a horizon is its
-number of windows, ending with the one the event falls in. All metrics are therefore
-functions of (user, window): events are summed up to that level with map-side
-combining, and what follows works on at most one row per user and window, however
-many events the user has.
-
-The sum over the last h windows is the sum of everything so far less the sum of everything
-up to h windows ago. Both frames start at the beginning, so Spark extends them row by row
-and the cost does not depend on h. All sums are whole numbers, so the difference is exact.
-Distinct counts are such sums too: a value arrives in a window unless it was seen within
-the h windows before, and leaves h windows later unless it is seen again by then. The
+A horizon of h milliseconds holds the events from h before an event up to that event's own instant, both included.
+Nothing later counts. Events are summed up per user and instant first, and instants per user and window of five
+minutes, since all horizons are whole numbers of windows. What a horizon holds has three parts:
+
+* the event's own window up to the event: a running total within that window;
+* the whole windows in between: the running total of all windows before, less that of the windows gone by. Both start at
+  the beginning, so the cost does not depend on the horizon;
+* the oldest window from the horizon's start on: the start is put among that window's instants as a
+  marker, and a running total from the window's end gives what is after it.
+
+The first and the last part never look beyond one window of one user. All sums are whole numbers, so the
+difference is exact. Distinct counts are such sums too: a value arrives unless it was seen within the
+horizon before, and leaves a horizon after it was last seen unless it is seen again by then. The
 count is all arrivals so far less all departures so far. No sets are kept.
 """
 
@@ -21,6 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewell.functions.scalars import ratio
+from tidewell.storage import write_once
 
 WINDOW_MS = 300000
 
@@ -39,10 +42,6 @@ def feature_names() -> list[str]:
     return BASE + [f"{metric}_{horizon}" for horizon in HORIZONS for metric in METRICS]
 
 
-def _window_of(millis: str = "timestamp") -> Column:
-    return F.floor(F.col(millis) / F.lit(WINDOW_MS)).cast("bigint")
-
-
 def cents(price: Column) -> Column:
     return F.floor(price * 100 + F.lit(0.5)).cast("bigint")
 
@@ -51,11 +50,23 @@ SPLIT = 1_000_000_000
 SUMS = ["events", "transactions", "priced", "cents", "squares_low", "squares_high", "quantity", "carts", "searches"]
 
 
-def _activity(events: DataFrame) -> DataFrame:
-    """One row per user and window, money in whole cents."""
+INSTANT = ["user_id", "timestamp"]
+EXTREMES = {"cents_min": F.min, "cents_max": F.max, "first_ms": F.min}
+LIMITED = {name: width * WINDOW_MS for name, width in HORIZONS.items() if width is not None}
+
+
+def _same(left: str, right: str, names: list[str]) -> Column:
+    on = F.lit(True)
+    for name in names:
+        on = on & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
+    return on
+
+
+def _instants(events: DataFrame) -> DataFrame:
+    """One row per user and instant, money in whole cents."""
     kind, money = F.col("event_type"), F.col("_cents")
     square = money * money
-    return events.groupBy("user_id", "_w").agg(
+    return events.groupBy(*INSTANT).agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if(kind == "transaction").alias("transactions"),
         F.count(money).alias("priced"),
@@ -73,71 +84,140 @@ def _activity(events: DataFrame) -> DataFrame:
 
 
 def _moves(events: DataFrame) -> DataFrame:
-    """Arrivals and departures of distinct values, per user and window.
+    """Arrivals and departures of distinct values, per user and instant.
 
-    A departure is noted at the window the value was last seen in; it takes effect
-    a horizon later.
+    A departure is noted at the instant the value was last seen at; it takes effect
+    when a horizon no longer reaches back to it.
     """
     values = events.select(
-        "user_id", "_w",
+        *INSTANT,
         F.explode(F.array(*[
             F.struct(F.lit(place).alias("attribute"), F.col(column).alias("value"))
             for place, column in enumerate(DISTINCT.values())
         ])).alias("_v"),
-    ).select("user_id", "_w", "_v.*").filter(F.col("value").isNotNull() & (F.col("value") != ""))
-    # At most one row per window for each value, and so are the rows of this window function.
-    along = W.partitionBy("user_id", "attribute", "value").orderBy("_w")
+    ).select(*INSTANT, "_v.*").filter(F.col("value").isNotNull() & (F.col("value") != ""))
+    along = W.partitionBy("user_id", "attribute", "value").orderBy("timestamp")
     seen = values.distinct().select(
-        "user_id", "_w", "attribute",
-        (F.col("_w") - F.lag("_w").over(along)).alias("since"), (F.lead("_w").over(along) - F.col("_w")).alias("until"),
+        *INSTANT, "attribute",
+        (F.col("timestamp") - F.lag("timestamp").over(along)).alias("since"),
+        (F.lead("timestamp").over(along) - F.col("timestamp")).alias("until"),
     )
     counts = []
     for place, out in enumerate(DISTINCT):
-        for horizon, width in HORIZONS.items():
-            own = F.col("attribute") == place
-            if width is None:
-                counts.append(F.count_if(own & F.col("since").isNull()).alias(f"{out}_in_{horizon}"))
-            else:
-                new = F.col("since").isNull() | (F.col("since") >= width)
-                last = F.col("until").isNull() | (F.col("until") >= width)
-                counts.append(F.count_if(own & new).alias(f"{out}_in_{horizon}"))
+        own = F.col("attribute") == place
+        for horizon in HORIZONS:
+            new = F.col("since").isNull()
+            if horizon in LIMITED:
+                new = new | (F.col("since") > LIMITED[horizon])
+                last = F.col("until").isNull() | (F.col("until") > LIMITED[horizon])
                 counts.append(F.count_if(own & last).alias(f"{out}_out_{horizon}"))
-    return seen.groupBy("user_id", "_w").agg(*counts)
+            counts.append(F.count_if(own & new).alias(f"{out}_in_{horizon}"))
+    return seen.groupBy(*INSTANT).agg(*counts)
+
+
+def _arrivals(horizon: str) -> dict[str, str]:
+    """Output -> the column whose sum comes in; likewise what goes out of a horizon."""
+    return {name: name for name in SUMS} | {name: f"{name}_in_{horizon}" for name in DISTINCT}
+
+
+def _departures(horizon: str) -> dict[str, str]:
+    return {name: name for name in SUMS} | {name: f"{name}_out_{horizon}" for name in DISTINCT}
+
+
+COUNTED = [*SUMS, *[f"{n}_in_{h}" for n in DISTINCT for h in HORIZONS], *[f"{n}_out_{h}" for n in DISTINCT for h in LIMITED]]
 
 
-def _trailing(activity: DataFrame) -> DataFrame:
-    """All sums, distinct counts and extremes per user, window and horizon."""
+def _between(instants: DataFrame) -> DataFrame:
+    """Per user and window: what the whole windows before it hold, for each horizon."""
+    windows = instants.groupBy("user_id", "_w").agg(
+        *[F.sum(name).alias(name) for name in COUNTED], *[pick(name).alias(name) for name, pick in EXTREMES.items()]
+    )
     along = W.partitionBy("user_id").orderBy("_w")
-    so_far = along.rangeBetween(W.unboundedPreceding, W.currentRow)
+    before = along.rangeBetween(W.unboundedPreceding, -1)
     columns = []
     for horizon, width in HORIZONS.items():
-        gone = None if width is None else along.rangeBetween(W.unboundedPreceding, -width)
-        frame = so_far if width is None else along.rangeBetween(-(width - 1), W.currentRow)
+        for out, source in _arrivals(horizon).items():
+            total = F.coalesce(F.sum(source).over(before), F.lit(0))
+            if width is not None:
+                gone = along.rangeBetween(W.unboundedPreceding, -width)
+                total = total - F.coalesce(F.sum(_departures(horizon)[out]).over(gone), F.lit(0))
+            columns.append(total.alias(f"{out}_{horizon}"))
+        for out, pick in EXTREMES.items():
+            frame = before if width is None else along.rangeBetween(-(width - 1), -1)
+            value = F.lit(None).cast("bigint") if width == 1 else pick(out).over(frame)
+            columns.append(value.alias(f"{out}_{horizon}"))
+    return windows.select("user_id", "_w", *columns)
+
+
+def _own(instants: DataFrame) -> DataFrame:
+    """Per user and instant: what its own window holds up to it, in the names of the instants."""
+    so_far = W.partitionBy("user_id", "_w").orderBy("timestamp").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return instants.select(
+        *INSTANT, "_w", *[F.sum(name).over(so_far).alias(name) for name in COUNTED],
+        *[pick(name).over(so_far).alias(name) for name, pick in EXTREMES.items()],
+    )
 
-        def trailing(arrived: str, left: str) -> Column:
-            total = F.sum(arrived).over(so_far)
-            return total if gone is None else total - F.coalesce(F.sum(left).over(gone), F.lit(0))
 
-        columns += [trailing(name, name).alias(f"{name}_{horizon}") for name in SUMS]
-        columns += [trailing(f"{n}_in_{horizon}", f"{n}_out_{horizon}").alias(f"{n}_{horizon}") for n in DISTINCT]
+def _oldest(instants: DataFrame) -> DataFrame:
+    """Per user and instant: what the window a horizon begins in holds from there on, for each limited horizon."""
+    leaving = [*SUMS, *[f"{n}_out_{h}" for n in DISTINCT for h in LIMITED]]
+    starts = F.array(*[
+        F.struct(F.lit(h).alias("horizon"), (F.col("timestamp") - width).alias("at")) for h, width in LIMITED.items()
+    ])
+    markers = instants.select("user_id", F.col("timestamp").alias("origin"), F.explode(starts).alias("_s")).select(
+        "user_id", F.col("_s.at").alias("timestamp"), F.floor(F.col("_s.at") / WINDOW_MS).cast("bigint").alias("_w"),
+        "origin", "_s.horizon",
+    )
+    rows = instants.select("user_id", "timestamp", "_w", *leaving, *EXTREMES).unionByName(markers, allowMissingColumns=True)
+    # From the window's end; an instant at the horizon's very start comes before the marker.
+    back = W.partitionBy("user_id", "_w").orderBy(F.col("timestamp").desc(), F.col("horizon").isNotNull())
+    back = back.rowsBetween(W.unboundedPreceding, W.currentRow)
+    totals = rows.select(
+        "user_id", "origin", "horizon", *[F.sum(name).over(back).alias(name) for name in leaving],
+        *[pick(name).over(back).alias(name) for name, pick in EXTREMES.items()],
+    ).filter(F.col("horizon").isNotNull())
+    columns = []
+    for horizon in LIMITED:
+        own = F.col("horizon") == horizon
         columns += [
-            F.min("cents_min").over(frame).alias(f"cents_min_{horizon}"),
-            F.max("cents_max").over(frame).alias(f"cents_max_{horizon}"),
-            F.min("first_ms").over(frame).alias(f"first_ms_{horizon}"),
+            F.coalesce(F.max(F.when(own, F.col(source))), F.lit(0)).alias(f"{out}_{horizon}")
+            for out, source in _departures(horizon).items()
         ]
-    return activity.select("user_id", "_w", *columns)
+        columns += [F.max(F.when(own, F.col(name))).alias(f"{name}_{horizon}") for name in EXTREMES]
+    return totals.groupBy("user_id", F.col("origin").alias("timestamp")).agg(*columns)
+
 
+def _trailing(instants: DataFrame) -> DataFrame:
+    """All sums, distinct counts and extremes per user, instant and horizon."""
+    parts = _own(instants).alias("o").join(_between(instants).alias("b"), _same("o", "b", ["user_id", "_w"]))
+    parts = parts.join(_oldest(instants).alias("s"), _same("o", "s", INSTANT))
+    columns = []
+    for horizon in HORIZONS:
+        for out, source in _arrivals(horizon).items():
+            value = F.col(f"o.{source}") + F.col(f"b.{out}_{horizon}")
+            if horizon in LIMITED:
+                value = value + F.col(f"s.{out}_{horizon}")
+            columns.append(value.alias(f"{out}_{horizon}"))
+        for out, pick in EXTREMES.items():
+            found = [F.col(f"o.{out}"), F.col(f"b.{out}_{horizon}")]
+            if horizon in LIMITED:
+                found.append(F.col(f"s.{out}_{horizon}"))
+            columns.append((F.least if pick is F.min else F.greatest)(*found).alias(f"{out}_{horizon}"))
+    return parts.select("o.user_id", "o.timestamp", *columns)
 
-def window_features(events: DataFrame) -> DataFrame:
-    """All window-level metrics per user and window."""
+
+def instant_features(events: DataFrame) -> DataFrame:
+    """All metrics per user and instant."""
     placed = events.select(
-        "user_id", "event_type", "item_id", "category", "quantity", "timestamp",
-        _window_of().alias("_w"), cents(F.col("price")).alias("_cents"),
+        "user_id", "event_type", "item_id", "category", "quantity", "timestamp", cents(F.col("price")).alias("_cents")
     )
     moves = _moves(placed)
-    counted = [name for name in moves.columns if name not in ("user_id", "_w")]
-    activity = _activity(placed).join(moves, ["user_id", "_w"], "left").na.fill(0, counted)
-    joined = _trailing(activity)
+    counted = [name for name in moves.columns if name not in INSTANT]
+    instants = _instants(placed).alias("i").join(moves.alias("m"), _same("i", "m", INSTANT), "left").select(
+        "i.*", *[F.coalesce(F.col(f"m.{name}"), F.lit(0)).alias(name) for name in counted]
+    )
+    window = F.floor(F.col("timestamp") / F.lit(WINDOW_MS)).cast("bigint")
+    joined = _trailing(write_once(instants.withColumn("_w", window), "fraud-instants"))
 
     columns: dict[str, Column] = {}
     for horizon in HORIZONS:
@@ -154,20 +234,26 @@ def window_features(events: DataFrame) -> DataFrame:
             f"quantity_avg_{horizon}": F.col(f"quantity_{horizon}") / F.col(f"events_{horizon}"),
         }
     kept = [f"{name}_{h}" for h in HORIZONS for name in ["events", "transactions", *DISTINCT, "carts", "searches", "first_ms"]]
-    return joined.select("user_id", "_w", *kept, *[column.alias(name) for name, column in columns.items()])
+    return joined.select(*INSTANT, *kept, *[column.alias(name) for name, column in columns.items()])
 
 
 def event_features(events: DataFrame) -> DataFrame:
-    """Every event with all its features: five of its own and 15 for each horizon."""
+    """Every event with all its features: five of its own and 15 for each horizon.
+
+    Events without user are those of one unknown user; those without time are of one unknown instant.
+    """
     own = events.select(
         "event_id", "user_id", "event_type", "timestamp",
         F.coalesce("price", F.lit(0.0)).alias("amount"),
         F.coalesce("quantity", F.lit(1)).alias("quantity"),
-        _window_of().alias("_w"),
     )
-    joined = own.join(window_features(events), ["user_id", "_w"])
-    for_event = {}
+    joined = own.alias("e").join(instant_features(events).alias("f"), _same("e", "f", INSTANT))
+    features = [c for c in feature_names() if c not in BASE]
+    of_event = {}
     for horizon in HORIZONS:
-        for_event[f"seconds_since_first_{horizon}"] = (F.col("timestamp") - F.col(f"first_ms_{horizon}")) / 1000
-        for_event[f"amount_ratio_{horizon}"] = ratio(F.col("amount"), F.col(f"amount_avg_{horizon}"))
-    return joined.withColumns(for_event).select("event_id", *feature_names())
+        of_event[f"seconds_since_first_{horizon}"] = (F.col("e.timestamp") - F.col(f"first_ms_{horizon}")) / 1000
+        of_event[f"amount_ratio_{horizon}"] = ratio(F.col("e.amount"), F.col(f"amount_avg_{horizon}"))
+    return joined.select(
+        "e.event_id", *[f"e.{name}" for name in BASE],
+        *[of_event[name].alias(name) if name in of_event else F.col(f"f.{name}") for name in features],
+    )
