@@ -168,3 +168,10 @@ def test_lakehouse_cases(spark):
     assert sorted((r.event_id, r.amount) for r in joined.collect() if r.amount) == [("e1", 5.0), ("e1", 6.0)]
     daily = lakehouse.mart_fraud_daily(joined).first()
     assert (daily.total_transactions, daily.fraud_count, daily.fraud_rate, daily.total_fraud_amount) == (3, 2, 66.67, 11.0)
+
+
+def test_velocity_keeps_every_event(spark):
+    rows = [("u", 1000), ("u", 200000), ("u", 310000), (None, 5), (None, 6), ("v", None)]
+    df = events(spark, [(u, "i", "view", "c", None, ms) for u, ms in rows])
+    got = {r.event_id: r.velocity for r in windows.velocity(windows.event_time(df)).collect()}
+    assert got == {"e0": 2, "e1": 2, "e2": 1, "e3": 2, "e4": 2, "e5": None}

@@ -32,14 +32,18 @@ def tumbling(events: DataFrame, width: str = StreamConfig.tumbling) -> DataFrame
 def velocity(events: DataFrame, width: str = StreamConfig.tumbling) -> DataFrame:
     """Each event with the number of events and the amount of its user's window. Batch only.
 
+    Events without user count as those of one unknown user; an event without time has no window.
     On a stream the same join runs on the rows of each micro-batch.
     """
     per_window = tumbling(events, width).select(
         "user_id", "window_start", F.col("events").alias("velocity"), F.col("amount").alias("window_amount")
     )
-    return events.withColumn("window_start", F.window("ts", width)["start"]).join(
-        per_window, ["user_id", "window_start"]
-    )
+    # window() drops rows without time, so it only sees those that have one.
+    placed = events.filter(F.col("ts").isNotNull()).withColumn("window_start", F.window("ts", width)["start"])
+    same = F.col("e.user_id").eqNullSafe(F.col("w.user_id")) & (F.col("e.window_start") == F.col("w.window_start"))
+    joined = placed.alias("e").join(per_window.alias("w"), same).select("e.*", "w.velocity", "w.window_amount")
+    timeless = events.filter(F.col("ts").isNull())
+    return joined.unionByName(timeless, allowMissingColumns=True)
 
 
 def stream_sessions(events: DataFrame, gap: str = StreamConfig.session_gap) -> DataFrame:
