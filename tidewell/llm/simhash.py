@@ -7,8 +7,9 @@ most two bits share at least one of them, since a word between both is a neighbo
 
 With at most four differing bits in all, either some segment agrees: then of the two others one
 differs in at most two bits, and the agreeing segment's bits together with the other's key are shared. Or
-all segments differ: then none differs in more than two bits, and the first two share a pair of
-keys. So joining on these keys meets every pair of fingerprints to be linked; each is verified.
+all segments differ: then two of them differ in one bit each. One-bit neighbours have different parity, so it
+is enough that words of even parity give their own index and those of odd parity all of theirs; a pair of
+such keys is shared. Joining on these keys meets every pair of fingerprints to be linked; each is verified.
 
 Only linked groups are wanted, not all pairs within them. Fingerprints are first linked to the smallest and
 the largest one under each key, which needs no pairs; a key all of whose fingerprints are then
@@ -132,11 +133,21 @@ def golay_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 rows.append(row)
                 keys.append((kind << 35) | (part[row] << 12) | indices[row, column])
                 kind += 1
-    # Both segments differ: every index of the first with every index of the second.
-    row, column = np.nonzero(near[0] >= 0)
-    inner, other = np.nonzero(near[1][row] >= 0)
-    rows.append(row[inner])
-    keys.append((kind << 35) | (near[0][row[inner], column[inner]] << 12) | near[1][row[inner], other])
+    odd = [np.bitwise_count(part.astype(np.uint64)).astype(np.int64) & 1 for part in parts]
+    single = [codeword_index(part) for part in parts]
+    for i, j in ((0, 1), (0, 2), (1, 2)):
+        # Words of even parity stand under their own index only.
+        sets = [np.where(odd[k][:, None] == 1, near[k], -1) for k in (i, j)]
+        for k, indices in zip((i, j), sets):
+            indices[:, 0] = np.where(odd[k] == 1, near[k][:, 0], single[k])
+        row, column = np.nonzero(sets[0] >= 0)
+        inner, other = np.nonzero(sets[1][row] >= 0)
+        owner = row[inner]
+        mixed = odd[i][owner] ^ odd[j][owner]
+        pair = (sets[0][owner, column[inner]] << 12) | sets[1][owner, other]
+        rows.append(owner)
+        keys.append((kind << 35) | (mixed << 24) | pair)
+        kind += 1
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -170,14 +181,10 @@ def linked_groups(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     # Keys with one fingerprint are gone from here on.
     shared = write_once(keys.join(ends, "key"), "simhash-shared")
     fp, low, high = F.col("fp"), F.col("low"), F.col("high")
-    stars = shared.select(
-        fp.alias("a"),
-        F.explode(
-            F.array_compact(
-                F.array(F.when(_close(fp, low, most_bits), low), F.when(_close(fp, high, most_bits), high))
-            )
-        ).alias("b"),
-    ).filter("a <> b")
+    stars = [
+        shared.filter((fp != end) & _close(fp, end, most_bits)).select(fp.alias("a"), end.alias("b")) for end in (low, high)
+    ]
+    stars = stars[0].unionByName(stars[1])
     first = write_once(components(stars), "simhash-groups")
     known = shared.select("key", "fp").join(first.withColumnRenamed("node", "fp"), "fp", "left").select(
         "key", "fp", F.coalesce("root", "fp").alias("root")
