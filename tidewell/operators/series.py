@@ -58,24 +58,32 @@ def last_values(series: DataFrame, n: int, out: str = "values") -> DataFrame:
     return newest(series, n).groupBy(*KEYS).agg(F.transform(points, lambda p: p["v"]).alias(out))
 
 
+def _history(n: int) -> dict[str, Column]:
+    """Aggregates of rows with `age`: statistics of the last `n` points, null for series that have fewer."""
+    within = F.when(F.col("age") <= n, F.col("current_stock"))
+    enough = F.count_if(F.col("age") <= n) >= n
+    parts = {
+        "avg": F.avg(within), "min": F.min(within), "max": F.max(within), "median": F.median(within),
+        "range": F.max(within) - F.min(within),
+    }
+    return {name: F.when(enough, column) for name, column in parts.items()}
+
+
 def history_features(series: DataFrame, n: int = 7) -> DataFrame:
     """avg, min, max, median and range of the last `n` points, for series that have as many."""
-    stock = F.col("current_stock")
-    return newest(series, n).groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.avg(stock).alias("avg"),
-        F.min(stock).alias("min"),
-        F.max(stock).alias("max"),
-        F.median(stock).alias("median"),
-        (F.max(stock) - F.min(stock)).alias("range"),
-    ).filter(F.col("_n") >= n).drop("_n")
-
-
-def change_features(series: DataFrame) -> DataFrame:
+    found = newest(series, n).groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("_n"), *[column.alias(name) for name, column in _history(n).items()]
+    )
+    return found.filter(F.col("_n") >= n).drop("_n")
+
+
+def change_features(series: DataFrame, also: dict[str, Column] | None = None) -> DataFrame:
     """Trend, velocity and spread over the whole series.
 
-    Trend and velocity need 2 points, spread 3; they are null for shorter series.
+    Trend and velocity need 2 points, spread 3; they are null for shorter series. `also` are further
+    aggregates of the same pass.
     """
+    also = also or {}
     stock, step = F.col("current_stock"), F.col("current_stock") - F.col("previous")
     summary = numbered(series).groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("n"),
@@ -87,6 +95,7 @@ def change_features(series: DataFrame) -> DataFrame:
         F.stddev_samp(step).alias("_step_dev"),
         F.stddev_samp(stock).alias("_dev"),
         F.avg(stock).alias("_mean"),
+        *[column.alias(name) for name, column in also.items()],
     )
     two, three = F.col("n") >= 2, F.col("n") >= 3
     trend = ratio(F.col("_last") - F.col("_first"), F.col("_first"))
@@ -101,6 +110,7 @@ def change_features(series: DataFrame) -> DataFrame:
         F.when(two, F.coalesce("_step_dev", F.lit(0.0))).alias("volatility"),
         F.when(three, F.col("_dev")).alias("std_dev"),
         F.when(three, ratio(F.col("_dev"), F.col("_mean"))).alias("cv"),
+        *also,
     )
 
 
@@ -110,9 +120,12 @@ def features(series: DataFrame) -> DataFrame:
 
 
 def extended_features(series: DataFrame) -> DataFrame:
-    """The 13 features plus statistics of several trailing windows, lags and weekdays."""
+    """The 13 features plus statistics of several trailing windows, lags and weekdays.
+
+    Two passes: one over all points in order, one over the newest ones.
+    """
     stock, age = F.col("current_stock"), F.col("age")
-    parts = []
+    parts = [column.alias(name) for name, column in _history(7).items()]
     for width in EXTENDED_WINDOWS:
         within = F.when(age <= width, stock)
         mean, dev = F.avg(within), F.stddev_samp(within)
@@ -131,7 +144,5 @@ def extended_features(series: DataFrame) -> DataFrame:
 
     # 1970-01-01 was a Thursday; weekday 0 is Sunday.
     weekday = F.pmod(F.floor(F.col("timestamp") / F.lit(ordered.DAY_MS)) + 4, F.lit(7))
-    days = series.groupBy(*KEYS).agg(*[
-        F.coalesce(F.avg(F.when(weekday == day, stock)), F.lit(0.0)).alias(f"weekday_{day}") for day in range(7)
-    ])
-    return features(series).join(windows, KEYS).join(days, KEYS)
+    days = {f"weekday_{d}": F.coalesce(F.avg(F.when(weekday == d, stock)), F.lit(0.0)) for d in range(7)}
+    return change_features(series, days).join(windows, KEYS)

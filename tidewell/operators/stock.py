@@ -115,8 +115,9 @@ def alerts(history: DataFrame, config: StockConfig = StockConfig()) -> DataFrame
 def fit_hybrid(history: DataFrame) -> DataFrame:
     """Coefficients of each series: straight line by least squares, last level and mean step.
 
-    The line comes from plain sums. With whole-number stock levels these are exact, so
-    the coefficients do not depend on how the rows were split over tasks.
+    Places run from 0 to n - 1, so what depends on them alone is known. The rest are plain sums, exact
+    for whole-number stock levels and so the same however the rows were split over tasks; nothing large
+    is subtracted from something as large.
     """
     position = F.struct(*[F.col(name) for name in S.ORDER])
     stock, place = F.col("current_stock"), F.col("i").cast("double")
@@ -124,17 +125,16 @@ def fit_hybrid(history: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.sum(stock).alias("_y"),
         F.sum(place * stock).alias("_xy"),
-        F.sum(place).alias("_x"),
-        F.sum(place * place).alias("_xx"),
         F.max_by("current_stock", position).alias("last"),
         F.min_by("current_stock", position).alias("first"),
         F.max("timestamp").alias("last_ms"),
     )
-    n, x, y = F.col("n").cast("double"), F.col("_x"), F.col("_y")
-    slope = (n * F.col("_xy") - x * y) / F.nullif(n * F.col("_xx") - x * x, F.lit(0.0))
+    n, y = F.col("n").cast("double"), F.col("_y")
+    middle = (n - 1) / 2
+    slope = 12 * (F.col("_xy") - middle * y) / F.nullif(n * (n * n - 1), F.lit(0.0))
     return sums.withColumn("slope", slope).select(
         *S.KEYS, "n", "slope",
-        ((y - F.col("slope") * x) / n).alias("intercept"),
+        (y / n - F.col("slope") * middle).alias("intercept"),
         "last", "first", "last_ms",
         ((F.col("last") - F.col("first")) / F.nullif(F.col("n") - 1, F.lit(0))).alias("drift"),
     )
