@@ -11,7 +11,7 @@ from tidewell.config import FraudConfig
 from tidewell.operators import fraud, quality, validate
 from tidewell.plans import batch
 from tidewell.sources import avro, clickstream, tables, topics
-from tidewell.storage import new_path, shared_dir
+from tidewell.storage import new_path, scratch, shared_dir, write_once
 
 
 def records(spark, values):
@@ -270,3 +270,13 @@ def test_profile_and_checks(spark):
 def test_shared_dir_is_required_on_a_cluster(spark):
     assert shared_dir(spark)
     assert set(config.REQUIRED_FIELDS) == set(config.EVENT_TYPES)
+
+
+def test_scratch_tables_are_deleted(spark):
+    df = spark.range(3)
+    kept = write_once(df, "kept")
+    with scratch(spark):
+        gone = write_once(df, "gone")
+        assert gone.count() == 3
+        path = gone.inputFiles()[0].removeprefix("file:")
+    assert not os.path.exists(os.path.dirname(path)) and kept.count() == 3

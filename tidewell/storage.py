@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _local_dirs: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,7 +34,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/tidewell/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tidewell/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what is put below the shared folder meanwhile.
+
+    Results are lazy: what is to stay has to be written elsewhere before the end.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def write_once(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
