@@ -66,6 +66,15 @@ def test_heavy_users_propose_no_pairs(spark):
     assert {(r.item_a, r.item_b): (r.dot, r.common) for r in got.collect()} == brute(data)[0]
 
 
+@pytest.mark.parametrize("min_common", [2, 3, 6, 7])
+def test_five_crawlers(spark, min_common):
+    """Five users over the whole catalog: some propose, and what only they share counts exactly."""
+    data = interactions(crawlers=5)
+    vectors = similarity.item_vectors(frame(spark, data))
+    got = similarity.pair_overlaps(vectors, min_common, heavy_degree=20)
+    assert {(r.item_a, r.item_b): (r.dot, r.common) for r in got.collect()} == brute(data, min_common)[0]
+
+
 def test_top_similar(spark):
     data = interactions()
     got = similarity.similarities(similarity.item_vectors(frame(spark, data)), config.SimilarityConfig(4, 3)).collect()

@@ -91,7 +91,13 @@ def _overlaps(vectors: DataFrame, items: DataFrame, min_common: int, heavy_degre
     )
     if not with_tail:
         return proposed.filter(F.col("common") >= min_common)
-    proposed = write_once(proposed, "rating-pairs")
+    # A pair gains at most the tail users its two items have; what cannot reach the minimum so is not stored.
+    gains = tail.groupBy("item").agg(F.count(F.lit(1)).alias("gain"))
+    for which in ("a", "b"):
+        gain = gains.select(F.col("item").alias(which), F.col("gain").alias(f"gain_{which}"))
+        proposed = proposed.join(gain, which, "left")
+    most = F.col("common") + F.coalesce("gain_a", F.lit(0)) + F.coalesce("gain_b", F.lit(0))
+    proposed = write_once(proposed.filter(most >= min_common).select("a", "b", "dot", "common"), "rating-pairs")
 
     pairs = proposed.select("a", "b")
     # Users in the tail of a, wherever they are in b; then those in the tail of b
