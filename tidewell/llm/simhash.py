@@ -162,7 +162,9 @@ def keyed(prints: DataFrame) -> DataFrame:
                 rows, keys = golay_keys(some.view(np.uint64))
                 yield pd.DataFrame({"key": keys, "fp": some[rows]})
 
-    return prints.select("fp").mapInPandas(run, "key bigint, fp bigint")
+    # Few bytes come in and sixty times as many go out: all shuffle partitions take part.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return prints.select("fp").repartition(parts).mapInPandas(run, "key bigint, fp bigint")
 
 
 def _close(a, b, most_bits: int):
