@@ -195,7 +195,8 @@ def _repeated(places: DataFrame) -> DataFrame:
     met = places.groupBy("hash", "check").agg(
         F.min("key").alias("k1"), F.max("key").alias("k2"), F.min("place").alias("p1"), F.max("place").alias("p2")
     ).filter("k1 <> k2 OR p1 <> p2").select("hash", "check")
-    found = places.join(met, ["hash", "check"])
+    # Written, so that both sides of the join are dealt out anew and Spark can split a very common window.
+    found = places.join(write_once(met, "repeats-met"), ["hash", "check"])
     return found.groupBy("key").agg(F.collect_set("place").alias("places"))
 
 
