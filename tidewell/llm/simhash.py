@@ -179,8 +179,10 @@ def linked_groups(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     if most_bits > MOST_BITS:
         raise ValueError("the keys find pairs of up to four differing bits")
     keys = write_once(keyed(prints), "simhash-keys")
-    ends = keys.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high")
-    # Keys with one fingerprint are gone from here on.
+    ends = keys.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.count(F.lit(1)).alias("n"))
+    # Keys with one fingerprint are gone from here on, and those with two that are not linked.
+    linked = (F.col("n") > 2) | _close(F.col("low"), F.col("high"), most_bits)
+    ends = ends.filter((F.col("low") != F.col("high")) & linked).drop("n")
     shared = write_once(keys.join(ends, "key"), "simhash-shared")
     fp, low, high = F.col("fp"), F.col("low"), F.col("high")
     stars = [
