@@ -29,7 +29,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 MOST_MODEL_BYTES = 16 << 20
 # Segments a task remembers. Only the time depends on it.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 NO_PIECE = float("-inf")
 # Up to this length a plain search for the best pair beats a heap.
 SHORT = 24
