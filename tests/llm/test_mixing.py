@@ -115,3 +115,34 @@ def test_mixed_documents(spark):
     assert mixed.columns == docs.columns
     counts = {r["doc_id"]: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
     assert set(counts.values()) <= {1, 2} and {3, 4, 5} <= set(counts)
+
+
+def test_mixed_documents_with_repeated_and_null_ids(spark):
+    """Rows that share an id do not multiply, and no source passes its target by more than a document."""
+    rows = [(None, f"n{i} " * (3 + i % 5), "a") for i in range(40)] + [(7, f"s{i} " * (3 + i % 5), "b") for i in range(40)]
+    rows += [(8, "the same row", "c")] * 2500 + [(i, "own words here", "c") for i in range(100, 140)]
+    docs = with_clashes(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    sizes, taken, times = defaultdict(int), defaultdict(int), defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += words(text)
+    for r in mixing.mixed_documents(docs, slot_bits=8).collect():
+        taken[r["source"]] += words(r["text"])
+        times[r["doc_id"], r["text"]] += 1
+    for source, target in plain_targets(sizes).items():
+        assert abs(taken[source] - target) <= 7
+    same = times.pop((8, "the same row"))
+    assert 2500 < same <= 5000 and max(times.values()) <= 2
+
+
+def test_mixed_documents_takes_the_awkward_table_as_it_is(spark):
+    docs = with_clashes(awkward(spark))
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    times = defaultdict(int)
+    for r in mixed.collect():
+        times[r["doc_id"], r["text"]] += 1
+    own = defaultdict(int)
+    for r in docs.collect():
+        own[r["doc_id"], r["text"]] += 1
+    assert all(n <= 2 * own[row] for row, n in times.items())
+    assert all(times[row] == own[row] for row in own if not words(row[1]))

@@ -23,6 +23,7 @@ MOST_PASSES = 2
 SLOT_BITS = 16
 CELL_BITS = 12
 SEED = 8
+COPIES_AT_ONCE = 1000
 
 
 def word_count(text: Column) -> Column:
@@ -31,6 +32,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.length(F.regexp_replace(marks, r"[\x20\x09-\x0D]+", "")), F.lit(0)).cast("bigint")
 
 
+def row_key(docs: DataFrame) -> Column:
+    """128 bits of hash of a whole row, which only rows equal in every column share."""
+    cells = [F.struct(F.col(f"`{c}`").isNull(), F.col(f"`{c}`")) for c in docs.columns]
+    return F.struct(F.xxhash64(*cells), F.xxhash64(F.lit(SEED), *cells))
+
+
 def source_targets(
     sizes: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -136,9 +143,10 @@ def _block_of(word: Column) -> Column:
 def streams(
     sizes: DataFrame, targets: DataFrame, seed: int = SEED, cell_bits: int = CELL_BITS
 ) -> DataFrame:
-    """Adds to id, source and size: source_size, target, cell, place and offset, where the document's words
+    """Adds to id, source, size and row: source_size, target, cell, place and offset, where the document's words
     start in the first pass of its source's stream. (source, cell, place) tells rows apart."""
-    order = F.xxhash64(F.col("id"), F.lit(seed))
+    # Rows without id are shuffled by what else they hold.
+    order = F.when(F.col("id").isNull(), F.xxhash64("row", F.lit(seed))).otherwise(F.xxhash64("id", F.lit(seed)))
     rows = sizes.withColumn("order", order).withColumn(
         "cell", F.shiftrightunsigned("order", 64 - cell_bits).cast("int")
     )
@@ -149,13 +157,13 @@ def streams(
     cells = cells.alias("c").join(
         targets.select("source", "source_size", "target").alias("t"), F.col("c.source").eqNullSafe(F.col("t.source"))
     ).select("c.*", "t.source_size", "t.target")
-    here = W.partitionBy("source", "cell").orderBy("order", "id", "size")
+    here = W.partitionBy("source", "cell").orderBy("order", "id", "size", "row")
     rows = rows.withColumn("place", F.row_number().over(here)).withColumn(
         "inner", F.coalesce(F.sum("size").over(here.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     )
     same = F.col("r.source").eqNullSafe(F.col("k.source")) & (F.col("r.cell") == F.col("k.cell"))
     return rows.alias("r").join(cells.alias("k"), same).select(
-        "r.id", "r.source", "r.size", "k.source_size", "k.target", "r.cell", "r.place",
+        "r.id", "r.source", "r.size", "r.row", "k.source_size", "k.target", "r.cell", "r.place",
         (F.col("k.base") + F.col("r.inner")).alias("offset"),
     )
 
@@ -174,12 +182,15 @@ def mix(
     """Which words of which documents every slot of the mix takes.
 
     One row per piece: slot, block, first and words (the piece's place within its document), pass, and
-    of the document id, source, size, source_size, target, cell and place. A document the mix
+    of the document id, source, size, row (see `row_key`), source_size, target, cell and place. A document the mix
     does not take has one row without slot and with 0 words. A null text has size 0, null is a source of its
     own, repeated rows are documents of their own, an empty table gives no rows.
     """
     sizes = docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
+        F.col(id_col).alias("id"),
+        F.col(source_col).alias("source"),
+        word_count(F.col(text_col)).alias("size"),
+        row_key(docs).alias("row"),
     )
     sizes = write_once(sizes, "mix-sizes")
     targets = write_once(source_targets(sizes, weights, share, passes), "mix-targets")
@@ -208,7 +219,7 @@ def mix(
         F.col("p.turn.pass").alias("pass"),
         (F.greatest(F.col("s.start"), F.col("p.turn.at")) - F.col("p.turn.at")).alias("first"),
         F.coalesce(taken, F.lit(0)).cast("bigint").alias("words"),
-        *[f"p.{c}" for c in ("id", "source", "size", "source_size", "target", "cell", "place")],
+        *[f"p.{c}" for c in ("id", "source", "size", "row", "source_size", "target", "cell", "place")],
     )
 
 
@@ -222,12 +233,23 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
     """The rows of `docs` as often as the mix takes them, in the columns of `docs`.
 
     A document is there once for every pass in which its first word is taken; a document without
-    words is there once. Ids have to be unique.
+    words is there once. Rows that share an id, or have none, are documents of their own. Of rows equal in every
+    column only the copies of all together can be told.
     """
     pieces = mix(docs, id_col, **options)
-    copies = pieces.groupBy(F.col("id").alias("_id")).agg(
-        F.greatest(F.count_if(F.col("first") == 0), F.count_if(F.col("size") == 0)).alias("_copies")
-    )
-    same = F.col(f"_d.`{id_col}`").eqNullSafe(F.col("_c._id"))
-    times = F.explode(F.array_repeat(F.lit(1), F.col("_c._copies").cast("int"))).alias("_copy")
-    return docs.alias("_d").join(copies.filter("_copies > 0").alias("_c"), same).select("_d.*", times).drop("_copy")
+    # A row without words has one piece.
+    begun = F.count_if(F.col("first") == 0) + F.count_if(F.col("size") == 0)
+    places = pieces.groupBy("row", "source", "cell", "place").agg(begun.alias("copies"))
+    copies = places.groupBy("row").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+    copies = write_once(copies.filter("_copies > 0").withColumnRenamed("row", "_row"), "mix-copies")
+    met = docs.withColumn("_key", row_key(docs)).alias("_d").join(copies.alias("_c"), F.col("_d._key") == F.col("_c._row"))
+    columns = [F.col(f"_d.`{c}`") for c in docs.columns]
+    times = lambda n: F.explode(F.sequence(F.lit(1), n))
+    alone = met.filter("_rows = 1").select(*columns, times(F.col("_copies")).alias("_copy")).drop("_copy")
+    # Equal rows become one, whose copies are dealt out in parts.
+    one = met.filter("_rows > 1").dropDuplicates(["_row"]).select(*columns, "_copies")
+    part = F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPIES_AT_ONCE)))
+    dealt = one.select("*", part.alias("_part")).repartition("_part", *[f"`{c}`" for c in docs.columns])
+    left = F.least(F.lit(COPIES_AT_ONCE), F.col("_copies") - F.col("_part") * COPIES_AT_ONCE)
+    repeated = dealt.select(*[f"`{c}`" for c in docs.columns], times(left).alias("_copy")).drop("_copy")
+    return alone.unionByName(repeated)
