@@ -74,3 +74,34 @@ def test_awkward(spark):
 def test_a_text_with_many_copies_is_numbered_in_lanes(spark):
     docs = spark.createDataFrame([(i, "same" if i % 3 else f"t{i}") for i in range(300)], "doc_id bigint, text string")
     check(shards.assign(with_clashes(docs), 4, lanes=8).collect(), docs.collect(), 4)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_even_cuts_stay_minimax(seed):
+    rng = random.Random(seed)
+    sizes = [rng.choice([1, 2, 5, rng.randint(1, 60), 300]) for _ in range(rng.randint(1, 14))]
+    parts = rng.randint(1, 6)
+    edges = [0, *shards.even_cuts(sizes, parts), len(sizes)]
+    assert edges == sorted(edges) and len(edges) <= parts + 1
+    assert max(sum(sizes[a:b]) for a, b in zip(edges, edges[1:])) == smallest_capacity(sizes, parts)
+
+
+@pytest.mark.parametrize("place", [0, 1, 5000, 9999])
+def test_what_lies_around_a_third_is_even(place):
+    sizes = [10] * 10_000
+    sizes.insert(place, 50_000)
+    edges = [0, *shards.even_cuts(sizes, 16), len(sizes)]
+    loads = sorted(sum(sizes[a:b]) for a, b in zip(edges, edges[1:]))
+    if place > 1:
+        assert len(loads) == 16
+    assert loads[-1] == 50_000 and loads[-2] <= 100_000 / 13
+
+
+def test_a_third_of_equal_texts_leaves_no_shard_empty(spark):
+    docs = spark.createDataFrame([(i, "the same" if i % 3 == 0 else f"text {i:5}") for i in range(6000)], "doc_id bigint, text string")
+    rows = shards.assign(docs, 16).collect()
+    check(rows, docs.collect(), 16)
+    loads = [0] * 16
+    for r in rows:
+        loads[r["shard"]] += r["size"]
+    assert min(loads) > 0 and sorted(loads)[-2] < 1.5 * sum(sorted(loads)[:-1]) / 15

@@ -4,7 +4,8 @@ Texts are laid out along their hash. The hash space is cut into a fixed number o
 equal texts always share a cell; the bytes of the cells, in order, are the atomic sizes. Binary
 search finds the smallest capacity at which a greedy fill needs no more shards than there
 are, and the cuts go where that fill puts them. Only the cells' totals reach the driver: a fixed
-number of integers, whatever the input. A shard exceeds the mean by less than its largest cell.
+number of integers, whatever the input. A shard exceeds the mean by less than its largest cell. A cell above
+the mean has a shard of its own where that raises no other above it, and the rest is cut in the same way around it.
 """
 
 from __future__ import annotations
@@ -53,6 +54,41 @@ def minimax_cuts(sizes: list[int], shards: int) -> list[int]:
     return _fill(ends, low, shards) or []
 
 
+def _largest(sizes: list[int], cuts: list[int]) -> int:
+    """The largest sum of the runs between cuts."""
+    ends = [0, *accumulate(sizes)]
+    edges = [0, *cuts, len(sizes)]
+    return max((ends[b] - ends[a] for a, b in zip(edges, edges[1:])), default=0)
+
+
+def even_cuts(sizes: list[int], shards: int) -> list[int]:
+    """Cuts as by `minimax_cuts`, with no larger sum, that also share out evenly what lies around an oversized cell.
+
+    A cell above the mean sets the capacity by itself. It gets a run of its own, and the runs before and after
+    it are cut in the same way into as many parts as keep the larger capacity of both smallest.
+    """
+    plain = minimax_cuts(sizes, shards)
+    if not sizes or shards < 2 or max(sizes) * shards <= sum(sizes):
+        return plain
+    at = sizes.index(max(sizes))
+    before, after = sizes[:at], sizes[at + 1:]
+    most = shards - 1 - bool(after)
+    if not before and not after or most < bool(before):
+        return plain
+    options = []
+    for parts in range(1, most + 1) if before else [0]:
+        rest = shards - 1 - parts if after else 0
+        load = max(_largest(before, minimax_cuts(before, parts)), _largest(after, minimax_cuts(after, rest)))
+        options.append((load, parts, rest))
+    load, parts, rest = min(options)
+    if load > _largest(sizes, plain):
+        return plain
+    cuts = even_cuts(before, parts) + [at] * bool(before)
+    if after:
+        cuts += [at + 1, *(at + 1 + c for c in even_cuts(after, rest))]
+    return cuts
+
+
 def _shard_of(cell: Column, starts: list[int]) -> Column:
     """How many of the starts are at or before `cell`."""
     shard = F.lit(0)
@@ -86,7 +122,7 @@ def assign(
         F.pmod(F.xxhash64(F.col(id_col), F.lit(1)), F.lit(lanes)).cast("int").alias("lane"),
     )
     totals = sorted((r["cell"], r["bytes"]) for r in rows.groupBy("cell").agg(F.sum("size").alias("bytes")).collect())
-    starts = [totals[i][0] for i in minimax_cuts([t[1] for t in totals], shards)]
+    starts = [totals[i][0] for i in even_cuts([t[1] for t in totals], shards)]
 
     in_lanes = rows.groupBy("cell", "lane").agg(F.count(F.lit(1)).alias("n"))
     earlier = W.partitionBy("cell").orderBy("lane").rowsBetween(W.unboundedPreceding, -1)
