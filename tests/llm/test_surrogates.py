@@ -93,3 +93,37 @@ def test_query(spark, folder):
         assert r["replaced"] == len(found)
         assert (r["text"] == docs[r["doc_id"]]) == (not found)
         assert not {r["text"][a:b] for a, b, _, _ in surrogates.detect(r["text"])} & originals
+
+
+def drawn(entities):
+    """Each entity's first draw that no earlier one has, by the rule of `assign`."""
+    taken = {normal for _, normal in entities}
+    for kind, normal in entities:
+        free = (surrogates.surrogate(b"k", kind, normal, draw) for draw in range(400))
+        core = next((c for c in free if c not in taken), None)
+        assert core is not None, (kind, normal)
+        taken.add(core)
+        yield core
+
+
+def test_every_kind_has_enough_surrogates():
+    for first in ("name", "имя", "όνομα"):
+        assert len(set(drawn([("given_n", f"{first}{i}") for i in range(1000)]))) == 1000
+    # All addresses of one letter on one domain, and on what the domain becomes.
+    domain = surrogates.surrogate(b"k", "email", "a@b.com").split("@")[1]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    assert len(set(drawn([("email", f"{c}@{d}") for c in letters for d in {"b.com", domain}]))) >= 26
+    assert len(set(drawn([("secret", "*******" + c) for c in letters]))) == 26
+
+
+def test_secret_of_signs_gets_a_surrogate(spark):
+    docs = spark.createDataFrame([(1, 'password = "********"'), (2, 'token: "--------"')], "doc_id bigint, text string")
+    texts = [r["text"] for r in surrogates.replace(docs, b"k").orderBy("doc_id").collect()]
+    assert re.fullmatch(r'password = "[a-z]{8}"', texts[0]) and re.fullmatch(r'token: "[a-z]{8}"', texts[1])
+
+
+def test_longer_surrogates_are_shown_whole():
+    for kind, surface, normal in (("ssn", "078-05-1120", "078051120"), ("phone", "743-555-3825", "7435553825"), ("card", "4111 1111 1111 1111", "4111111111111111")):
+        core = surrogates.surrogate(b"k", kind, normal, 80)
+        assert len(core) == len(normal) + 2
+        assert re.sub(r"\D", "", surrogates.shown(surface, core, kind)) == core

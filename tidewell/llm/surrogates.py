@@ -22,7 +22,8 @@ from tidewell.storage import write_once
 
 # After so many draws a surrogate may leave the narrower format (the number of digits of an IP address's parts).
 STRICT_DRAWS = 12
-MOST_DRAWS = 200
+# After so many draws, and again after as many, surrogates of fixed length get one more sign.
+LONGER_DRAWS = 36
 
 # Forms of address and what they say about gender; fixed values.
 TITLES = {
@@ -184,16 +185,17 @@ class _Draw:
 def surrogate(key: bytes, kind: str, normal: str, draw: int = 0) -> str:
     """The `draw`-th candidate for an entity, in normal form."""
     own = _Draw(key, kind, normal, draw)
+    longer = draw // LONGER_DRAWS
     if kind == "email":
         local, _, domain = normal.rpartition("@")
         rest, _, top = domain.rpartition(".")
         # The same domain is replaced alike in all addresses.
-        return own.like(local) + "@" + _Draw(key, "domain", domain, 0).like(rest) + "." + top
+        return own.like(local + "x" * longer) + "@" + _Draw(key, "domain", domain, 0).like(rest) + "." + top
     if kind == "card":
-        body = normal[0] + own.like(normal[1:-1])
+        body = normal[0] + own.like(normal[1:-1] + "0" * longer)
         return body + luhn_digit(body)
     if kind == "iban":
-        account = own.like(normal[4:])
+        account = own.like(normal[4:] + "0" * longer)
         return normal[:2] + iban_digits(normal[:2], account) + account
     if kind == "ip":
         if draw >= STRICT_DRAWS:
@@ -201,22 +203,26 @@ def surrogate(key: bytes, kind: str, normal: str, draw: int = 0) -> str:
         bounds = {1: (1, 10), 2: (10, 100), 3: (100, 255)}
         return ".".join(str(a + own.below(b - a)) for a, b in (bounds[len(p)] for p in normal.split(".")))
     if kind == "phone":
-        return normal[:1] + own.pick("23456789") + own.like(normal[2:])
+        return normal[:1] + own.pick("23456789") + own.like(normal[2:] + "0" * longer)
     if kind.startswith("given_"):
         script = script_of(normal)
         names = GIVEN[script][kind[-1]].lower().split()
-        return own.pick(names) if draw < STRICT_DRAWS else own.pick(names) + "-" + own.pick(SYLLABLES[script])
+        more = "".join(own.pick(SYLLABLES[script]) for _ in range(draw // STRICT_DRAWS))
+        return own.pick(names) + "-" * bool(more) + more
     if kind == "surname":
         parts = SYLLABLES[script_of(normal)]
         return "".join(own.pick(parts) for _ in range(2 + draw // STRICT_DRAWS + own.below(2)))
-    return own.like(normal)
+    if not any(c.isdigit() or c.isalpha() for c in normal):
+        # Signs alone would be their own surrogate.
+        normal = "x" * len(normal)
+    return own.like(normal + ("0" if kind == "ssn" or normal.isdigit() else "a") * longer)
 
 
 def shown(surface: str, core: str, kind: str) -> str:
     """A surrogate in the format of the surface it replaces."""
     if kind in ("phone", "card", "ssn", "iban"):
         signs = iter(core)
-        return "".join(next(signs) if c.isalnum() else c for c in surface)
+        return "".join(next(signs) if c.isalnum() else c for c in surface) + "".join(signs)
     if kind == "surname" or kind.startswith("given_"):
         if surface.isupper():
             return core.upper()
@@ -265,7 +271,8 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
     real = write_once(entities.select("kind", "normal", space.alias("space")), "surrogate-entities")
     waiting = real.withColumn("draw", F.lit(0))
     done = None
-    for draw in range(MOST_DRAWS):
+    draw = 0
+    while True:
         tried = write_once(waiting.withColumn("core", candidate("kind", "normal", "draw")), "surrogate-draw")
         free = tried.join(real.select("space", F.col("normal").alias("core")).distinct(), ["space", "core"], "left_anti")
         if done is not None:
@@ -277,7 +284,7 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
         waiting = write_once(waiting.withColumn("draw", F.lit(draw + 1)).drop("core"), "surrogate-waiting")
         if waiting.isEmpty():
             return done.select("kind", "normal", "core")
-    raise ValueError(f"no free surrogate after {MOST_DRAWS} draws")
+        draw += 1
 
 
 def replace(
