@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import exact, fracsketch, html, language, mixing, pieces, repeats, shards, simhash, surrogates
+from tidewell.llm import (
+    centroids,
+    conversations,
+    exact,
+    fracsketch,
+    html,
+    language,
+    mixing,
+    oracles,
+    phrases,
+    pieces,
+    repeats,
+    shards,
+    simhash,
+    surrogates,
+)
 from tidewell.session import apply_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,12 +39,13 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def query(table: str, sql: str | None = None):
-    """Register a function from one of the given tables to a result under its own name."""
+def query(*tables: str, sql: str | None = None):
+    """Register a function from given tables to a result under its own name."""
 
-    def register(build: Callable[[DataFrame], DataFrame]):
+    def register(build: Callable[..., DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(prepared(spark).read.parquet(f"{folder}/{table}.parquet"))
+            prepared(spark)
+            return build(*[spark.read.parquet(f"{folder}/{table}.parquet") for table in tables])
 
         QUERIES[build.__name__] = run
         if sql is not None:
@@ -73,7 +89,7 @@ def op6_shards(docs: DataFrame) -> DataFrame:
 
 @query(
     "documents",
-    """
+    sql="""
     SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
            doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
     FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
@@ -103,3 +119,27 @@ def op10_substring_dedup(docs: DataFrame) -> DataFrame:
         F.col("removed").alias("n_removed"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("conversations", sql=oracles.conversations())
+def op11_prefix_trie(turns: DataFrame) -> DataFrame:
+    return conversations.prefix_trie(turns)
+
+
+@query("embeddings", sql=oracles.centroids())
+def op12_centroids(vectors: DataFrame) -> DataFrame:
+    return centroids.clustered(vectors)
+
+
+@query("documents", "benchmark", sql=oracles.phrases())
+def op13_contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
+    found = phrases.contamination(docs, items)
+    n_hit = F.aggregate(F.arrays_zip("starts", "ends"), F.lit(0).cast("bigint"), lambda n, s: n + s["ends"] - s["starts"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("starts") > 0).alias("contaminated"),
+    )
