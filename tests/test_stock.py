@@ -5,7 +5,9 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import rows
 from tidewell import config
+from tidewell.catalogue.tables import Tables
 from tidewell.operators import cache, series, stock
 
 SCHEMA = "item_id string, warehouse_id string, timestamp bigint, change_id string, current_stock double"
@@ -142,3 +144,29 @@ def test_trend_sums_take_any_order(spark):
     two = stock.project_trend(stock.trend_sums(df.orderBy(F.col("timestamp").desc()))).first()
     assert one == two and one.forecast == pytest.approx([10.0, 8.0, 6.0, 4.0, 2.0, 0.0, -2.0]) and one.runout_days == 5
     assert config.ForecastConfig().weight_a + config.ForecastConfig().weight_b == 1
+
+
+def exchanges(df):
+    """Shuffles of rows in the plan, before any of it ran."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") + plan.count("Exchange SinglePartition")
+
+
+def test_series_are_shuffled_once(spark, folder):
+    table = Tables(spark, folder)
+    for found in (
+        series.features(table.stock), series.extended_features(table.stock), series.last_values(table.stock, 7),
+        stock.holdout_accuracy(table.stock), stock.hybrid(table.stock),
+    ):
+        assert exchanges(found) == 1
+
+
+def test_place_from_the_end_in_chunks(spark):
+    changes = spark.createDataFrame(
+        [(f"c{i:03}", i // 3, "a" if i % 4 else "b", "w", 1) for i in range(60)],
+        "change_id string, timestamp bigint, item_id string, warehouse_id string, quantity_change int",
+    )
+    whole = series.with_running_stock(changes, 0)
+    cut = series.with_running_stock(changes, 0, max_rows=10, chunk_rows=7)
+    assert rows(whole) == rows(cut)
+    assert {r["age"] for r in whole.filter("item_id = 'b'").collect()} == set(range(1, 16))

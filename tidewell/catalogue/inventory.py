@@ -282,7 +282,7 @@ WITH cut AS (SELECT *, age - 7 AS a2 FROM points WHERE age > 7),
 SELECT {ITEM}, count(err) AS points, {rnd('1 - avg(err)', 4)} AS accuracy FROM e GROUP BY 1, 2 HAVING count(err) > 0
 """)
 def _(t: Tables):
-    return rounded(stock.holdout_accuracy(write_once(t.stock, "stock-series")), "accuracy", digits=4)
+    return rounded(stock.holdout_accuracy(t.stock), "accuracy", digits=4)
 
 
 @query("inventory_balance", f"SELECT {ITEM}, quantity_after FROM points WHERE age = 1")

@@ -59,6 +59,7 @@ def scan(
     previous: dict[str, str] | None = None,
     total: dict[str, Column] | None = None,
     index: str | None = None,
+    back: str | None = None,
     max_rows: int = MAX_ROWS_PER_KEY,
     chunk_rows: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
@@ -68,11 +69,13 @@ def scan(
     previous: output -> column whose value in the row before is wanted
     total: output -> expression summed from the first row up to this one
     index: output for the row's position, from 0
+    back: output for the row's position from the end, from 1; needs `index`
     """
     previous = dict(previous or {})
     totals = dict(total or {})
     if index:
         totals[index] = F.lit(1).cast("bigint")
+    from_end = [back] if back else []
 
     def plain(rows: DataFrame) -> DataFrame:
         along = W.partitionBy(*keys).orderBy(*order)
@@ -80,6 +83,8 @@ def scan(
         sums = {out: F.sum(expr).over(running) for out, expr in totals.items()}
         if index:
             sums[index] = sums[index] - 1
+        if back:
+            sums[back] = F.count(F.lit(1)).over(W.partitionBy(*keys)) - sums[index]
         return rows.select(
             "*",
             *[F.lag(source).over(along).alias(out) for out, source in previous.items()],
@@ -87,12 +92,13 @@ def scan(
         )
 
     def chunked(rows: DataFrame) -> DataFrame:
-        return _chunked_scan(rows, keys, order, previous, totals, index).select(*df.columns, *previous, *totals)
+        scanned = _chunked_scan(rows, keys, order, previous, totals, index, back)
+        return scanned.select(*df.columns, *previous, *totals, *from_end)
 
     return _by_size(df, keys, order, max_rows, chunk_rows, plain, chunked)
 
 
-def _chunked_scan(rows, keys, order, previous, totals, index) -> DataFrame:
+def _chunked_scan(rows, keys, order, previous, totals, index, back) -> DataFrame:
     position = F.struct(*[F.col(name) for name in order])
     # A struct around the value: the last row counts even where its value is null.
     parts = [F.max_by(F.struct(F.col(source).alias("v")), position).alias(f"_last_{out}") for out, source in previous.items()]
@@ -106,6 +112,7 @@ def _chunked_scan(rows, keys, order, previous, totals, index) -> DataFrame:
         "_chunk",
         *[F.lag(f"_last_{out}").over(along)["v"].alias(f"_carry_{out}") for out in previous],
         *[F.sum(f"_sum_{out}").over(before).alias(f"_carry_{out}") for out in totals],
+        F.sum("_rows").over(W.partitionBy(*keys)).alias("_all"),
     )
 
     inside = W.partitionBy(*keys, "_chunk").orderBy(*order)
@@ -126,6 +133,8 @@ def _chunked_scan(rows, keys, order, previous, totals, index) -> DataFrame:
         # A sum over nulls only is null, as in a plain window.
         value = F.when(here.isNull(), earlier).otherwise(here + F.coalesce(earlier, F.lit(0)))
         result[out] = value - 1 if out == index else value
+    if back:
+        result[back] = F.col("_c._all") - result[index]
     return joined.select("_d.*", *[column.alias(out) for out, column in result.items()])
 
 

@@ -19,26 +19,30 @@ def _position() -> Column:
     return F.struct(*[F.col(name) for name in ORDER])
 
 
+#: Columns of a series in order: the place from 0, the stock before, and the place from the end, from 1.
+PLACED = {"i", "previous", "age"}
+
+
 def numbered(series: DataFrame, max_rows: int = ordered.MAX_ROWS_PER_KEY) -> DataFrame:
-    """Add `i`, the place in the series from 0, and `previous`, the stock before.
+    """Add `i`, `previous` and `age`, all from one window.
 
-    A series that has them already stays as it is.
+    A series that has them already stays as it is, and what is computed per series from it needs no shuffle.
     """
-    if {"i", "previous"} <= set(series.columns):
+    if PLACED <= set(series.columns):
         return series
     return ordered.scan(
         series, KEYS, ORDER,
-        previous={"previous": "current_stock"}, index="i", max_rows=max_rows,
+        previous={"previous": "current_stock"}, index="i", back="age", max_rows=max_rows,
     )
 
 
 def with_running_stock(
     changes: DataFrame, opening: float, max_rows: int = ordered.MAX_ROWS_PER_KEY, chunk_rows: int = ordered.ROWS_PER_CHUNK
 ) -> DataFrame:
-    """Add `current_stock`, an opening level plus all changes up to each row, and `i` and `previous`."""
+    """Add `current_stock`, an opening level plus all changes up to each row, and `i`, `previous` and `age`."""
     scanned = ordered.scan(
         changes, KEYS, ORDER,
-        total={"current_stock": F.col("quantity_change")}, index="i", max_rows=max_rows, chunk_rows=chunk_rows,
+        total={"current_stock": F.col("quantity_change")}, index="i", back="age", max_rows=max_rows, chunk_rows=chunk_rows,
     )
     level = (F.col("current_stock") + F.lit(opening)).cast("double")
     return scanned.withColumns({
@@ -49,6 +53,8 @@ def with_running_stock(
 
 def newest(series: DataFrame, n: int) -> DataFrame:
     """The last `n` points of each series; `age` is 1 for the last one."""
+    if "age" in series.columns:
+        return series.filter(F.col("age") <= n)
     return ordered.top(series, KEYS, [F.col(name).desc() for name in ORDER], n, rank="age")
 
 
@@ -115,34 +121,29 @@ def change_features(series: DataFrame, also: dict[str, Column] | None = None) ->
 
 
 def features(series: DataFrame) -> DataFrame:
-    """All 13 features of each series."""
-    return change_features(series).join(history_features(series), KEYS, "left")
+    """All 13 features of each series, in one pass."""
+    return change_features(numbered(series), _history(7))
 
 
 def extended_features(series: DataFrame) -> DataFrame:
-    """The 13 features plus statistics of several trailing windows, lags and weekdays.
-
-    Two passes: one over all points in order, one over the newest ones.
-    """
+    """The 13 features plus statistics of several trailing windows, lags and weekdays, in one pass."""
     stock, age = F.col("current_stock"), F.col("age")
-    parts = [column.alias(name) for name, column in _history(7).items()]
+    parts = _history(7)
     for width in EXTENDED_WINDOWS:
         within = F.when(age <= width, stock)
         mean, dev = F.avg(within), F.stddev_samp(within)
-        parts += [
-            mean.alias(f"avg_{width}"),
-            F.min(within).alias(f"min_{width}"),
-            F.max(within).alias(f"max_{width}"),
-            F.median(within).alias(f"median_{width}"),
-            (F.max(within) - F.min(within)).alias(f"range_{width}"),
-            F.coalesce(dev, F.lit(0.0)).alias(f"std_{width}"),
-            F.coalesce(F.regr_slope(within, -age.cast("double")), F.lit(0.0)).alias(f"slope_{width}"),
-            F.coalesce(ratio(dev, mean), F.lit(0.0)).alias(f"cv_{width}"),
-        ]
-    parts += [F.max(F.when(age == back + 1, stock)).alias(f"lag_{back}") for back in EXTENDED_LAGS]
-    windows = newest(series, max(EXTENDED_WINDOWS)).groupBy(*KEYS).agg(*parts)
-
+        parts |= {
+            f"avg_{width}": mean,
+            f"min_{width}": F.min(within),
+            f"max_{width}": F.max(within),
+            f"median_{width}": F.median(within),
+            f"range_{width}": F.max(within) - F.min(within),
+            f"std_{width}": F.coalesce(dev, F.lit(0.0)),
+            f"slope_{width}": F.coalesce(F.regr_slope(within, -age.cast("double")), F.lit(0.0)),
+            f"cv_{width}": F.coalesce(ratio(dev, mean), F.lit(0.0)),
+        }
+    parts |= {f"lag_{back}": F.max(F.when(age == back + 1, stock)) for back in EXTENDED_LAGS}
     # 1970-01-01 was a Thursday; weekday 0 is Sunday.
     weekday = F.pmod(F.floor(F.col("timestamp") / F.lit(ordered.DAY_MS)) + 4, F.lit(7))
-    days = {f"weekday_{d}": F.coalesce(F.avg(F.when(weekday == d, stock)), F.lit(0.0)) for d in range(7)}
-    return change_features(series, days).join(windows, KEYS)
+    parts |= {f"weekday_{d}": F.coalesce(F.avg(F.when(weekday == d, stock)), F.lit(0.0)) for d in range(7)}
+    return change_features(numbered(series), parts)

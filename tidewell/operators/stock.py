@@ -112,31 +112,38 @@ def alerts(history: DataFrame, config: StockConfig = StockConfig()) -> DataFrame
     )
 
 
-def fit_hybrid(history: DataFrame) -> DataFrame:
+def fit_hybrid(history: DataFrame, held: int = 0) -> DataFrame:
     """Coefficients of each series: straight line by least squares, last level and mean step.
 
-    Places run from 0 to n - 1, so what depends on them alone is known. The rest are plain sums, exact
-    for whole-number stock levels and so the same however the rows were split over tasks; nothing large
-    is subtracted from something as large.
+    The last `held` points are left out and returned as `held`, oldest first, where there are any. Places run from
+    0 to n - 1, so what depends on them alone is known. The rest are plain sums, exact for whole-number stock
+    levels and so the same however the rows were split over tasks. Slope and intercept are one division each of
+    what is exact.
     """
-    position = F.struct(*[F.col(name) for name in S.ORDER])
-    stock, place = F.col("current_stock"), F.col("i").cast("double")
-    sums = S.numbered(history).groupBy(*S.KEYS).agg(
-        F.count(F.lit(1)).alias("n"),
+    used = F.col("age") > held
+    position = F.when(used, F.struct(*[F.col(name) for name in S.ORDER]))
+    stock, place = F.when(used, F.col("current_stock")), F.col("i").cast("double")
+    left_out = F.collect_list(F.when(~used, F.struct((-F.col("age")).alias("o"), F.col("current_stock").alias("v"))))
+    parts = [
+        F.count_if(used).alias("n"),
         F.sum(stock).alias("_y"),
         F.sum(place * stock).alias("_xy"),
         F.max_by("current_stock", position).alias("last"),
         F.min_by("current_stock", position).alias("first"),
-        F.max("timestamp").alias("last_ms"),
-    )
+        F.max(F.when(used, F.col("timestamp"))).alias("last_ms"),
+    ]
+    if held:
+        parts.append(F.transform(F.array_sort(left_out), lambda p: p["v"]).alias("held"))
+    sums = S.numbered(history).groupBy(*S.KEYS).agg(*parts)
     n, y = F.col("n").cast("double"), F.col("_y")
     middle = (n - 1) / 2
     slope = 12 * (F.col("_xy") - middle * y) / F.nullif(n * (n * n - 1), F.lit(0.0))
     return sums.withColumn("slope", slope).select(
         *S.KEYS, "n", "slope",
-        (y / n - F.col("slope") * middle).alias("intercept"),
+        ((y - F.col("slope") * (middle * n)) / F.nullif(n, F.lit(0.0))).alias("intercept"),
         "last", "first", "last_ms",
         ((F.col("last") - F.col("first")) / F.nullif(F.col("n") - 1, F.lit(0))).alias("drift"),
+        *(["held"] if held else []),
     )
 
 
@@ -155,6 +162,7 @@ def predict_hybrid(fitted: DataFrame, config: ForecastConfig = ForecastConfig())
     return placed.select(
         *S.KEYS, "n", F.col("last").alias("current_stock"), "last_ms",
         *[column.alias(name) for name, column in parts.items()],
+        *[F.col(name) for name in fitted.columns if name == "held"],
     ).withColumn("runout_days", runout_index(F.col("forecast")))
 
 
@@ -216,18 +224,18 @@ def reorder_check(forecasts: DataFrame, policy: DataFrame, config: StockConfig =
 
 
 def holdout_accuracy(history: DataFrame, config: ForecastConfig = ForecastConfig()) -> DataFrame:
-    """1 - mean absolute percentage error over the last points, forecast from those before."""
-    held = S.newest(history, config.periods).select(*S.KEYS, "age", "current_stock")
-    ends = S.newest(history, config.periods + 1).filter(F.col("age") == config.periods + 1).select(
-        *S.KEYS, F.struct(*[F.col(name) for name in S.ORDER]).alias("_end")
-    )
-    before = history.join(ends, S.KEYS).filter(F.struct(*[F.col(name) for name in S.ORDER]) <= F.col("_end"))
-    predicted = hybrid(before.drop("_end"), config).select(*S.KEYS, F.posexplode("forecast").alias("_h", "predicted"))
-    paired = held.withColumn("_h", F.lit(config.periods) - F.col("age")).join(predicted, [*S.KEYS, "_h"])
-    error = F.abs(F.col("current_stock") - F.col("predicted")) / F.abs(F.nullif(F.col("current_stock"), F.lit(0.0)))
-    return paired.groupBy(*S.KEYS).agg(
-        F.count(error).alias("points"), (F.lit(1.0) - F.avg(error)).alias("accuracy")
-    ).filter(F.col("points") > 0)
+    """1 - mean absolute percentage error over the last points, forecast from those before; one pass over a series."""
+    predicted = predict_hybrid(fit_hybrid(history, config.periods), config)
+
+    def error(real: Column, guess: Column) -> Column:
+        return F.abs(real - guess) / F.abs(F.nullif(real, F.lit(0.0)))
+
+    errors = F.filter(F.zip_with("held", "forecast", error), lambda e: e.isNotNull())
+    points = F.size(errors).cast("bigint")
+    total = F.aggregate(errors, F.lit(0.0), lambda done, e: done + e)
+    return predicted.select(
+        *S.KEYS, points.alias("points"), (F.lit(1.0) - total / F.nullif(points, F.lit(0))).alias("accuracy")
+    ).filter("points > 0")
 
 
 def balance_errors(changes: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ Input has `ts`, a timestamp with time zone. On a stream set the watermark first.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewell.config import StreamConfig
@@ -81,26 +82,75 @@ def sliding(changes: DataFrame, width: str = StreamConfig.sliding, slide: str =
 def sliding_by_panes(changes: DataFrame, hours: int = 24) -> DataFrame:
     """The same windows, sliding by an hour, in batch.
 
-    A row belongs to 24 windows. Rows are summed up per hour first and only those
-    sums are copied to the windows, so the copies are few.
+    Rows are summed up per hour. What a window holds changes only where an hour's pane enters or leaves it, so
+    windows are computed once per such instant and repeated for the starts up to the next one. Counts and sums are
+    differences of running totals. Lowest and highest levels come from blocks of as many hours as a window has: it
+    covers the end of one block and the beginning of the next, whose running extremes are known. A key has at most
+    one pane per hour, and everything after the panes happens where a key's panes are.
     """
+    keys = ["item_id", "warehouse_id"]
     hour = F.floor(F.col("timestamp") / F.lit(3600000)).cast("bigint")
-    panes = changes.groupBy("item_id", "warehouse_id", hour.alias("_hour")).agg(
+    panes = changes.filter(F.col("timestamp").isNotNull()).groupBy(*keys, hour.alias("_hour")).agg(
         F.count(F.lit(1)).alias("_n"),
+        F.count("quantity_change").alias("_known"),
         F.sum("quantity_change").alias("_net"),
         F.min("current_stock").alias("_min"),
         F.max("current_stock").alias("_max"),
     )
-    starts = F.sequence(F.col("_hour") - (hours - 1), F.col("_hour"))
-    spread = panes.withColumn("_start", F.explode(starts))
-    return spread.groupBy("item_id", "warehouse_id", "_start").agg(
-        F.sum("_n").alias("changes"),
-        F.sum("_net").alias("net_change"),
-        F.min("_min").alias("min_stock"),
-        F.max("_max").alias("max_stock"),
-    ).select(
-        "item_id", "warehouse_id",
+    block = F.floor(F.col("_hour") / hours)
+    along, inside = W.partitionBy(*keys).orderBy("_hour"), W.partitionBy(*keys, "_block")
+    upto = inside.orderBy("_hour").rowsBetween(W.unboundedPreceding, W.currentRow)
+    onward = inside.orderBy(F.col("_hour").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    running = along.rowsBetween(W.unboundedPreceding, W.currentRow)
+    total = F.struct(
+        F.sum("_n").over(running).alias("n"), F.sum("_known").over(running).alias("known"),
+        F.sum(F.coalesce("_net", F.lit(0))).over(running).alias("net"),
+    )
+    ends = {
+        name: F.struct("_block", F.min("_min").over(edge).alias("min"), F.max("_max").over(edge).alias("max"))
+        for name, edge in (("_upto", upto), ("_onward", onward))
+    }
+    panes = panes.withColumn("_block", block).withColumns({**ends, "_total": total})
+    panes = panes.withColumn("_next", F.lead("_onward").over(along))
+
+    # A pane is in the windows that start from hours - 1 before it up to its own hour.
+    enters = F.struct((F.col("_hour") - (hours - 1)).alias("start"), F.lit(True).alias("enters"))
+    leaves = F.struct((F.col("_hour") + 1).alias("start"), F.lit(False).alias("enters"))
+    turns = panes.withColumn("_turn", F.explode(F.array(enters, leaves))).select("*", "_turn.start", "_turn.enters")
+    by_start = W.partitionBy(*keys).orderBy("start")
+    before = by_start.rowsBetween(W.unboundedPreceding, W.currentRow)
+    came = F.when(F.col("enters"), F.struct("_total", "_upto"))
+    gone = F.when(~F.col("enters"), F.struct("_total", "_next"))
+    opening = F.first(F.when(F.col("enters"), F.struct("_onward")), ignorenulls=True).over(before)
+    turns = turns.select(
+        *keys, "start",
+        F.last(came, ignorenulls=True).over(before).alias("came"),
+        F.last(gone, ignorenulls=True).over(before).alias("gone"),
+        opening.alias("opening"),
+        F.lead("start").over(by_start).alias("until"),
+    )
+    # Of several turns at one instant only the last one lasts; after the last pane nothing is left.
+    turns = turns.filter("until > start")
+
+    def kept(name: str):
+        return F.col(f"came._total.{name}") - F.coalesce(F.col(f"gone._total.{name}"), F.lit(0))
+
+    low = F.when(F.col("gone").isNull(), F.col("opening._onward")).otherwise(F.col("gone._next"))
+    changes_in = turns.select("*", low.alias("low"), kept("n").alias("changes"), kept("known").alias("known")).filter("changes > 0")
+    spread = changes_in.withColumn("_start", F.explode(F.sequence(F.col("start"), F.col("until") - 1)))
+    first_block, last_block = F.floor(F.col("_start") / hours), F.floor((F.col("_start") + hours - 1) / hours)
+
+    def extreme(name: str, choose):
+        from_low = F.when(F.col("low._block") == first_block, F.col(f"low.{name}"))
+        from_high = F.when((F.col("came._upto._block") == last_block), F.col(f"came._upto.{name}"))
+        return choose(from_low, from_high)
+
+    return spread.select(
+        *keys,
         F.timestamp_millis(F.col("_start") * 3600000).alias("window_start"),
         F.timestamp_millis((F.col("_start") + hours) * 3600000).alias("window_end"),
-        "changes", "net_change", "min_stock", "max_stock",
+        "changes",
+        F.when(F.col("known") > 0, kept("net")).alias("net_change"),
+        extreme("min", F.least).alias("min_stock"),
+        extreme("max", F.greatest).alias("max_stock"),
     )
