@@ -1,9 +1,10 @@
-"""Exact duplicates by a tree-merge of digest runs.
+"""Exact duplicates by a tree-merge of sorted digest runs.
 
-Every scan partition is a run: its rows shrink to one row per distinct digest before they
-leave the task. Runs then meet in rounds: in each, `fan_in` neighbouring runs are merged into
-one, keeping per digest the identifier that stays and the number of rows. A digest held by
-a third of all rows is one row per run from the first round on.
+Every scan partition is a run: it is sorted by digest, and equal neighbours are folded into one row with the
+identifier that stays and the number of rows. Runs then meet in rounds. In each, `fan_in` neighbours exchange what
+they have: each takes one part of the digests' range from all of them, merges the sorted pieces and folds equal
+neighbours again. After the last round all runs have met and every part of the range is one sorted run; no task ever
+holds more than its part. A digest held by a third of all rows is one row per run from the first fold on.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 RUNS = 4096
 FAN_IN = 16
+KEY = ["sha", "short", "bytes"]
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -32,24 +34,40 @@ def _stays(column: Column, keep: str) -> Column:
     return F.min(column) if keep == "smallest" else F.max(column)
 
 
+def _folded(runs: DataFrame, place: list[str], keep: str) -> DataFrame:
+    """Runs brought together by `place`, merged in the order of their digests, with equal neighbours folded.
+
+    The identifier is compared inside a struct, which Spark aggregates in sorted order, row after row, and not by
+    hashing. A null one counts only where there is no other.
+    """
+    merged = runs.repartition(*place).sortWithinPartitions(*place, *KEY)
+    known = F.when(F.col("keep_id").isNotNull(), F.struct("keep_id"))
+    folded = merged.groupBy(*place, *KEY).agg(_stays(known, keep).alias("_id"), F.sum("group_size").alias("group_size"))
+    return folded.select(*place, *KEY, F.col("_id.keep_id").alias("keep_id"), "group_size")
+
+
 def merge_runs(rows: DataFrame, keep: str = "smallest", runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
     """One row per distinct text: short, sha, bytes, keep_id and group_size.
 
     `rows` as from `digests`. Two rows are equal when both digests and the length agree; this
     is checked anew at every level, the short digest alone never decides.
     """
-    key = ["short", "sha", "bytes"]
-    level = rows.select("*", F.pmod(F.spark_partition_id(), F.lit(runs)).alias("run"))
-    level = level.select(*key, "run", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"))
-    while True:
-        runs = -(-runs // fan_in)
-        level = (
-            level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-            .groupBy("run", *key)
-            .agg(_stays(F.col("keep_id"), keep).alias("keep_id"), F.sum("group_size").alias("group_size"))
-        )
-        if runs == 1:
-            return level.drop("run")
+    level = rows.select(
+        *KEY, F.pmod(F.spark_partition_id(), F.lit(runs)).alias("run"), F.col("id").alias("keep_id"),
+        F.lit(1).cast("bigint").alias("group_size"),
+    )
+    level = _folded(level, ["run"], keep).withColumn("part", F.lit(0).cast("bigint"))
+    parts = 1
+    # The first 32 bits of the digest, as a place in its range.
+    top = F.conv(F.substring("sha", 1, 8), 16, 10).cast("bigint")
+    while runs > 1:
+        runs, parts = -(-runs // fan_in), parts * fan_in
+        level = level.withColumns({
+            "run": F.floor(F.col("run") / fan_in).cast("int"),
+            "part": F.shiftright(top * F.lit(parts).cast("bigint"), 32),
+        })
+        level = _folded(level, ["run", "part"], keep)
+    return level.drop("run", "part")
 
 
 def exact_groups(
