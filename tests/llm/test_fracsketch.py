@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.fixtures import awkward, check_awkward
 from tidewell.llm import fracsketch
@@ -62,6 +63,7 @@ def test_merging_and_estimates():
     assert abs(fracsketch.containment(a, b) - 0.5) < 0.05
     whole = fracsketch.sketch(small + "\n" + large)
     assert len(np.setdiff1d(fracsketch.merged(a, b), whole)) == 0
+    assert not fracsketch.is_whole(whole)
     assert len(np.setdiff1d(whole, fracsketch.merged(a, b))) <= 12
     assert (fracsketch.from_text(fracsketch.to_text(a)) == a).all()
 
@@ -71,3 +73,46 @@ def test_fingerprints(spark):
     of = {r["doc_id"]: r["fingerprint"] for r in rows}
     assert of[1] == of[2] != of[-9] and of[3] == of[4] == ""
     assert all(len(r["fingerprint"]) == 16 * r["hashes"] for r in rows)
+
+
+def test_short_texts_keep_their_shingles():
+    rng = np.random.default_rng(8)
+    texts = ["".join(rng.choice(list("abcdefghij "), n)) for n in rng.integers(1, 260, 400)]
+    sketches = [fracsketch.sketch(t) for t in texts]
+    assert all(len(s) for s in sketches)
+    assert fracsketch.containment(fracsketch.sketch("one short text here"), fracsketch.sketch("hello world, nothing")) == 0
+    assert fracsketch.containment(fracsketch.sketch(""), fracsketch.sketch("")) == 1
+    assert fracsketch.containment(fracsketch.sketch(""), fracsketch.sketch("a")) == 0
+    assert fracsketch.containment(fracsketch.sketch("a"), fracsketch.sketch("")) == 0
+    for text, other in zip(texts, texts[1:]):
+        exact = lambda t: {t[i:i + 12] for i in range(max(1, len(t) - 11))}
+        half = text[:len(text) - len(text) // 2] + other[:len(text) // 2]
+        wanted = len(exact(text) & exact(half)) / len(exact(text))
+        assert abs(fracsketch.containment(fracsketch.sketch(text), fracsketch.sketch(half)) - wanted) < 1e-9 or len(text) < 14
+
+
+def test_a_short_text_inside_a_long_one():
+    rng = np.random.default_rng(9)
+    long = "".join(rng.choice(list("abcdefghij "), 20_000))
+    part = long[5000:5200]
+    assert fracsketch.containment(fracsketch.sketch(part), fracsketch.sketch(long)) == 1
+    both = fracsketch.merged(fracsketch.sketch(part), fracsketch.sketch(long))
+    assert (both == fracsketch.sketch(long)).all()
+
+
+def test_ids_of_text(spark):
+    rows = [(f"id{i:03d}", f"text number {i} " * (i % 7)) for i in range(200)] + [(None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or ""))
+    following = {a[0]: b[1] for a, b in zip(ordered, ordered[1:] + ordered[:1])}
+    for chunk_rows in (9, 4000):
+        for r in fracsketch.edited_likeness(docs, chunk_rows=chunk_rows).collect():
+            text, half = dict(rows)[r["doc_id"]], len(dict(rows)[r["doc_id"]]) // 2
+            edited = text[:len(text) - half] + following[r["doc_id"]][:half]
+            assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+
+
+def test_place_among_many_starts(spark):
+    starts = list(range(0, 1000, 3))
+    found = spark.range(-5, 1005).select("id", fracsketch._place(F.col("id"), starts).alias("n")).collect()
+    assert all(r["n"] == sum(s <= r["id"] for s in starts) for r in found)

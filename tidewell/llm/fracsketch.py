@@ -2,7 +2,9 @@
 
 A sketch keeps every shingle hash below a fixed fraction of the hash range. The same shingles are
 kept in every document, so sketches merge by union, and the share of one sketch found in another
-estimates how much of one document is contained in the other, however unequal their sizes.
+estimates how much of one document is contained in the other, however unequal their sizes. Texts of few
+shingles, of which that could leave none, keep all their hashes: their sketches are whole, which the hashes above
+the threshold show. Sketches are compared, and merged, on the hashes that both kinds keep.
 """
 
 from __future__ import annotations
@@ -12,16 +14,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Characters of a shingle, and one in how many hashes is kept.
 WIDTH = 12
 SCALE = 16
+#: Texts of no more shingles keep all. With one hash in 16, longer ones keep none with a probability below 10^-7.
+WHOLE = 256
 # Hash digits of a fingerprint; hashes below 2**64 / 16 need 15.
 DIGITS = 16
 CHUNK_ROWS = 4_000
 MOST_CHUNKS = 10_000
+SAMPLED_PER_CHUNK = 20
+SEED = 5
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -42,22 +49,39 @@ def shingle_hashes(text: str, width: int = WIDTH) -> np.ndarray:
     return total ^ (total >> np.uint64(31))
 
 
+def threshold(scale: int) -> np.uint64:
+    """The largest hash that long texts keep."""
+    return np.uint64(2**64 // scale - 1)
+
+
 def sketch(text: str, width: int = WIDTH, scale: int = SCALE) -> np.ndarray:
-    """The distinct hashes of the text's shingles below 2**64 / scale, in order."""
+    """The distinct hashes of the text's shingles below 2**64 / scale, or all of a short text's, in order."""
     hashes = shingle_hashes(text, width)
-    return np.unique(hashes[hashes <= np.uint64(2**64 // scale - 1)])
+    return np.unique(hashes if len(hashes) <= WHOLE else hashes[hashes <= threshold(scale)])
+
 
+def is_whole(hashes: np.ndarray, scale: int = SCALE) -> bool:
+    """Whether a sketch shows that nothing was left out of it."""
+    return not len(hashes) or hashes[-1] > threshold(scale)
 
-def merged(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The sketch of two documents together."""
-    return np.union1d(left, right)
 
+def merged(left: np.ndarray, right: np.ndarray, scale: int = SCALE) -> np.ndarray:
+    """The sketch of two documents together; whole if both are."""
+    union = np.union1d(left, right)
+    return union if is_whole(left, scale) and is_whole(right, scale) else union[union <= threshold(scale)]
 
-def containment(left: np.ndarray, right: np.ndarray) -> float:
-    """The estimated share of `left`'s shingles that are in `right`; without any hash 1 if both are empty, else 0."""
+
+def containment(left: np.ndarray, right: np.ndarray, scale: int = SCALE) -> float:
+    """The share of `left`'s shingles that are in `right`, estimated unless both sketches are whole.
+
+    Two empty texts are alike (1), an empty one and another are not (0). A whole sketch none of whose hashes another
+    that is not whole would keep gives 0.
+    """
     if not len(left):
         return float(not len(right))
-    return float(np.isin(left, right, assume_unique=True).mean())
+    if not is_whole(right, scale):
+        left = left[left <= threshold(scale)]
+    return float(np.isin(left, right, assume_unique=True).mean()) if len(left) else 0.0
 
 
 def to_text(hashes: np.ndarray) -> str:
@@ -73,8 +97,7 @@ def fingerprints(
 ) -> DataFrame:
     """id, fingerprint (its hashes in order, 16 hex digits each) and hashes (their number) of each row.
 
-    A null text counts as empty; a text none of whose shingles falls below the threshold has an
-    empty fingerprint. Equal texts have equal fingerprints. Repeated rows get one each.
+    A null text counts as empty, and an empty text has an empty fingerprint. Equal texts have equal fingerprints. Repeated rows get one each.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -96,8 +119,24 @@ def _chunk_starts(rows: DataFrame, chunk_rows: int) -> list:
     if chunks == 1:
         return []
     parts = [i / chunks for i in range(1, chunks)]
-    found = rows.agg(F.percentile_approx("id", parts, 100_000)).first()[0]
-    return sorted(set(found or []))
+    if isinstance(rows.schema["id"].dataType, T.NumericType):
+        found = rows.agg(F.percentile_approx("id", parts, 100_000)).first()[0] or []
+    else:
+        # Ids that are no numbers are cut by a sample whose size depends on the number of chunks only.
+        share = min(1.0, SAMPLED_PER_CHUNK * chunks / max(1, rows.count()))
+        some = sorted(r["id"] for r in rows.filter("id IS NOT NULL").select("id").sample(share, seed=SEED).collect())
+        found = [some[int(p * len(some))] for p in parts] if some else []
+    return sorted(set(found))
+
+
+def _place(number: Column, starts: list) -> Column:
+    """How many of the sorted starts are not above a number, by looking at some of them first."""
+    step = max(1, int(len(starts) ** 0.5))
+    count = lambda some: F.size(F.filter(some, lambda s: s <= number))
+    every, heads = (F.array(*[F.lit(s) for s in some]) for some in (starts, starts[::step]))
+    blocks = count(heads)
+    before = (blocks - 1) * step
+    return F.when(blocks == 0, 0).otherwise(before + count(F.slice(every, before + 1, F.lit(step))))
 
 
 def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -110,8 +149,7 @@ def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ch
     starts = _chunk_starts(rows, chunk_rows)
     chunk = F.lit(0)
     if starts:
-        bounds = F.array(*[F.lit(s) for s in starts])
-        chunk = F.when(F.col("id").isNull(), 0).otherwise(F.size(F.filter(bounds, lambda b: b <= F.col("id"))))
+        chunk = F.when(F.col("id").isNull(), 0).otherwise(_place(F.col("id"), starts))
     rows = rows.withColumn("chunk", chunk)
     firsts = sorted(
         (r["chunk"], r["id"])
@@ -177,5 +215,5 @@ def _compared(own: tuple, following: tuple, width: int, scale: int) -> tuple:
     changed = sketch(edited, width, scale)
     return (
         number, len(text), hashlib.sha256(edited.encode()).hexdigest(), to_text(kept), to_text(changed),
-        containment(kept, changed), containment(kept, following[4]),
+        containment(kept, changed, scale), containment(kept, following[4], scale),
     )
