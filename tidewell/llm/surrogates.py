@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,6 +25,8 @@ from tidewell.storage import write_once
 STRICT_DRAWS = 12
 # After so many draws, and again after as many, surrogates of fixed length get one more sign.
 LONGER_DRAWS = 36
+# The same for mail domains, of which short ones are soon used up.
+LONGER_DOMAIN_DRAWS = 4
 
 # Forms of address and what they say about gender; fixed values.
 TITLES = {
@@ -58,25 +61,43 @@ SYLLABLES = {
     "greek": "βαλ γερ δαν καλ λαμ μαρ νικ παλ ρον σαλ τερ φιλ".split(),
 }
 
+# Letters to draw from by script.
+LETTERS = {
+    "latin": "abcdefghijklmnopqrstuvwxyz",
+    "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя",
+    "greek": "αβγδεζηθικλμνξοπρστυφχψω",
+}
+
+def _any_of(words: Iterable[str]) -> str:
+    """A pattern of words, tried by their first letter."""
+    by: dict[str, list[str]] = {}
+    for word in sorted(set(words)):
+        by.setdefault(word[0], []).append(word[1:])
+    return "(?:" + "|".join(f"{c}(?:{'|'.join(rests)})" for c, rests in by.items()) + ")"
+
+
 _KNOWN = {n.lower(): g for by in GIVEN.values() for g, names in by.items() for n in names.split()}
 _TITLE_OF = {t: g for g, titles in TITLES.items() for t in titles.split()}
 _CAPITAL = r"[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΩА-ЯЁ][^\W\d_]+(?:[-'’][^\W\d_]+)*"
 _PATTERNS = {
     "secret": re.compile(
-        r"(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)\b\s*[=:]\s*(?P<q>[\"'])(?P<value>[^\"'\s]{8,})(?P=q)"
+        r"(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)\b\s*[=:]\s*"
+        r"(?:(?P<q>[\"'])(?P<value>[^\"'\s]{8,})(?P=q)|(?P<bare>(?=[^\s\"']*\d)[^\s\"',;]{7,}[^\s\"',;.)\]}]))|\b(?P<access>(?-i:AKIA)[A-Z0-9]{16})\b"
     ),
     "email": re.compile(r"[\w.!#$%&'*+/=?^`{|}~-]*[\w+-]@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]*[A-Za-z0-9])+"),
     "iban": re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"),
     "card": re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"),
     "ip": re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)(?!\w)"),
+    "ip6": re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     "phone": re.compile(
         r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}"
-        r"|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)"
+        r"|\d{3}[.-]\d{3}[.-]\d{4}|0\d{2,4}[ /]\d{3,4}[ -]?\d{3,4})(?!\w)"
     ),
     "name": re.compile(
-        rf"\b(?P<title>{'|'.join(_TITLE_OF)})\.? (?P<titled>{_CAPITAL}(?: {_CAPITAL}){{0,2}})"
-        rf"|\b(?P<first>{'|'.join(n for by in GIVEN.values() for names in by.values() for n in names.split())}) (?P<rest>{_CAPITAL})"
+        rf"\b(?P<title>{_any_of(_TITLE_OF)})\.? (?P<titled>{_CAPITAL}(?: {_CAPITAL}){{0,2}})"
+        rf"|\b(?P<first>{_any_of(w for by in GIVEN.values() for names in by.values() for n in names.split() for w in (n, n.upper()))})"
+        rf" (?P<rest>{_CAPITAL}(?: {_CAPITAL})?)"
     ),
 }
 
@@ -94,7 +115,11 @@ def iban_digits(country: str, account: str) -> str:
 
 
 def detect(text: str | None) -> list[tuple[int, int, str, str]]:
-    """Entities as start and end (code points), kind and normal form, in order, none inside another."""
+    """Entities as start and end (code points), kind and normal form, in order, none inside another.
+
+    Once a name is found, its parts are looked for in the whole text: a capitalised word that equals one, in any
+    case, is another mention of it.
+    """
     found: list[tuple[int, int, str, str]] = []
     taken: list[tuple[int, int]] = []
 
@@ -104,11 +129,17 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
             found.append((start, end, kind, unicodedata.normalize("NFC", normal)))
 
     for kind, pattern in _PATTERNS.items():
+        if kind == "ip6" and (text or "").count(":") < 2 or kind == "email" and "@" not in (text or ""):
+            continue
         for match in pattern.finditer(text or ""):
             start, end, surface = match.start(), match.end(), match.group()
             digits = re.sub(r"\D", "", surface)
             if kind == "secret":
-                add(match.start("value"), match.end("value"), kind, match["value"])
+                part = next(p for p in ("value", "bare", "access") if match[p] is not None)
+                add(match.start(part), match.end(part), kind, match[part])
+            elif kind == "ip6":
+                if _is_ip6(surface):
+                    add(start, end, kind, surface.lower())
             elif kind == "name":
                 _add_name(match, add)
             elif kind == "email":
@@ -126,9 +157,23 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
                     add(start, end, kind, digits)
             else:
                 add(start, end, kind, digits if kind == "ssn" else surface)
+    parts = {normal: kind for _, _, kind, normal in found if kind == "surname" or kind.startswith("given_")}
+    if parts:
+        again = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(parts)))})(?!\w)", re.IGNORECASE)
+        for match in again.finditer(text):
+            normal = match.group().lower()
+            if match.group()[0].isupper() and normal in parts:
+                add(match.start(), match.end(), parts[normal], normal)
     return sorted(found)
 
 
+def _is_ip6(surface: str) -> bool:
+    try:
+        return len(surface) > 5 and any(c.isdigit() for c in surface) and bool(ipaddress.IPv6Address(surface))
+    except ValueError:
+        return False
+
+
 def _add_name(match: re.Match, add) -> None:
     """Each word of a name is an entity of its own, so that parts of a name keep referring to it."""
     if match["title"]:
@@ -136,7 +181,7 @@ def _add_name(match: re.Match, add) -> None:
         if len(words) == 1 and words[0].lower() not in _KNOWN:
             gender = None
     else:
-        at, words, gender = match.start("first"), [match["first"], match["rest"]], "n"
+        at, words, gender = match.start("first"), [match["first"], *match["rest"].split(" ")], "n"
     for i, word in enumerate(words):
         kind = "surname"
         if i == 0 and gender is not None:
@@ -168,14 +213,14 @@ class _Draw:
         return options[self.below(len(options))]
 
     def like(self, text: str) -> str:
-        """The same text with every digit and letter replaced by another of its class."""
+        """The same text with every digit and letter replaced by one of its class and script."""
         hexadecimal = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text)
         out = []
         for c in text:
             if c.isdigit():
                 out.append(self.pick("0123456789"))
             elif c.isalpha():
-                small = self.pick("abcdef" if hexadecimal else "abcdefghijklmnopqrstuvwxyz")
+                small = self.pick("abcdef" if hexadecimal else LETTERS[script_of(c)])
                 out.append(small.upper() if c.isupper() else small)
             else:
                 out.append(c)
@@ -188,9 +233,13 @@ def surrogate(key: bytes, kind: str, normal: str, draw: int = 0) -> str:
     longer = draw // LONGER_DRAWS
     if kind == "email":
         local, _, domain = normal.rpartition("@")
-        rest, _, top = domain.rpartition(".")
-        # The same domain is replaced alike in all addresses.
-        return own.like(local + "x" * longer) + "@" + _Draw(key, "domain", domain, 0).like(rest) + "." + top
+        # The domain is an entity of its own, replaced alike in all addresses.
+        return own.like(local + "x" * longer) + "@" + surrogate(key, "domain", domain)
+    if kind == "domain":
+        rest, _, top = normal.rpartition(".")
+        return own.like(rest + "x" * (draw // LONGER_DOMAIN_DRAWS)) + "." + top
+    if kind == "ip6":
+        return "".join(own.pick("0123456789abcdef") if c.isalnum() else c for c in normal)
     if kind == "card":
         body = normal[0] + own.like(normal[1:-1] + "0" * longer)
         return body + luhn_digit(body)
@@ -259,22 +308,36 @@ def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
     """kind, normal and core, a surrogate no other entity has and that is no entity itself, of distinct (kind, normal).
 
-    Given names of all genders, and surnames, count as one kind for this. Of entities that draw the
-    same candidate the first by kind and normal form keeps it; the others draw again.
+    Given names of all genders, and surnames, count as one kind for this. Mail domains are entities too, given or not;
+    an address takes its domain's surrogate and a local part that no other address of the domain has. Of entities
+    that draw the same candidate the first by kind and normal form keeps it; the others draw again.
     """
 
     @F.pandas_udf("string")
     def candidate(kind: pd.Series, normal: pd.Series, draw: pd.Series) -> pd.Series:
         return pd.Series([surrogate(key, k, n, d) for k, n, d in zip(kind, normal, draw)], dtype=object)
 
-    space = F.when(F.col("kind").startswith("given_"), F.lit("given")).otherwise(F.col("kind"))
-    real = write_once(entities.select("kind", "normal", space.alias("space")), "surrogate-entities")
-    waiting = real.withColumn("draw", F.lit(0))
+    is_mail, domain = F.col("kind") == "email", F.substring_index("normal", "@", -1)
+    local = F.expr("substring(normal, 1, length(normal) - length(substring_index(normal, '@', -1)) - 1)")
+    domains = entities.filter(is_mail).select(F.lit("domain").alias("kind"), domain.alias("normal"))
+    named = F.when(F.col("kind").startswith("given_"), F.lit("given")).otherwise(F.col("kind"))
+    every = entities.select("kind", "normal").unionByName(domains).distinct()
+    real = write_once(
+        every.withColumns({
+            "space": F.when(is_mail, F.concat(F.lit("email:"), domain)).otherwise(named),
+            "own": F.when(is_mail, local).otherwise(F.col("normal")),
+        }),
+        "surrogate-entities",
+    )
+    waiting = real.drop("own").withColumn("draw", F.lit(0))
     done = None
     draw = 0
     while True:
-        tried = write_once(waiting.withColumn("core", candidate("kind", "normal", "draw")), "surrogate-draw")
-        free = tried.join(real.select("space", F.col("normal").alias("core")).distinct(), ["space", "core"], "left_anti")
+        drawn = candidate("kind", "normal", "draw")
+        tried = waiting.withColumn("core", drawn)
+        tried = tried.withColumn("core", F.when(is_mail, F.substring_index("core", "@", 1)).otherwise(F.col("core")))
+        tried = write_once(tried, "surrogate-draw")
+        free = tried.join(real.select("space", F.col("own").alias("core")).distinct(), ["space", "core"], "left_anti")
         if done is not None:
             free = free.join(done.select("space", "core"), ["space", "core"], "left_anti")
         first = free.groupBy("space", "core").agg(F.min(F.struct("kind", "normal")).alias("one"))
@@ -283,8 +346,13 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
         waiting = tried.join(won.select("kind", "normal"), ["kind", "normal"], "left_anti")
         waiting = write_once(waiting.withColumn("draw", F.lit(draw + 1)).drop("core"), "surrogate-waiting")
         if waiting.isEmpty():
-            return done.select("kind", "normal", "core")
+            break
         draw += 1
+    done = done.withColumn("domain", F.when(is_mail, domain))
+    of_domain = done.filter("kind = 'domain'").select(F.col("normal").alias("domain"), F.col("core").alias("at"))
+    whole = F.when(is_mail, F.concat("core", F.lit("@"), F.col("at"))).otherwise(F.col("core"))
+    mails = done.filter(is_mail).join(of_domain, "domain").select("kind", "normal", whole.alias("core"))
+    return done.filter(~is_mail).select("kind", "normal", "core").unionByName(mails)
 
 
 def replace(
