@@ -27,7 +27,7 @@ def awkward(spark):
 
 def with_clashes(df):
     """The same rows with columns called like those that operators make for themselves."""
-    names = "id key hash fp root cell lane run place row found body words kept _d _g slot start size shard chunk".split()
+    names = "id key hash fp root cell lane run place row found body words kept _d _g slot start size shard chunk _rows _copies _key _copy _part _row doc copies part rows copy".split()
     return df.select("*", *[F.lit("clash").alias(n) for n in names])
 
 

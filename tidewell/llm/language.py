@@ -24,8 +24,8 @@ UNDETERMINED = "und"
 DOCS_PER_LANG = 150
 WINDOWS_PER_DOC = 12
 
-#: Below this score a document has no known language; with four languages a guess would have 0.25.
-LEAST_SCORE = 0.4
+#: A document whose score is below so many times that of chance has no known language; with four languages, below 0.4.
+LEAST_OVER_CHANCE = 1.6
 
 WINDOW_BYTES = 64
 HIDDEN = 8
@@ -293,9 +293,15 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_known(
-    docs: DataFrame, least: float = LEAST_SCORE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+    docs: DataFrame,
+    least: float = LEAST_OVER_CHANCE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
 ) -> DataFrame:
-    """The rows of `docs` that have a language, with a score of at least `least`, in the columns of `docs`."""
+    """The rows of `docs` that have a language, with a score of at least `least` times that of chance, which is one
+    divided by the number of languages, in the columns of `docs`."""
     network = fit(docs, id_col, text_col, lang_col)
+    least = least / len(network.langs) if network is not None else 1.0
     found = docs.select(F.struct("*").alias("row"), predictor(network)(F.col(text_col)).alias("found"))
     return found.filter((F.col("found.lang_pred") != UNDETERMINED) & (F.col("found.score") >= least)).select("row.*")

@@ -240,16 +240,15 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
     # A row without words has one piece.
     begun = F.count_if(F.col("first") == 0) + F.count_if(F.col("size") == 0)
     places = pieces.groupBy("row", "source", "cell", "place").agg(begun.alias("copies"))
-    copies = places.groupBy("row").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    copies = write_once(copies.filter("_copies > 0").withColumnRenamed("row", "_row"), "mix-copies")
-    met = docs.withColumn("_key", row_key(docs)).alias("_d").join(copies.alias("_c"), F.col("_d._key") == F.col("_c._row"))
-    columns = [F.col(f"_d.`{c}`") for c in docs.columns]
-    times = lambda n: F.explode(F.sequence(F.lit(1), n))
-    alone = met.filter("_rows = 1").select(*columns, times(F.col("_copies")).alias("_copy")).drop("_copy")
+    copies = places.groupBy(F.col("row").alias("key")).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    copies = write_once(copies.filter("copies > 0"), "mix-copies")
+    # The document's own columns stay in a struct, whatever they are called.
+    met = docs.select(F.struct("*").alias("doc"), row_key(docs).alias("key")).join(copies, "key")
+    times = lambda n: F.explode(F.sequence(F.lit(1), n)).alias("copy")
+    alone = met.filter("rows = 1").select("doc", times(F.col("copies")))
     # Equal rows become one, whose copies are dealt out in parts.
-    one = met.filter("_rows > 1").dropDuplicates(["_row"]).select(*columns, "_copies")
-    part = F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPIES_AT_ONCE)))
-    dealt = one.select("*", part.alias("_part")).repartition("_part", *[f"`{c}`" for c in docs.columns])
-    left = F.least(F.lit(COPIES_AT_ONCE), F.col("_copies") - F.col("_part") * COPIES_AT_ONCE)
-    repeated = dealt.select(*[f"`{c}`" for c in docs.columns], times(left).alias("_copy")).drop("_copy")
-    return alone.unionByName(repeated)
+    part = F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / COPIES_AT_ONCE))).alias("part")
+    one = met.filter("rows > 1").dropDuplicates(["key"]).select("doc", "key", "copies", part)
+    left = F.least(F.lit(COPIES_AT_ONCE), F.col("copies") - F.col("part") * COPIES_AT_ONCE)
+    repeated = one.repartition("part", "key").select("doc", times(left))
+    return alone.unionByName(repeated).select("doc.*")
