@@ -2,6 +2,7 @@
 
 import json
 import os
+import uuid
 
 import pytest
 
@@ -280,3 +281,19 @@ def test_scratch_tables_are_deleted(spark):
         assert gone.count() == 3
         path = gone.inputFiles()[0].removeprefix("file:")
     assert not os.path.exists(os.path.dirname(path)) and kept.count() == 3
+
+
+def test_days_not_written_stay(spark):
+    path = new_path(spark, "days")
+    first = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "n int, day string")
+    tables.overwrite_path(first, path, "day")
+    tables.overwrite_path(spark.createDataFrame([(3, "2024-01-02")], "n int, day string"), path, "day")
+    assert sorted((r.n, str(r.day)) for r in spark.read.parquet(path).collect()) == [(1, "2024-01-01"), (3, "2024-01-02")]
+
+
+def test_table_is_rebuilt_from_itself(spark):
+    name = f"counted_{uuid.uuid4().hex}"
+    tables.overwrite_table(spark.range(3), name)
+    tables.overwrite_table(tables.read_table(spark, name).selectExpr("id + 1 AS id"), name)
+    assert sorted(r.id for r in spark.table(name).collect()) == [1, 2, 3]
+    spark.sql(f"DROP TABLE {name}")

@@ -1,15 +1,18 @@
 """Streams over several micro-batches give what batch gives."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import rows
 from tidewell import schemas
 from tidewell.catalogue.tables import Tables
-from tidewell.operators import profiles, series, similarity, stock, windows
+from tidewell.operators import metrics, profiles, series, similarity, stock, windows
 from tidewell.sources import topics
-from tidewell.storage import new_path
+from tidewell.sources.keyed import KeyedTable
+from tidewell.storage import folders, new_path
 from tidewell.streaming import jobs, sinks
 
 HOUR = 3600000
@@ -79,20 +82,114 @@ def test_sessions(spark):
     same(got.withColumn("session_start", F.unix_millis("session_start")), chunked.drop("is_empty"))
 
 
-def test_late_rows_are_dropped_and_counted(spark):
+def test_late_rows_are_dropped_counted_and_kept(spark):
     path, out, checkpoint = (new_path(spark, name) for name in ("in", "out", "checkpoint"))
+    kept, kept_checkpoint = new_path(spark, "late"), new_path(spark, "late-checkpoint")
     events = make_events(spark, 50)
     deliver(spark, path, events.unionByName(closing(spark)))
+    listener = sinks.StreamMetrics()
+    spark.streams.addListener(listener)
 
     def run():
-        stream = windows.tumbling(jobs.events_of(topics.read_topic_files_stream(spark, path)))
-        return sinks.start(sinks.append_files(stream, out), checkpoint, available_now=True), stream.schema
-
-    run()
-    deliver(spark, path, events.limit(1))
-    query, schema = run()
-    assert sinks.late_rows(query) == 1
+        stream = jobs.events_of(topics.read_topic_files_stream(spark, path))
+        sinks.start(jobs.late_job(stream, kept), kept_checkpoint, available_now=True)
+        result = windows.tumbling(stream)
+        return sinks.start(sinks.append_files(result, out), checkpoint, available_now=True), stream.schema, result.schema
+
+    try:
+        run()
+        late = events.filter("event_id in ('e0000', 'e0007')")
+        deliver(spark, path, late)
+        query, events_schema, schema = run()
+        for _ in range(100):
+            if listener.dropped(query):
+                break
+            time.sleep(0.1)
+        assert listener.dropped(query) == 2
+    finally:
+        spark.streams.removeListener(listener)
     same(spark.read.schema(schema).parquet(out).filter("user_id <> 'zz'"), windows.tumbling(windows.event_time(events)))
+    late = sinks.read_batches(spark, f"{kept}/rows", events_schema).collect()
+    assert sorted(r["event_id"] for r in late) == ["e0000", "e0007"]
+
+
+def test_lag_of_a_stream_that_stopped(spark):
+    path, done, checkpoint = (new_path(spark, name) for name in ("in", "out", "checkpoint"))
+    offered = spark.createDataFrame(
+        [("raw-events", p, o) for p in range(3) for o in range(10 * (p + 1))], "topic string, partition int, offset bigint"
+    )
+    records = schemas.conform(offered, schemas.TOPIC_RECORD)
+    records.filter("partition < 2 and offset < 6").write.parquet(path)
+    stream = topics.read_topic_files_stream(spark, path).select("topic", "partition", "offset")
+    sinks.start(sinks.append_files(stream, done), checkpoint, available_now=True)
+    processed = spark.read.schema(stream.schema).parquet(done)
+    assert rows(metrics.consumer_lag(offered, processed, alarm=47)) == [
+        {"topic": "raw-events", "offered": 60, "processed": 12, "lag": 48, "alarm": True}
+    ]
+    reported = {"endOffset": '{"raw-events":{"0":6,"1":4}}', "latestOffset": '{"raw-events":{"0":10,"1":4,"2":3}}'}
+    assert sinks.source_lag(reported) == {("raw-events", "0"): 4, ("raw-events", "1"): 0, ("raw-events", "2"): 3}
+    assert sinks.source_lag({"endOffset": None, "latestOffset": {"logOffset": 3}}) == {}
+
+
+def test_keyed_table_over_many_batches(spark):
+    shape = spark.createDataFrame([], "key string, value int, written_at timestamp, expires_at timestamp").schema
+    table = KeyedTable(new_path(spark, "keyed"), shape, ("key",), ("written_at",), "expires_at", buckets=4, merge_after=4)
+    stamp = lambda n: F.timestamp_millis(F.lit(n * HOUR))
+    want = {}
+    for n in range(18):
+        part = spark.createDataFrame([(f"k{i}", 100 * n + i) for i in range(n % 5, 12, 3)], "key string, value int")
+        part = part.withColumns({"written_at": stamp(n), "expires_at": stamp(n + 6)})
+        table.write(part, n, stamp(n))
+        want |= {r["key"]: (r["value"], n) for r in part.collect()}
+        if n in (5, 9):
+            # A repeated micro-batch, whether it was merged meanwhile or not, changes nothing.
+            table.write(part.withColumn("value", F.col("value")), n - n % 4, stamp(n)) if n == 9 else table.write(part, n, stamp(n))
+        if n in (3, 11, 17):
+            got = {r["key"]: r["value"] for r in table.read(spark, stamp(n)).collect()}
+            assert got == {k: v for k, (v, at) in want.items() if at + 6 > n}
+    deltas, versions = folders(spark, f"{table.path}/delta", "batch="), folders(spark, f"{table.path}/base", "version=")
+    assert len(deltas) <= 2 * table.merge_after and len(versions) <= 3
+    assert len(folders(spark, f"{table.path}/manifest", "version=")) <= 2
+    requests = spark.createDataFrame([("k1",)], "key string")
+    asked = table.asked(requests)
+    assert len(asked) == 1
+    some = table.read(spark, buckets=asked)
+    assert {r["key"] for r in some.collect()} == {
+        r["key"] for r in table.read(spark).collect() if table.asked(spark.createDataFrame([(r["key"],)], "key string")) == asked
+    }
+    assert len(some.inputFiles()) < len(table.read(spark).inputFiles())
+    late = spark.createDataFrame([("k1", 9999)], "key string, value int").withColumns({"written_at": stamp(90), "expires_at": stamp(99)})
+    table.write(late, 0)
+    assert table.read(spark).filter("value = 9999").count() == 0
+
+
+def test_keyed_table_whose_rows_all_expire(spark):
+    shape = spark.createDataFrame([], "key string, written_at timestamp, expires_at timestamp").schema
+    table = KeyedTable(new_path(spark, "keyed"), shape, ("key",), ("written_at",), "expires_at", buckets=2, merge_after=1)
+    assert table.read(spark).count() == 0
+    old = spark.createDataFrame([("a",), ("b",)], "key string").withColumns({"written_at": F.timestamp_millis(F.lit(0)), "expires_at": F.timestamp_millis(F.lit(1))})
+    table.write(old, 0, F.timestamp_millis(F.lit(5)))
+    assert table.read(spark).count() == 0
+    table.write(old, 0)
+    assert table.read(spark).count() == 0
+    table.write(old, 1)
+    assert table.read(spark).count() == 2
+
+
+def test_idle_users_leave_the_state(spark):
+    path, out, checkpoint = (new_path(spark, name) for name in ("in", "out", "checkpoint"))
+    events = make_events(spark, 200)
+    for part in (events, closing(spark)):
+        deliver(spark, path, part)
+        stream = jobs.events_of(topics.read_topic_files_stream(spark, path))
+        sinks.start(jobs.activity_job(stream, out), checkpoint, available_now=True)
+    days = jobs.activity_table(stream, out).read(spark)
+    held = spark.read.format("statestore").load(checkpoint)
+    state = [(r["user_id"], r["start"], *r["value"]) for r in held.select("key.user_id", "key.window.start", "value").collect()]
+    # The state holds the last user's day only, and the same counts as the table does.
+    assert state == [tuple(r) for r in days.filter("user_id = 'zz'").select("user_id", "day", *jobs.ACTIVITY).collect()]
+    totals = {r["user_id"]: r["total_interactions"] for r in jobs.activity_totals(days).collect()}
+    assert totals == {r["user_id"]: r["count"] for r in events.unionByName(closing(spark)).groupBy("user_id").count().collect()}
 
 
 def test_bronze_takes_each_valid_event_once(spark):
@@ -141,7 +238,7 @@ def test_stock_in_steps(spark):
         Tables._records(half, "inventory-changes", F.col("item_id")).write.mode("append").parquet(path)
         stream = jobs.changes_of(topics.read_topic_files_stream(spark, path, ["inventory"]))
         sinks.start(jobs.stock_job(stream, out), checkpoint, available_now=True)
-    got = sinks.latest_per_key(spark.read.parquet(out), series.KEYS).drop("batch_id", "key")
+    got = jobs.stock_table(stream, out).read(spark).drop("key")
     # The late half has added to the sums.
     want = stock.full_alerts(stock.project_trend(stock.trend_sums(schemas.inventory_view(changes))))
     same(got, want)
@@ -179,9 +276,9 @@ def test_stream_settings_end_with_the_start(spark):
 
 
 def test_streams_keep_state_in_rocksdb(spark, tmp_path):
-    rows = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
-    rows.write.parquet(str(tmp_path / "in"))
-    counted = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")).groupBy("k").count()
+    given = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    given.write.parquet(str(tmp_path / "in"))
+    counted = spark.readStream.schema(given.schema).parquet(str(tmp_path / "in")).groupBy("k").count()
     writer = counted.writeStream.outputMode("complete").format("memory").queryName("counted")
     query = sinks.start(writer, str(tmp_path / "checkpoint"), available_now=True)
     state = query.lastProgress["stateOperators"][0]

@@ -10,7 +10,7 @@ from tidewell.catalogue.tables import Tables
 from tidewell.functions.scalars import round_to
 from tidewell.operators import cache, series, stock
 from tidewell.plans import batch
-from tidewell.storage import new_path, write_once
+from tidewell.storage import new_path
 
 ITEM = "item_id, warehouse_id"
 
@@ -333,10 +333,11 @@ ENTRIES = """entries AS (SELECT 'inventory:forecast:' || item_id || ':' || wareh
 @query("cache_upsert", f"WITH {ENTRIES} SELECT key, change_id, written_ms, expires_ms FROM entries")
 def _(t: Tables):
     entries = written(t)
-    # What was there before, and what comes now: the newer entry of each key stays.
-    old = entries.filter(F.col("written_at") < F.lit("2000-01-01").cast("timestamp"))
-    new = entries.filter(F.col("written_at") >= F.lit("2000-01-01").cast("timestamp"))
-    return cache.upsert(cache.latest_entries(old), new).select(
+    # What was there before, and what comes now: the newer entry of each key stays, in a table that is merged.
+    table, year = cache.entry_table(new_path(t.spark, "cache"), merge_after=2), F.lit("2000-01-01").cast("timestamp")
+    table.write(entries.filter(F.col("written_at") < year), 0)
+    table.write(entries.filter(F.col("written_at") >= year), 1)
+    return table.read(t.spark).select(
         "key", F.get_json_object("value", "$.change_id").alias("change_id"),
         F.unix_millis("written_at").alias("written_ms"), F.unix_millis("expires_at").alias("expires_ms"),
     )

@@ -17,8 +17,9 @@ from tidewell.catalogue.inventory import ITEM
 from tidewell.catalogue.recommendations import WEIGHT, fixed_sql
 from tidewell.catalogue.registry import query, rnd
 from tidewell.catalogue.tables import Tables
+from tidewell.functions import ordered
 from tidewell.functions.scalars import round_to
-from tidewell.operators import metrics, similarity, windows
+from tidewell.operators import cache, metrics, similarity, windows
 from tidewell.sources import topics
 from tidewell.storage import new_path, write_once
 from tidewell.streaming import jobs, sinks
@@ -166,6 +167,48 @@ def _(t: Tables):
     return run().filter(F.col("user_id") != CLOSER).withColumn("amount", round_to(F.col("amount"), 4))
 
 
+@query("late_rows", """
+SELECT event_id, user_id, "timestamp", count(*) OVER () AS late FROM ix_events WHERE event_type = 'error'
+""")
+def _(t: Tables):
+    # As for late_data; here the events that come when their windows are over are the result.
+    path, out, checkpoint = (new_path(t.spark, name) for name in ("late", "late-rows", "late-checkpoint"))
+    t._records(closing_event(t.events), "raw-events", F.col("user_id")).write.parquet(path)
+    stream = jobs.events_of(topics.read_topic_files_stream(t.spark, path)).select("event_id", "user_id", "timestamp", "ts")
+    sinks.start(jobs.late_job(stream, out), checkpoint, available_now=True)
+    late = t.events.filter("event_type = 'error'")
+    t._records(late, "raw-events", F.col("user_id")).write.mode("append").parquet(path)
+    sinks.start(jobs.late_job(stream, out), checkpoint, available_now=True)
+    rows = sinks.read_batches(t.spark, f"{out}/rows", stream.schema)
+    count = rows.agg(F.count(F.lit(1)).alias("late"))  # one row
+    return rows.crossJoin(F.broadcast(count)).select("event_id", "user_id", "timestamp", "late")
+
+
+@query("consumer_lag", """
+WITH m AS (SELECT quantile_disc("timestamp", 0.5) AS middle FROM ix_events)
+SELECT 'raw-events' AS topic, count(*) AS offered, count(*) FILTER (WHERE "timestamp" < middle) AS processed,
+       count(*) FILTER (WHERE "timestamp" >= middle) AS lag, count(*) FILTER (WHERE "timestamp" >= middle) > 10000 AS alarm
+FROM ix_events, m
+""")
+def _(t: Tables):
+    # The stream is stopped when the first half of the records is processed; the second half came meanwhile.
+    records = ordered.scan(
+        t._records(t.events, "raw-events", F.col("user_id")).drop("offset"), ["topic", "partition"], ["timestamp", "key", "value"],
+        index="offset",
+    )
+    middle = t.events.agg(F.expr("CAST(percentile_disc(0.5) WITHIN GROUP (ORDER BY timestamp) AS BIGINT)")).scalar()
+    early = F.col("timestamp") < F.timestamp_millis(middle)
+    path, done = new_path(t.spark, "topic"), new_path(t.spark, "consumed")
+    offered = write_once(schemas.conform(records, schemas.TOPIC_RECORD), "offered")
+    offered.filter(early).write.parquet(path)
+    stream = topics.read_topic_files_stream(t.spark, path).select("topic", "partition", "offset")
+    sinks.start(sinks.append_files(stream, done), new_path(t.spark, "consumed-checkpoint"), available_now=True)
+    offered.filter(~early).write.mode("append").parquet(path)
+    return metrics.consumer_lag(
+        t.spark.read.schema(schemas.TOPIC_RECORD).parquet(path), t.spark.read.schema(stream.schema).parquet(done)
+    )
+
+
 @query("stream_fraud", f"""
 WITH w AS ({TUMBLING}), s AS (
   SELECT *, 0.4::DOUBLE * amount / 5000.0::DOUBLE
@@ -182,9 +225,9 @@ def _(t: Tables):
     shape = jobs.fraud_scores(stream, settings).schema
     run_batches(t, jobs.fraud_job(stream, scores, entries, settings), "fraud")
     scored = sinks.read_batches(t.spark, scores, shape).filter(F.col("user_id") != CLOSER)
-    cached = sinks.read_batches(t.spark, entries, schemas.CACHE_ENTRY)
+    cached = cache.entry_table(entries).read(t.spark)
     keyed = scored.withColumn("key", F.concat_ws(":", F.lit("fraud:score"), "user_id", F.unix_millis("window_start")))
-    return keyed.join(cached.drop("batch_id"), "key").select(
+    return keyed.join(cached, "key").select(
         "user_id", "window_start", "events", round_to(F.col("amount"), 4).alias("amount"),
         round_to(F.col("fraud_score"), 6).alias("fraud_score"), "is_fraud", "key",
         F.unix_millis("expires_at").alias("expires_ms"),
@@ -241,8 +284,7 @@ def _(t: Tables):
     stream = jobs.changes_of(archived(t, t.stock_records(), "inventory-changes", ("inventory",)))
     path = new_path(t.spark, "stock-forecasts")
     run_batches(t, jobs.stock_job(stream, path), "stock-forecasts")
-    table = t.spark.read.parquet(path)
-    return sinks.latest_per_key(table, ["item_id", "warehouse_id"]).select(
+    return jobs.stock_table(stream, path).read(t.spark).select(
         "item_id", "warehouse_id", "key", "n", "current_stock",
         round_to(F.element_at("forecast", -1), 4).alias("level_in_7_days"), "alert",
     )
@@ -255,11 +297,10 @@ SELECT user_id, count(*) AS total_interactions, count(*) FILTER (WHERE event_typ
 FROM ix_events GROUP BY 1
 """)
 def _(t: Tables):
-    activity = jobs.user_activity(jobs.events_of(archived(t, t.event_records(), "raw-events")))
+    stream = event_stream(t, "raw-events")
     path = new_path(t.spark, "activity")
-    run_batches(t, activity.writeStream.outputMode("update").foreachBatch(sinks.batches_to(path)), "activity")
-    table = sinks.read_batches(t.spark, path, activity.schema)
-    return sinks.latest_per_key(table, ["user_id"]).drop("batch_id")
+    run_batches(t, jobs.activity_job(stream, path), "activity")
+    return jobs.activity_totals(jobs.activity_table(stream, path).read(t.spark)).filter(F.col("user_id") != CLOSER)
 
 
 @query("unified_query", BUSINESS_SQL)

@@ -125,4 +125,7 @@ class StreamConfig:
     sliding: str = "24 hours"
     slide: str = "1 hour"
     watermark: str = "10 minutes"
+    activity_window: str = "1 day"
+    #: Unprocessed records of a topic above which the lag is an alarm.
+    lag_alarm: int = 10_000
     trigger_seconds: int = 30

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell import config
+from tidewell import config, schemas
 from tidewell.functions import ordered
+from tidewell.sources.keyed import KeyedTable
 
 
 def forecast_key(item: Column, warehouse: Column) -> Column:
@@ -23,6 +24,16 @@ def entries(df: DataFrame, key: Column, written_at: Column, ttl_seconds: int = c
     )
 
 
+def entry_table(path: str, **settings) -> KeyedTable:
+    """Cache entries that are kept: the last one written per key, until it expires."""
+    return KeyedTable(path, schemas.CACHE_ENTRY, ("key",), ("written_at", "value"), "expires_at", **settings)
+
+
+def lookup_stored(requests: DataFrame, table: KeyedTable, now: str = "requested_at") -> DataFrame:
+    """As `lookup`, reading only those buckets of the stored cache that requests fall into."""
+    return lookup(requests, table.read(requests.sparkSession, buckets=table.asked(requests)), now)
+
+
 def latest_entries(written: DataFrame) -> DataFrame:
     """The entry of each key that was written last."""
     return ordered.latest(written, ["key"], [F.col("written_at"), F.col("value")])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.config import StreamConfig
 from tidewell.functions.scalars import ratio, round_to
 
 
@@ -30,6 +31,23 @@ def ingest_rate(records: DataFrame) -> DataFrame:
     )
 
 
+def consumer_lag(offered: DataFrame, processed: DataFrame, alarm: int = StreamConfig.lag_alarm) -> DataFrame:
+    """Per topic: records offered, records processed, those still to come, and whether they are too many.
+
+    Both tables have topic, partition and offset; offsets count a partition's records. Records are summed up per
+    partition before anything is joined.
+    """
+
+    def last(records: DataFrame, name: str) -> DataFrame:
+        return records.groupBy("topic", "partition").agg((F.max("offset") + 1).alias(name))
+
+    partitions = last(offered, "offered").join(last(processed, "done"), ["topic", "partition"], "left")
+    done = F.coalesce("done", F.lit(0))
+    return partitions.groupBy("topic").agg(
+        F.sum("offered").alias("offered"), F.sum(done).alias("processed"), F.sum(F.col("offered") - done).alias("lag"),
+    ).withColumn("alarm", F.col("lag") > alarm)
+
+
 def ingest_metrics(records: DataFrame) -> DataFrame:
     """Per topic: records, failures, size, and the mean and peak rate per second."""
     second = F.floor(F.col("timestamp_ms") / F.lit(1000)).cast("bigint")

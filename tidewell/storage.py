@@ -40,6 +40,30 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it; nothing happens where there is none."""
+    place, files = _place(spark, path)
+    files.delete(place, True)
+
+
+def folders(spark: SparkSession, path: str, prefix: str, complete: bool = False) -> list[str]:
+    """Names of the folders below a path that begin with a prefix; none where there is no such path.
+
+    With `complete`, only those that Spark has written to the end.
+    """
+    place, files = _place(spark, path)
+    if not files.exists(place):
+        return []
+    found = [s.getPath() for s in files.listStatus(place) if s.isDirectory() and s.getPath().getName().startswith(prefix)]
+    ended = lambda p: files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+    return sorted(p.getName() for p in found if not complete or ended(p))
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete at the end what is put below the shared folder meanwhile.
@@ -51,8 +75,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _scopes.pop():
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            delete(spark, path)
 
 
 def write_once(df: DataFrame, name: str, spread: bool = False) -> DataFrame:

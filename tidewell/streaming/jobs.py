@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell import config, schemas
 from tidewell.config import RecommendConfig, StreamConfig
@@ -11,6 +12,7 @@ from tidewell.functions import ordered
 from tidewell.operators import cache, fraud, recommend, stock, validate, windows
 from tidewell.plans import batch as plans
 from tidewell.sources import topics
+from tidewell.sources.keyed import KeyedTable
 from tidewell.streaming import sinks
 
 
@@ -62,14 +64,16 @@ def fraud_scores(events: DataFrame, settings: config.FraudConfig = config.FraudC
 
 
 def fraud_job(events: DataFrame, scores_path: str, cache_path: str, settings: config.FraudConfig = config.FraudConfig()):
-    """Scores to a table and to the cache."""
+    """Scores to a table and to the cache, whose expired entries go when it is merged."""
+    table = cache.entry_table(cache_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         sinks.batches_to(scores_path)(batch, batch_id)
         # Read back what was written rather than compute the batch a second time.
         scored = batch.sparkSession.read.schema(batch.schema).parquet(f"{scores_path}/batch_id={batch_id}")
         named = scored.withColumn("event_id", F.concat_ws(":", "user_id", F.unix_millis("window_start")))
-        sinks.batches_to(cache_path)(plans.fraud_entries(named, F.col("window_end")), batch_id)
+        now = scored.agg(F.max("window_end")).first()[0]
+        table.write(plans.fraud_entries(named, F.col("window_end")), batch_id, None if now is None else F.lit(now))
 
     return fraud_scores(events, settings).writeStream.outputMode("append").foreachBatch(write)
 
@@ -136,27 +140,77 @@ def recommendation_job(
     return closed_sessions(valid).writeStream.outputMode("append").foreachBatch(write)
 
 
+def stock_judged(sums: DataFrame) -> DataFrame:
+    """Trend, alert and cache key of items, from their sums."""
+    judged = stock.full_alerts(stock.project_trend(sums))
+    return judged.withColumn("key", cache.forecast_key(F.col("item_id"), F.col("warehouse_id")))
+
+
+def stock_table(changes: DataFrame, path: str) -> KeyedTable:
+    """Where `stock_job` keeps the last judgement of each item."""
+    return KeyedTable(path, stock_judged(stock.trend_sums(changes)).schema, ("item_id", "warehouse_id"))
+
+
 def stock_job(changes: DataFrame, path: str):
-    """Trend, alert and cache entry of every item that changed.
+    """Trend, alert and cache key of every item that changed.
 
     The state per item is a handful of sums, and late changes simply add to them.
     """
-
-    def run(batch: DataFrame, _: int) -> DataFrame:
-        judged = stock.full_alerts(stock.project_trend(batch))
-        key = cache.forecast_key(F.col("item_id"), F.col("warehouse_id"))
-        return judged.withColumn("key", key)
-
-    return stock.trend_sums(changes).writeStream.outputMode("update").foreachBatch(sinks.batches_to(path, run))
+    table = stock_table(changes, path)
+    return stock.trend_sums(changes).writeStream.outputMode("update").foreachBatch(
+        lambda batch, batch_id: table.write(stock_judged(batch), batch_id)
+    )
 
 
-def user_activity(events: DataFrame) -> DataFrame:
-    """Running event counts per user, kept as state."""
+def user_activity(events: DataFrame, width: str = StreamConfig.activity_window) -> DataFrame:
+    """Event counts per user and day. A day leaves the state when the watermark has passed it, and so does an idle user."""
     kind = F.col("event_type")
-    return events.groupBy("user_id").agg(
+    return events.groupBy(F.window("ts", width), "user_id").agg(
         F.count(F.lit(1)).alias("total_interactions"),
         F.count_if(kind == "view").alias("view_count"),
         F.count_if(kind == "addtocart").alias("cart_count"),
         F.count_if(kind == "transaction").alias("purchase_count"),
         F.max("timestamp").alias("last_activity"),
-    )
+    ).select("user_id", F.col("window.start").alias("day"), *ACTIVITY)
+
+
+ACTIVITY = ["total_interactions", "view_count", "cart_count", "purchase_count", "last_activity"]
+
+
+def activity_table(events: DataFrame, path: str) -> KeyedTable:
+    """Where `activity_job` keeps the days of each user."""
+    return KeyedTable(path, user_activity(events).schema, ("user_id", "day"))
+
+
+def activity_job(events: DataFrame, path: str):
+    """Keep the latest counts of each user's days."""
+    table = activity_table(events, path)
+    return user_activity(events).writeStream.outputMode("update").foreachBatch(table.write)
+
+
+def activity_totals(days: DataFrame) -> DataFrame:
+    """Counts per user over all days."""
+    sums = [F.sum(name).alias(name) for name in ACTIVITY if name != "last_activity"]
+    return days.groupBy("user_id").agg(*sums, F.max("last_activity").alias("last_activity"))
+
+
+def late_job(events: DataFrame, path: str, width: str = StreamConfig.tumbling, delay: str = StreamConfig.watermark):
+    """Keep the events that come when their window is over, each once, in `path`/rows.
+
+    The instant up to which windows are over is that of the stream's watermark: the latest event of all micro-batches
+    before, less the delay. Each micro-batch notes its latest event, one row, in `path`/seen.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = sinks.read_batches(spark, f"{path}/seen", SEEN).filter(F.col("batch_id") < batch_id)
+        passed = before.agg((F.max("seen") - F.expr(f"INTERVAL {delay}")).alias("at")).first()["at"]
+        over = F.lit(False) if passed is None else F.window("ts", width)["end"] <= F.lit(passed)
+        timed = batch.filter(F.col("ts").isNotNull()).withColumn("_late", over)
+        timed.filter("_late").drop("_late").write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        batch.agg(F.max("ts").alias("seen")).write.mode("overwrite").parquet(f"{path}/seen/batch_id={batch_id}")
+
+    return events.writeStream.foreachBatch(write)
+
+
+SEEN = T.StructType([T.StructField("seen", T.TimestampType())])

@@ -6,6 +6,7 @@ output appears once.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -13,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidewell.config import StreamConfig
 from tidewell.functions import ordered
@@ -78,13 +79,54 @@ def latest_per_key(table: DataFrame, keys: list[str], order: list[str] | None =
     return ordered.latest(table, keys, [F.col(name) for name in order or ["batch_id"]])
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows a stream dropped because they came after the watermark, over the triggers Spark remembers.
+class StreamMetrics(StreamingQueryListener):
+    """What streams report as they go: rows dropped behind the watermark, and how far they lag behind their sources.
 
-    `STREAM_SETTINGS` has it remember 10,000 of them: three and a half days at one every 30 seconds.
+    Register it with `spark.streams.addListener`. Each micro-batch of a stream counts once, over the stream's whole
+    life in this session. What an aggregation drops is counted after rows of one group have met.
     """
-    return sum(
-        int(state["numRowsDroppedByWatermark"])
-        for progress in query.recentProgress
-        for state in progress["stateOperators"]
-    )
+
+    def __init__(self) -> None:
+        self._dropped: dict[tuple[str, int], int] = {}
+        self._lag: dict[tuple[str, str, str], int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = json.loads(event.progress.json)
+        query = str(progress["id"])
+        dropped = sum(int(state.get("numRowsDroppedByWatermark", 0)) for state in progress.get("stateOperators", []))
+        self._dropped[query, progress["batchId"]] = dropped
+        for source in progress.get("sources", []):
+            for (topic, partition), rows in source_lag(source).items():
+                self._lag[query, topic, partition] = rows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def dropped(self, query: StreamingQuery) -> int:
+        """Rows the stream has dropped because they came after the watermark."""
+        return sum(rows for (of, _), rows in self._dropped.items() if of == str(query.id))
+
+    def lag(self, query: StreamingQuery) -> dict[tuple[str, str], int]:
+        """Records not processed yet, by topic and partition, as of the last micro-batch."""
+        return {(topic, partition): rows for (of, topic, partition), rows in self._lag.items() if of == str(query.id)}
+
+
+def source_lag(source: dict) -> dict[tuple[str, str], int]:
+    """Latest less processed offset of each partition of a source that has offsets by topic and partition."""
+
+    def offsets(name: str) -> dict:
+        value = source.get(name)
+        value = json.loads(value) if isinstance(value, str) and value.startswith("{") else value
+        return value if isinstance(value, dict) and all(isinstance(v, dict) for v in value.values()) else {}
+
+    done = offsets("endOffset")
+    return {
+        (topic, partition): int(latest) - int(done.get(topic, {}).get(partition, 0))
+        for topic, partitions in offsets("latestOffset").items() for partition, latest in partitions.items()
+    }
