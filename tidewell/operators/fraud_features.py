@@ -128,25 +128,38 @@ COUNTED = [*SUMS, *[f"{n}_in_{h}" for n in DISTINCT for h in HORIZONS], *[f"{n}_
 
 
 def _between(instants: DataFrame) -> DataFrame:
-    """Per user and window: what the whole windows before it hold, for each horizon."""
+    """Per user and window: what the whole windows before it hold, for each horizon.
+
+    Running totals are taken once; a horizon looks up those of the last window before it, all in one struct.
+    """
     windows = instants.groupBy("user_id", "_w").agg(
         *[F.sum(name).alias(name) for name in COUNTED], *[pick(name).alias(name) for name, pick in EXTREMES.items()]
     )
     along = W.partitionBy("user_id").orderBy("_w")
-    before = along.rangeBetween(W.unboundedPreceding, -1)
+    running = along.rowsBetween(W.unboundedPreceding, W.currentRow)
+    totals = windows.select(
+        "user_id", "_w", *EXTREMES, F.struct(*[F.sum(name).over(running).alias(name) for name in COUNTED]).alias("_total")
+    )
+    leaving = sorted({source for h in LIMITED for source in _departures(h).values()})
+    left = F.struct(*[F.col(f"_total.{name}").alias(name) for name in leaving])
+    looked_up = {"_before": F.lag("_total").over(along)}
+    for horizon, width in HORIZONS.items():
+        if width is not None:
+            looked_up[f"_gone_{horizon}"] = F.last(left).over(along.rangeBetween(W.unboundedPreceding, -width))
+        for out, pick in EXTREMES.items():
+            frame = along.rangeBetween(W.unboundedPreceding if width is None else -(width - 1), -1)
+            value = F.lit(None).cast("bigint") if width == 1 else pick(out).over(frame)
+            looked_up[f"{out}_{horizon}"] = value
+    placed = totals.select("user_id", "_w", *[column.alias(name) for name, column in looked_up.items()])
     columns = []
     for horizon, width in HORIZONS.items():
         for out, source in _arrivals(horizon).items():
-            total = F.coalesce(F.sum(source).over(before), F.lit(0))
+            total = F.coalesce(F.col(f"_before.{source}"), F.lit(0))
             if width is not None:
-                gone = along.rangeBetween(W.unboundedPreceding, -width)
-                total = total - F.coalesce(F.sum(_departures(horizon)[out]).over(gone), F.lit(0))
+                total = total - F.coalesce(F.col(f"_gone_{horizon}.{_departures(horizon)[out]}"), F.lit(0))
             columns.append(total.alias(f"{out}_{horizon}"))
-        for out, pick in EXTREMES.items():
-            frame = before if width is None else along.rangeBetween(-(width - 1), -1)
-            value = F.lit(None).cast("bigint") if width == 1 else pick(out).over(frame)
-            columns.append(value.alias(f"{out}_{horizon}"))
-    return windows.select("user_id", "_w", *columns)
+        columns += [F.col(f"{out}_{horizon}") for out in EXTREMES]
+    return placed.select("user_id", "_w", *columns)
 
 
 def _own(instants: DataFrame) -> DataFrame:
@@ -172,19 +185,20 @@ def _oldest(instants: DataFrame) -> DataFrame:
     # From the window's end; an instant at the horizon's very start comes before the marker.
     back = W.partitionBy("user_id", "_w").orderBy(F.col("timestamp").desc(), F.col("horizon").isNotNull())
     back = back.rowsBetween(W.unboundedPreceding, W.currentRow)
-    totals = rows.select(
-        "user_id", "origin", "horizon", *[F.sum(name).over(back).alias(name) for name in leaving],
-        *[pick(name).over(back).alias(name) for name, pick in EXTREMES.items()],
-    ).filter(F.col("horizon").isNotNull())
+    found = F.struct(
+        *[F.sum(name).over(back).alias(name) for name in leaving], *[pick(name).over(back).alias(name) for name, pick in EXTREMES.items()]
+    )
+    totals = rows.select("user_id", "origin", "horizon", found.alias("found")).filter(F.col("horizon").isNotNull())
+    # One entry per limited horizon and instant.
+    by_horizon = F.map_from_entries(F.collect_list(F.struct("horizon", "found"))).alias("_of")
+    met = totals.groupBy("user_id", F.col("origin").alias("timestamp")).agg(by_horizon)
+    met = met.select(*INSTANT, *[F.col("_of")[h].alias(f"_of_{h}") for h in LIMITED])
     columns = []
     for horizon in LIMITED:
-        own = F.col("horizon") == horizon
-        columns += [
-            F.coalesce(F.max(F.when(own, F.col(source))), F.lit(0)).alias(f"{out}_{horizon}")
-            for out, source in _departures(horizon).items()
-        ]
-        columns += [F.max(F.when(own, F.col(name))).alias(f"{name}_{horizon}") for name in EXTREMES]
-    return totals.groupBy("user_id", F.col("origin").alias("timestamp")).agg(*columns)
+        own = F.col(f"_of_{horizon}")
+        columns += [F.coalesce(own[source], F.lit(0)).alias(f"{out}_{horizon}") for out, source in _departures(horizon).items()]
+        columns += [own[name].alias(f"{name}_{horizon}") for name in EXTREMES]
+    return met.select(*INSTANT, *columns)
 
 
 def _trailing(instants: DataFrame) -> DataFrame:
