@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidewell.storage import write_once
 
 WINDOW = 10
-SHARD_WORDS = 400_000
+SHARD_WORDS = 250_000
 BLOCK_WORDS = 64
 #: Every such place of a block is sampled.
 SAMPLED = 8
