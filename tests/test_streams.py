@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidewell import schemas
 from tidewell.catalogue.tables import Tables
-from tidewell.operators import metrics, profiles, series, similarity, stock, windows
+from tidewell.operators import cache, metrics, profiles, series, similarity, stock, windows
 from tidewell.sources import topics
 from tidewell.sources.keyed import KeyedTable
 from tidewell.storage import folders, new_path
@@ -283,3 +283,20 @@ def test_streams_keep_state_in_rocksdb(spark, tmp_path):
     query = sinks.start(writer, str(tmp_path / "checkpoint"), available_now=True)
     state = query.lastProgress["stateOperators"][0]
     assert any("rocksdb" in name for name in state["customMetrics"])
+
+
+def test_lookup_of_stored_entries_reads_some_buckets(spark):
+    table = cache.entry_table(new_path(spark, "cache"), merge_after=2)
+    stamp = lambda n: F.timestamp_millis(F.lit(n * HOUR))
+    for n in range(3):
+        written = spark.createDataFrame([(f"k{i}", f"v{n}-{i}") for i in range(n, 40)], "key string, value string")
+        table.write(written.withColumns({"written_at": stamp(n), "expires_at": stamp(n + 5)}), n, stamp(n))
+    requests = spark.createDataFrame([("k0", 4), ("k0", 9), ("k7", 4), ("none", 4)], "key string, hour int").select(
+        "key", F.timestamp_millis(F.col("hour") * HOUR).alias("requested_at")
+    )
+    found = cache.lookup_stored(requests, table)
+    same(found, cache.lookup(requests, table.read(spark)))
+    assert {(r["key"], r["value"], r["hit"], r["expired"]) for r in found.collect()} == {
+        ("k0", "v0-0", True, False), ("k0", None, False, True), ("k7", "v2-7", True, False), ("none", None, False, False)
+    }
+    assert len(table.asked(requests)) < table.buckets
