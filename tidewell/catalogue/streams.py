@@ -284,9 +284,10 @@ def _(t: Tables):
     stream = jobs.changes_of(archived(t, t.stock_records(), "inventory-changes", ("inventory",)))
     path = new_path(t.spark, "stock-forecasts")
     run_batches(t, jobs.stock_job(stream, path), "stock-forecasts")
+    # Series too short for a forecast are on the line as well; their list of levels is empty.
+    ahead = F.col("current_stock") + F.coalesce("slope", F.lit(0.0)) * config.ForecastConfig.periods
     return jobs.stock_table(stream, path).read(t.spark).select(
-        "item_id", "warehouse_id", "key", "n", "current_stock",
-        round_to(F.element_at("forecast", -1), 4).alias("level_in_7_days"), "alert",
+        "item_id", "warehouse_id", "key", "n", "current_stock", round_to(ahead, 4).alias("level_in_7_days"), "alert",
     )
 
 
