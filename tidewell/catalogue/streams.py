@@ -306,10 +306,11 @@ def _(t: Tables):
 
 @query("unified_query", BUSINESS_SQL)
 def _(t: Tables):
-    # Half of the time is history, half came by stream; one function reads both.
-    middle = t.events.agg(F.percentile_approx("timestamp", 0.5)).scalar()
-    old = t.events.filter(F.col("timestamp") < middle)
-    new = t.events.filter(F.col("timestamp") >= middle)
+    # Half of the time is history, half came by stream; one function reads both. The middle is found once: an
+    # approximate percentile may come out differently the next time, and rows between both would be lost or count twice.
+    middle = t.events.agg(F.percentile_approx("timestamp", 0.5)).first()[0]
+    is_old = F.coalesce(F.col("timestamp") < F.lit(middle), F.lit(True))  # without time: history
+    old, new = t.events.filter(is_old), t.events.filter(~is_old)
     path = new_path(t.spark, "all-events")
     schemas.conform(old, schemas.EVENT).write.parquet(path)
     stream = archived(t, t._records(new, "raw-events", F.col("user_id")), "raw-events")
