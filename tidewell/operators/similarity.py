@@ -13,6 +13,10 @@ that touched the whole catalog would dominate the job. Two exact facts avoid tha
 
 The second costs extra joins, so it applies to users above `heavy_degree` items only,
 and not at all when there are none. Lighter users propose all their pairs directly.
+
+Pairs are summed up in as many tasks as their number asks for. Where most pairs of items have few users, each item of
+a user travels once, with the list of the user's more popular items, to where its pairs are summed up. The rarer item
+of a pair decides the task, so that a popular one has few pairs there.
 """
 
 from __future__ import annotations
@@ -28,6 +32,12 @@ from tidewell.storage import write_once
 
 # Items from which on a user counts as heavy.
 HEAVY_DEGREE = 2000
+#: Pairs that one task sums up.
+PAIRS_PER_TASK = 1_500_000
+#: Items of a user in one list; those of users with more are dealt into several.
+LIST_CELLS = 1000
+#: Users per pair of items from which on tasks sum up most of their pairs before they send them.
+DENSE = 4
 
 
 def item_vectors(events: DataFrame) -> DataFrame:
@@ -62,14 +72,37 @@ def _numbered_items(vectors: DataFrame, min_common: int) -> DataFrame:
         F.count(F.lit(1)).alias("_n"), F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm")
     ).filter(F.col("_n") >= min_common)
     return write_once(
-        items.select("item_id", "norm", F.monotonically_increasing_id().alias("item")), "rated-items"
+        items.select("item_id", "norm", F.col("_n").alias("n"), F.monotonically_increasing_id().alias("item")), "rated-items"
+    )
+
+
+def _listed_pairs(cells: DataFrame, parts: int) -> DataFrame:
+    """Dot product and shared users per pair of item numbers, `a` < `b`, from lists of each user's items."""
+    degrees = cells.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(LIST_CELLS)).alias("lists"))
+    placed = cells.join(degrees, "user_id").select(
+        "user_id", "lists", F.pmod(F.xxhash64("item"), F.col("lists")).alias("which"),
+        F.struct("n", "item", "rating").alias("cell"),
+    )
+    lists = placed.groupBy("user_id", "lists", "which").agg(F.sort_array(F.collect_list("cell")).alias("list"))
+    after = lambda name: F.slice(F.col(f"list.{name}"), F.col("at") + 2, F.size("list")).alias(f"{name}s")
+    rows = lists.select("list", F.posexplode("list").alias("at", "cell")).select("cell", after("item"), after("rating"))
+    # Items of one user in different lists.
+    others = lists.filter("lists > 1").select("user_id", F.col("which").alias("other"), "list")
+    later = F.filter("list", lambda e: e > F.col("cell"))
+    across = placed.filter("lists > 1").join(others, "user_id").filter("which <> other").select("cell", later.alias("list"))
+    rows = rows.unionByName(across.select("cell", F.col("list.item").alias("items"), F.col("list.rating").alias("ratings")))
+    rows = rows.filter(F.size("items") > 0).select(F.col("cell.item").alias("first"), F.col("cell.rating").alias("rating"), "items", "ratings")
+    each = rows.repartition(parts, "first").select("first", "rating", F.explode(F.arrays_zip("items", "ratings")).alias("_e"))
+    summed = each.select("first", F.col("_e.items").alias("second"), (F.col("rating") * F.col("_e.ratings")).alias("product"))
+    return summed.groupBy("first", "second").agg(F.sum("product").alias("dot"), F.count(F.lit(1)).alias("common")).select(
+        F.least("first", "second").alias("a"), F.greatest("first", "second").alias("b"), "dot", "common"
     )
 
 
 def _overlaps(vectors: DataFrame, items: DataFrame, min_common: int, heavy_degree: int) -> DataFrame:
     """Dot product and shared users per pair of item numbers, `a` < `b`."""
     spare = max(min_common - 1, 0)
-    cells = vectors.join(items.select("item_id", "item"), "item_id").select("item", "user_id", "rating")
+    cells = vectors.join(items.select("item_id", "item", "n"), "item_id").select("item", "user_id", "rating", "n")
     cells = write_once(cells, "rating-cells", spread=True)
     degrees = cells.groupBy("user_id").agg(F.count(F.lit(1)).alias("degree"))
 
@@ -85,10 +118,18 @@ def _overlaps(vectors: DataFrame, items: DataFrame, min_common: int, heavy_degre
         return df.select(F.col("item").alias(which), "user_id", F.col("rating").alias(f"rating_{which}"))
 
     product = F.col("rating_a") * F.col("rating_b")
-    proposed = (
-        side(head, "a").join(side(head, "b"), "user_id").filter(F.col("a") < F.col("b"))
-        .groupBy("a", "b").agg(F.sum(product).alias("dot"), F.count(F.lit(1)).alias("common"))
-    )
+    n = F.count(F.lit(1)).cast("double")
+    size = head.groupBy("user_id").agg((n * (n - 1) / 2).alias("pairs")).agg(F.sum("pairs").alias("pairs")).first()
+    pairs, known = size["pairs"] or 0, items.count()
+    parts = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(-(-pairs // PAIRS_PER_TASK)))
+    if pairs < DENSE * known * (known - 1) / 2:
+        proposed = _listed_pairs(head, parts)
+    else:
+        head_a, head_b = (side(head, which).repartition(parts, "user_id") for which in ("a", "b"))
+        proposed = (
+            head_a.join(head_b, "user_id").filter(F.col("a") < F.col("b"))
+            .groupBy("a", "b").agg(F.sum(product).alias("dot"), F.count(F.lit(1)).alias("common"))
+        )
     if not with_tail:
         return proposed.filter(F.col("common") >= min_common)
     # A pair gains at most the tail users its two items have; what cannot reach the minimum so is not stored.
