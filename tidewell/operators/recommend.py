@@ -9,6 +9,10 @@ from tidewell.config import RecommendConfig, SimilarityConfig
 from tidewell.functions import ordered
 from tidewell.functions.scalars import fixed_sum, has_text, interaction_weight, round_to
 from tidewell.operators import similarity
+from tidewell.storage import write_once
+
+#: Terms (an item of a history and one similar to it) that one task sums up.
+TERMS_PER_TASK = 2_000_000
 
 
 def _weights(history: DataFrame, weight: Column, keys: list[str]) -> DataFrame:
@@ -18,17 +22,51 @@ def _weights(history: DataFrame, weight: Column, keys: list[str]) -> DataFrame:
     )
 
 
-def _terms(weights: DataFrame, sims: DataFrame, keys: list[str]) -> DataFrame:
-    near = sims.select("item_id", "similar_item", "sim")
-    return weights.join(near, "item_id").select(
-        *keys, F.col("similar_item").alias("item_id"), (F.col("weight") * F.col("sim")).alias("term")
-    )
+def _summed(weights: DataFrame, sims: DataFrame, keys: list[str], mark_seen: bool) -> DataFrame:
+    """`score`, the sum of weight x similarity, per key and similar item; with `mark_seen` also `_seen`.
+
+    An item of a history travels once, with the list of its similar items, to the task of its key, where the terms
+    are summed up: no term is sent. There are as many tasks as the terms ask for. A very large history takes part
+    in several tasks, each of which sums up its share of the similar items.
+    """
+    spark = weights.sparkSession
+    weights = write_once(weights, "history-weights")
+    near = sims.groupBy("item_id").agg(F.collect_list(F.struct(F.col("similar_item").alias("item"), "sim")).alias("near"))
+    near = write_once(near, "near-items")
+    most = near.agg(F.max(F.size("near")).alias("n")).first()["n"] or 0
+    rows = weights.count()
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows * (most + 1) // TERMS_PER_TASK))
+    placed = weights.join(near, "item_id", "left" if mark_seen else "inner")
+    if mark_seen:
+        own = F.array(F.struct(F.col("item_id").alias("item"), F.lit(None).cast("double").alias("sim")))
+        placed = placed.withColumn("near", F.concat(F.coalesce("near", F.array().cast(near.schema["near"].dataType)), own))
+    shares = F.ceil(F.count(F.lit(1)) * (most + 1) / F.lit(TERMS_PER_TASK)).cast("int")
+    large = weights.groupBy(*keys).agg(shares.alias("_shares")).filter("_shares > 1")
+    placed = placed.withColumn("_share", F.lit(0))
+    if not large.isEmpty():
+        same = [placed[k].eqNullSafe(large[k]) for k in keys]
+        on = same[0]
+        for column in same[1:]:
+            on = on & column
+        placed = placed.join(F.broadcast(large), on, "left").select(
+            *[placed[k] for k in keys], "weight", "near",
+            F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1)).alias("_share"),
+            F.coalesce("_shares", F.lit(1)).alias("_shares"),
+        )
+        mine = F.filter("near", lambda e: F.pmod(F.xxhash64(e["item"]), F.col("_shares")) == F.col("_share"))
+        placed = placed.withColumn("near", F.when(F.col("_shares") > 1, mine).otherwise(F.col("near")))
+    terms = placed.select(*keys, "_share", "weight", "near").repartition(tasks, *keys, "_share").select(
+        *keys, "_share", "weight", F.explode("near").alias("_e")
+    ).select(*keys, "_share", F.col("_e.item").alias("item_id"), (F.col("weight") * F.col("_e.sim")).alias("term"))
+    parts = [fixed_sum(F.col("term")).alias("score")]
+    if mark_seen:
+        parts.append(F.bool_or(F.col("term").isNull()).alias("_seen"))
+    return terms.groupBy(*keys, "_share", "item_id").agg(*parts).drop("_share")
 
 
 def candidates(history: DataFrame, sims: DataFrame, weight: Column, keys: list[str]) -> DataFrame:
     """Score of each similar item per user (or session): summed weight x similarity."""
-    terms = _terms(_weights(history, weight, keys), sims, keys)
-    return terms.groupBy(*keys, "item_id").agg(fixed_sum(F.col("term")).alias("score"))
+    return _summed(_weights(history, weight, keys), sims, keys, False)
 
 
 def exclude_seen(scored: DataFrame, history: DataFrame, keys: list[str]) -> DataFrame:
@@ -36,15 +74,17 @@ def exclude_seen(scored: DataFrame, history: DataFrame, keys: list[str]) -> Data
     return scored.join(history.select(*keys, "item_id").distinct(), [*keys, "item_id"], "left_anti")
 
 
-def fresh_candidates(history: DataFrame, sims: DataFrame, weight: Column, keys: list[str]) -> DataFrame:
-    """Both at once: what was seen takes part in the aggregation as a mark, which saves a join."""
+def fresh_candidates(
+    history: DataFrame, sims: DataFrame, weight: Column, keys: list[str], only: DataFrame | None = None
+) -> DataFrame:
+    """Both at once: what was seen takes part in the aggregation as a mark, which saves a join.
+
+    With `only`, for the keys it has.
+    """
     weights = _weights(history, weight, keys)
-    seen = weights.select(*keys, "item_id", F.lit(None).cast("double").alias("term"))
-    marked = _terms(weights, sims, keys).unionByName(seen)
-    summed = marked.groupBy(*keys, "item_id").agg(
-        fixed_sum(F.col("term")).alias("score"), F.bool_or(F.col("term").isNull()).alias("_seen")
-    )
-    return summed.filter(~F.col("_seen")).drop("_seen")
+    if only is not None:
+        weights = weights.join(only.select(*keys), keys, "left_semi")
+    return _summed(weights, sims, keys, True).filter(~F.col("_seen")).drop("_seen")
 
 
 def _ranked(scored: DataFrame, keys: list[str], top_n: int) -> DataFrame:
@@ -97,8 +137,8 @@ def recommend_weighted(
         F.col("_n") >= config.min_interactions
     )
     weight = interaction_weight(F.col("event_type"))
-    fresh = fresh_candidates(history, sims, weight, keys).filter(F.col("score") > 0)
-    return _ranked(fresh.join(enough.select(*keys), keys, "left_semi"), keys, config.top_k)
+    fresh = fresh_candidates(history, sims, weight, keys, enough).filter(F.col("score") > 0)
+    return _ranked(fresh, keys, config.top_k)
 
 
 def cold_start(history: DataFrame, config: RecommendConfig = RecommendConfig(), keys: list[str] | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from tidewell.operators import cache, fraud, recommend, stock, validate, windows
 from tidewell.plans import batch as plans
 from tidewell.sources import topics
 from tidewell.sources.keyed import KeyedTable
+from tidewell.storage import scratch
 from tidewell.streaming import sinks
 
 
@@ -132,7 +133,8 @@ def recommendation_job(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            sinks.batches_to(path, run)(batch, batch_id)
+            with scratch(batch.sparkSession):
+                sinks.batches_to(path, run)(batch, batch_id)
         finally:
             batch.unpersist()
 
