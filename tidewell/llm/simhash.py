@@ -182,7 +182,7 @@ def linked_groups(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     ends = keys.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.count(F.lit(1)).alias("n"))
     # Keys with one fingerprint are gone from here on, and those with two that are not linked.
     linked = (F.col("n") > 2) | _close(F.col("low"), F.col("high"), most_bits)
-    ends = ends.filter((F.col("low") != F.col("high")) & linked).drop("n")
+    ends = ends.filter((F.col("low") != F.col("high")) & linked)
     shared = write_once(keys.join(ends, "key"), "simhash-shared")
     fp, low, high = F.col("fp"), F.col("low"), F.col("high")
     stars = [
@@ -190,7 +190,8 @@ def linked_groups(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     ]
     stars = stars[0].unionByName(stars[1])
     first = write_once(components(stars), "simhash-groups")
-    known = shared.select("key", "fp").join(first.withColumnRenamed("node", "fp"), "fp", "left").select(
+    # Of up to three fingerprints the stars have compared every pair.
+    known = shared.filter("n > 3").select("key", "fp").join(first.withColumnRenamed("node", "fp"), "fp", "left").select(
         "key", "fp", F.coalesce("root", "fp").alias("root")
     )
     known = write_once(known, "simhash-known")
