@@ -7,9 +7,9 @@ most two bits share at least one of them, since a word between both is a neighbo
 
 With at most four differing bits in all, either some segment agrees: then of the two others one
 differs in at most two bits, and the agreeing segment's bits together with the other's key are shared. Or
-all segments differ: then two of them differ in one bit each. One-bit neighbours have different parity, so it
-is enough that words of even parity give their own index and those of odd parity all of theirs; a pair of
-such keys is shared. Joining on these keys meets every pair of fingerprints to be linked; each is verified.
+all segments differ: then two of them differ in one bit each and the third in one or two. One half of either of the
+two and one third of the third agree, and so do the parities of the two taken together; these bits are a
+key. Joining on these keys, of about 30 bits, meets every pair of fingerprints to be linked; each is verified.
 
 Only linked groups are wanted, not all pairs within them. Fingerprints are first linked to the smallest and
 the largest one under each key, which needs no pairs; a key all of whose fingerprints are then
@@ -19,6 +19,7 @@ in one group is done. Pairs are formed only across groups.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -117,8 +118,15 @@ def near_indices(words: np.ndarray, width: int = 23) -> np.ndarray:
     return found
 
 
+def pieces_of(segment: int, count: int) -> list[tuple[int, int]]:
+    """First bit and width of the pieces into which a segment is cut."""
+    at, width = SEGMENTS[segment]
+    cuts = [at + -(-width * k // count) for k in range(count + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+
+
 def golay_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in `prints` and keys, one row per key: kind, agreeing bits or first index, and index."""
+    """Positions in `prints` and keys, one row per key: kind, and agreeing bits and index or agreeing bits alone."""
     whole = prints.astype(np.uint64)
     parts = [
         (whole >> np.uint64(at) & np.uint64((1 << width) - 1)).astype(np.int64) for at, width in SEGMENTS
@@ -134,25 +142,21 @@ def golay_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 keys.append((kind << 35) | (part[row] << 12) | indices[row, column])
                 kind += 1
     odd = [np.bitwise_count(part.astype(np.uint64)).astype(np.int64) & 1 for part in parts]
-    single = [codeword_index(part) for part in parts]
-    for i, j in ((0, 1), (0, 2), (1, 2)):
-        # Words of even parity stand under their own index only.
-        sets = [np.where(odd[k][:, None] == 1, near[k], -1) for k in (i, j)]
-        for k, indices in zip((i, j), sets):
-            indices[:, 0] = np.where(odd[k] == 1, near[k][:, 0], single[k])
-        row, column = np.nonzero(sets[0] >= 0)
-        inner, other = np.nonzero(sets[1][row] >= 0)
-        owner = row[inner]
-        mixed = odd[i][owner] ^ odd[j][owner]
-        pair = (sets[0][owner, column[inner]] << 12) | sets[1][owner, other]
-        rows.append(owner)
-        keys.append((kind << 35) | (mixed << 24) | pair)
-        kind += 1
+    every = np.arange(len(prints))
+    for i, j, rest in ((0, 1, 2), (0, 2, 1), (1, 2, 0)):
+        # The bits of one half each and of a third, side by side; a single different bit turns either parity.
+        for halves in product(pieces_of(i, 2), pieces_of(j, 2), pieces_of(rest, 3)):
+            key = odd[i] ^ odd[j]
+            for at, width in halves:
+                key = key << width | (whole >> np.uint64(at) & np.uint64((1 << width) - 1)).astype(np.int64)
+            rows.append(every)
+            keys.append((kind << 35) | key)
+            kind += 1
     return np.concatenate(rows), np.concatenate(keys)
 
 
 def keyed(prints: DataFrame) -> DataFrame:
-    """key and fp: every fingerprint under all its keys, about 60."""
+    """key and fp: every fingerprint under all its keys, about 70."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -162,7 +166,7 @@ def keyed(prints: DataFrame) -> DataFrame:
                 rows, keys = golay_keys(some.view(np.uint64))
                 yield pd.DataFrame({"key": keys, "fp": some[rows]})
 
-    # Few bytes come in and sixty times as many go out: all shuffle partitions take part.
+    # Few bytes come in and seventy times as many go out: all shuffle partitions take part.
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return prints.select("fp").repartition(parts).mapInPandas(run, "key bigint, fp bigint")
 
