@@ -3,6 +3,7 @@ import random
 import struct
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -156,3 +157,13 @@ def test_model_size_is_checked(tmp_path, monkeypatch):
     (tmp_path / "m").write_bytes(bytes(11))
     with pytest.raises(ValueError):
         pieces.read_model(str(tmp_path / "m"))
+
+
+def test_frames_are_bounded():
+    # Ids and spans take ten times a text's memory, and workers keep what they once had.
+    texts = [f"text number {i} of a large batch" for i in range(1000)]
+    frames = list(pieces.encoded([pd.DataFrame({"id": range(1000), "text": texts})], MODEL))
+    assert max(map(len, frames)) <= 100
+    assert [i for f in frames for i in f["id"]] == list(range(1000))
+    coder = pieces.codec(MODEL)
+    assert all((coder.encode(t)[0] == ids).all() for t, ids in zip(texts, (x for f in frames for x in f["ids"])))

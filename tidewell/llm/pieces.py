@@ -30,6 +30,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MOST_MODEL_BYTES = 16 << 20
 # Segments a task remembers. Only the time depends on it.
 REMEMBERED = 250_000
+# Texts whose ids and spans are sent at once: these take many times the texts' memory.
+ENCODED_AT_ONCE = 64
 NO_PIECE = float("-inf")
 # Up to this length a plain search for the best pair beats a heap.
 SHORT = 24
@@ -329,26 +331,29 @@ def codec(model: bytes) -> Codec:
     return Codec(model)
 
 
-def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, ids, starts and ends (bytes of the source) of each row; a null text counts as empty.
-
-    Begin and end ids stand around every text, the empty one too. Repeated rows are encoded each.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = codec(model)
-        for batch in batches:
-            coded = [coder.encode(text or "") for text in batch["text"]]
+def encoded(batches: Iterator[pd.DataFrame], model: bytes) -> Iterator[pd.DataFrame]:
+    """id, ids, starts and ends of the rows of each batch (id and text), in frames of bounded size."""
+    coder = codec(model)
+    for batch in batches:
+        for at in range(0, len(batch), ENCODED_AT_ONCE):
+            some = batch.iloc[at:at + ENCODED_AT_ONCE]
+            coded = [coder.encode(text or "") for text in some["text"]]
             yield pd.DataFrame({
-                "id": batch["id"],
+                "id": some["id"].to_numpy(),
                 "ids": [c[0].astype(np.int32) for c in coded],
                 "starts": [c[1] for c in coded],
                 "ends": [c[2] for c in coded],
             })
 
+
+def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, ids, starts and ends (bytes of the source) of each row; a null text counts as empty.
+
+    Begin and end ids stand around every text, the empty one too. Repeated rows are encoded each.
+    """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    out = rows.mapInPandas(run, f"id {kind}, ids array<int>, starts array<bigint>, ends array<bigint>")
+    out = rows.mapInPandas(lambda batches: encoded(batches, model), f"id {kind}, ids array<int>, starts array<bigint>, ends array<bigint>")
     return out.withColumnRenamed("id", id_col)
 
 
