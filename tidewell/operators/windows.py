@@ -5,12 +5,13 @@ Input has `ts`, a timestamp with time zone. On a stream set the watermark first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewell.config import StreamConfig
 from tidewell.functions.scalars import filled, nonzero
+from tidewell.storage import write_once
 
 
 def event_time(events: DataFrame, millis: str = "timestamp") -> DataFrame:
@@ -79,24 +80,48 @@ def sliding(changes: DataFrame, width: str = StreamConfig.sliding, slide: str =
     )
 
 
-def sliding_by_panes(changes: DataFrame, hours: int = 24) -> DataFrame:
-    """The same windows, sliding by an hour, in batch.
+PANE_KEYS = ["item_id", "warehouse_id"]
+#: Panes whose windows one task works out; several sorts of them are in its memory at once.
+PANES_PER_TASK = 50_000
 
-    Rows are summed up per hour. What a window holds changes only where an hour's pane enters or leaves it, so
-    windows are computed once per such instant and repeated for the starts up to the next one. Counts and sums are
-    differences of running totals. Lowest and highest levels come from blocks of as many hours as a window has: it
-    covers the end of one block and the beginning of the next, whose running extremes are known. A key has at most
-    one pane per hour, and everything after the panes happens where a key's panes are.
-    """
-    keys = ["item_id", "warehouse_id"]
-    hour = F.floor(F.col("timestamp") / F.lit(3600000)).cast("bigint")
-    panes = changes.filter(F.col("timestamp").isNotNull()).groupBy(*keys, hour.alias("_hour")).agg(
+
+def _pane_sums() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("_n"),
         F.count("quantity_change").alias("_known"),
         F.sum("quantity_change").alias("_net"),
         F.min("current_stock").alias("_min"),
         F.max("current_stock").alias("_max"),
-    )
+    ]
+
+
+def stream_panes(changes: DataFrame) -> DataFrame:
+    """What each hour holds per item, for `sliding_over`. On a stream an hour comes out when the watermark has passed it.
+
+    The state is one row per item and hour, whatever the width of the windows made of the hours.
+    """
+    hour = F.floor(F.unix_millis(F.col("window.start")) / F.lit(3600000)).cast("bigint")
+    return changes.groupBy(F.window("ts", "1 hour"), *PANE_KEYS).agg(*_pane_sums()).withColumn("_hour", hour).drop("window")
+
+
+def sliding_by_panes(changes: DataFrame, hours: int = 24) -> DataFrame:
+    """The same windows as `sliding`, sliding by an hour, in batch. Rows are summed up per hour first."""
+    hour = F.floor(F.col("timestamp") / F.lit(3600000)).cast("bigint")
+    panes = changes.filter(F.col("timestamp").isNotNull()).groupBy(*PANE_KEYS, hour.alias("_hour")).agg(*_pane_sums())
+    return sliding_over(write_once(panes, "panes"), hours)
+
+
+def sliding_over(panes: DataFrame, hours: int = 24) -> DataFrame:
+    """Sliding windows over stored panes, one per item and hour.
+
+    What a window holds changes only where an hour's pane enters or leaves it, so
+    windows are computed once per such instant and repeated for the starts up to the next one. Counts and sums are
+    differences of running totals. Lowest and highest levels come from blocks of as many hours as a window has: it
+    covers the end of one block and the beginning of the next, whose running extremes are known. Everything
+    after the panes happens where a key's panes are, in as many tasks as their number asks for.
+    """
+    keys = PANE_KEYS
+    panes = panes.repartition(max(1, -(-panes.count() // PANES_PER_TASK)), *keys)
     block = F.floor(F.col("_hour") / hours)
     along, inside = W.partitionBy(*keys).orderBy("_hour"), W.partitionBy(*keys, "_block")
     upto = inside.orderBy("_hour").rowsBetween(W.unboundedPreceding, W.currentRow)
