@@ -145,7 +145,9 @@ def _(t: Tables):
         "item_id", F.col("user_id").alias("warehouse_id"), "ts", F.col("quantity").alias("quantity_change"),
         F.col("price").alias("current_stock"),
     )
-    return run_to_files(t, windows.sliding(changes), "sliding").filter(F.col("warehouse_id") != CLOSER)
+    # The stream keeps hours; of these the windows are made where they are read.
+    panes = run_to_files(t, windows.stream_panes(changes), "panes").filter(F.col("warehouse_id") != CLOSER)
+    return windows.sliding_over(panes)
 
 
 @query("late_data", TUMBLING)
