@@ -160,7 +160,9 @@ class Tables:
 
     @staticmethod
     def _records(df: DataFrame, topic: str, key) -> DataFrame:
-        shaped = df.select(
+        # Dealt out evenly: a few large files, or one, would have their values written and read by as many tasks.
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        shaped = df.repartition(parts).select(
             key.cast("binary").alias("key"),
             F.to_json(F.struct("*")).cast("binary").alias("value"),
             F.lit(topic).alias("topic"),
