@@ -1,19 +1,25 @@
 """Behaviour features per event over several trailing horizons.
 
 A horizon of h milliseconds holds the events from h before an event up to that event's own instant, both included.
-Nothing later counts. Events are summed up per user and instant first, and instants per user and window of five
-minutes, since all horizons are whole numbers of windows. What a horizon holds has three parts:
+Nothing later counts. All sums are whole numbers, so what a horizon holds is the running total up to the event less that
+of the events gone by, exactly. Both start at the beginning, so the cost does not depend on the horizon. Distinct counts
+are such sums too: a value arrives unless it was seen within the horizon before, and leaves a horizon after it was last
+seen unless it is seen again by then. The count is all arrivals so far less all departures so far. No sets are kept.
+
+Events are dealt by user, once and in as many tasks as their number asks for; all windows follow where they are. A horizon
+looks up the totals of the last event before it. Lowest and highest amounts come from blocks as long as the
+horizon: it covers the end of one block and the beginning of the next, whose running extremes are known.
+
+A user of more events than one task should go through takes another way, in many tasks (`_trailing`). Events are summed up
+per user and instant first, and instants per user and window of five minutes, since all horizons are whole
+numbers of windows. What a horizon holds has three parts:
 
 * the event's own window up to the event: a running total within that window;
-* the whole windows in between: the running total of all windows before, less that of the windows gone by. Both start at
-  the beginning, so the cost does not depend on the horizon;
+* the whole windows in between: the running total of all windows before, less that of the windows gone by;
 * the oldest window from the horizon's start on: the start is put among that window's instants as a
   marker, and a running total from the window's end gives what is after it.
 
-The first and the last part never look beyond one window of one user. All sums are whole numbers, so the
-difference is exact. Distinct counts are such sums too: a value arrives unless it was seen within the
-horizon before, and leaves a horizon after it was last seen unless it is seen again by then. The
-count is all arrivals so far less all departures so far. No sets are kept.
+The first and the last part never look beyond one window of one user.
 """
 
 from __future__ import annotations
@@ -26,6 +32,10 @@ from tidewell.functions.scalars import ratio
 from tidewell.storage import write_once
 
 WINDOW_MS = 300000
+#: Events one task works out; several sorts of them are in its memory at once.
+EVENTS_PER_TASK = 25_000
+#: Events of one user that one task works out.
+EVENTS_PER_USER = 250_000
 
 # Horizon -> its number of five-minute windows; None means from the beginning.
 HORIZONS: dict[str, int | None] = {"5m": 1, "1h": 12, "24h": 288, "7d": 2016, "30d": 8640, "all": None}
@@ -220,54 +230,160 @@ def _trailing(instants: DataFrame) -> DataFrame:
     return parts.select("o.user_id", "o.timestamp", *columns)
 
 
-def instant_features(events: DataFrame) -> DataFrame:
-    """All metrics per user and instant."""
-    placed = events.select(
-        "user_id", "event_type", "item_id", "category", "quantity", "timestamp", cents(F.col("price")).alias("_cents")
-    )
-    moves = _moves(placed)
+def _instants_with_moves(events: DataFrame) -> DataFrame:
+    """One row per user and instant: its sums, arrivals and departures."""
+    moves = _moves(events)
     counted = [name for name in moves.columns if name not in INSTANT]
-    instants = _instants(placed).alias("i").join(moves.alias("m"), _same("i", "m", INSTANT), "left").select(
+    instants = _instants(events).alias("i").join(moves.alias("m"), _same("i", "m", INSTANT), "left").select(
         "i.*", *[F.coalesce(F.col(f"m.{name}"), F.lit(0)).alias(name) for name in counted]
     )
     window = F.floor(F.col("timestamp") / F.lit(WINDOW_MS)).cast("bigint")
-    joined = _trailing(write_once(instants.withColumn("_w", window), "fraud-instants"))
-
-    columns: dict[str, Column] = {}
+    return write_once(instants.withColumn("_w", window), "fraud-instants")
+
+
+OWN = ["event_id", "user_id", "event_type", "timestamp", "amount", "count"]
+HELD = [f"{name}_{horizon}" for horizon in HORIZONS for name in [*SUMS, *DISTINCT, *EXTREMES]]
+
+
+def _of_large_users(events: DataFrame) -> DataFrame:
+    """What each horizon of an event holds, whoever the user; every event needs a time."""
+    held = _trailing(_instants_with_moves(events))
+    return events.alias("e").join(held.alias("f"), _same("e", "f", INSTANT)).select(*[f"e.{name}" for name in OWN], *HELD)
+
+
+def _block(at: Column, width: int) -> Column:
+    """Where the block of that width begins in which an instant is."""
+    return at - F.pmod(at, F.lit(width))
+
+
+def _of_users(events: DataFrame, tasks: int) -> DataFrame:
+    """What each horizon of an event holds, in windows over whole users."""
+    # Events without time are apart from the others of their user, at an instant of their own.
+    user = ["user_id", "_dated"]
+    at, money = F.col("_at"), F.col("_cents")
+    rows = events.repartition(tasks, "user_id").withColumns({
+        "_dated": F.col("timestamp").isNotNull(), "_at": F.coalesce("timestamp", F.lit(0)),
+    })
+    for out, column in DISTINCT.items():
+        along = W.partitionBy(*user, column).orderBy("_at")
+        rows = rows.withColumns({
+            f"_has_{out}": F.coalesce(F.col(column) != "", F.lit(False)),
+            f"_since_{out}": at - F.lag("_at").over(along), f"_until_{out}": F.lead("_at").over(along) - at,
+        })
+    priced = lambda *parts: F.when(money.isNotNull(), F.struct(*parts))
+    in_block = lambda found, start: F.when(found["block"] == start, found["cents"])
+
+    # From the end: lowest and highest amounts in the rest of an instant's block. A struct's first field is its block.
+    back = W.partitionBy(*user).orderBy(at.desc()).rangeBetween(W.unboundedPreceding, W.currentRow)
+    rest = {}
+    for horizon, width in LIMITED.items():
+        start = _block(at, width)
+        rest[f"_low_{horizon}"] = in_block(F.min(priced(start.alias("block"), money.alias("cents"))).over(back), start)
+        rest[f"_high_{horizon}"] = in_block(F.max(priced((-start).alias("block"), money.alias("cents"))).over(back), -start)
+    rows = rows.select(*OWN, *user, "_at", "_cents", "quantity", *[c for c in rows.columns if c.startswith(("_has", "_since", "_until"))],
+                       *[column.alias(name) for name, column in rest.items()])
+
+    # From the beginning: running totals, extremes of an instant's block so far, and what comes next.
+    along = W.partitionBy(*user).orderBy("_at")
+    so_far = along.rangeBetween(W.unboundedPreceding, W.currentRow)
+    kind, square = F.col("event_type"), money * money
+    none = F.lit(0).cast("bigint")
+    terms = {
+        "events": F.lit(1), "transactions": (kind == "transaction").cast("int"), "priced": money.isNotNull().cast("int"),
+        "cents": money, "squares_low": square % SPLIT, "squares_high": F.floor(square / SPLIT), "quantity": F.col("quantity"),
+        "carts": (kind == "addtocart").cast("int"), "searches": (kind == "search").cast("int"),
+    }
+    for out in DISTINCT:
+        has, since, until = F.col(f"_has_{out}"), F.col(f"_since_{out}"), F.col(f"_until_{out}")
+        for horizon in HORIZONS:
+            new = since.isNull()
+            if horizon in LIMITED:
+                new = new | (since > LIMITED[horizon])
+                terms[f"{out}_out_{horizon}"] = (has & (until.isNull() | (until > LIMITED[horizon]))).cast("int")
+            terms[f"{out}_in_{horizon}"] = (has & new).cast("int")
+    here = F.struct("_at", *rest)
+    found = {f"_sum_{name}": F.coalesce(F.sum(terms[name]).over(so_far), none) for name in COUNTED}
+    found |= {"_first": F.first(here).over(so_far), "_next": F.lead(here).over(along)}
+    found |= {"cents_min_all": F.min(money).over(so_far), "cents_max_all": F.max(money).over(so_far)}
+    for horizon, width in LIMITED.items():
+        start = _block(at, width)
+        found[f"_down_{horizon}"] = in_block(F.min(priced((-start).alias("block"), money.alias("cents"))).over(so_far), -start)
+        found[f"_up_{horizon}"] = in_block(F.max(priced(start.alias("block"), money.alias("cents"))).over(so_far), start)
+    rows = rows.select(*OWN, *user, "_at", *[column.alias(name) for name, column in found.items()])
+
+    # The last event a horizon no longer holds; the one after it is the first it does.
+    gone = {}
+    for horizon, width in LIMITED.items():
+        before = along.rangeBetween(W.unboundedPreceding, -width - 1)
+        last = F.struct(
+            *[F.col(f"_sum_{source}").alias(out) for out, source in _departures(horizon).items()],
+            *[F.col("_next")[name].alias(name) for name in ("_at", f"_low_{horizon}", f"_high_{horizon}")],
+        )
+        gone[f"_gone_{horizon}"] = F.last(last).over(before)
+    rows = rows.select("*", *[column.alias(name) for name, column in gone.items()])
+
+    held = {}
+    for horizon in HORIZONS:
+        width = LIMITED.get(horizon)
+        left = None if width is None else F.col(f"_gone_{horizon}")
+        for out, source in _arrivals(horizon).items():
+            value = F.col(f"_sum_{source}")
+            held[f"{out}_{horizon}"] = value if left is None else value - F.coalesce(left[out], none)
+        if left is None:
+            held |= {f"first_ms_{horizon}": F.col("_first")["_at"], f"cents_min_{horizon}": F.col("cents_min_all"),
+                     f"cents_max_{horizon}": F.col("cents_max_all")}
+            continue
+        begin = {name: F.when(left.isNull(), F.col("_first")[name]).otherwise(left[name])
+                 for name in ("_at", f"_low_{horizon}", f"_high_{horizon}")}
+        earlier = _block(begin["_at"], width) < _block(at, width)
+        held[f"first_ms_{horizon}"] = begin["_at"]
+        held[f"cents_min_{horizon}"] = F.least(F.when(earlier, begin[f"_low_{horizon}"]), F.col(f"_down_{horizon}"))
+        held[f"cents_max_{horizon}"] = F.greatest(F.when(earlier, begin[f"_high_{horizon}"]), F.col(f"_up_{horizon}"))
+    return rows.select(*OWN, *[held[name].alias(name) for name in HELD])
+
+
+def _described(rows: DataFrame) -> DataFrame:
+    """The features of every event, from what its horizons hold."""
+    columns: dict[str, Column] = {"quantity": F.col("count")}
     for horizon in HORIZONS:
         n, total = F.col(f"priced_{horizon}"), F.col(f"cents_{horizon}").cast("double")
         squares = F.col(f"squares_high_{horizon}") * F.lit(float(SPLIT)) + F.col(f"squares_low_{horizon}")
         some = F.nullif(n, F.lit(0))
         spread = F.greatest(F.lit(0.0), squares - total * total / some)
+        average = F.coalesce(total / 100 / some, F.lit(0.0))
         columns |= {
             f"amount_sum_{horizon}": total / 100,
-            f"amount_avg_{horizon}": F.coalesce(total / 100 / some, F.lit(0.0)),
+            f"amount_avg_{horizon}": average,
             f"amount_min_{horizon}": F.coalesce(F.col(f"cents_min_{horizon}") / 100, F.lit(0.0)),
             f"amount_max_{horizon}": F.coalesce(F.col(f"cents_max_{horizon}") / 100, F.lit(0.0)),
             f"amount_std_{horizon}": F.when(n > 1, F.sqrt(spread / F.nullif(n - 1, F.lit(0))) / 100).otherwise(0.0),
             f"quantity_avg_{horizon}": F.col(f"quantity_{horizon}") / F.col(f"events_{horizon}"),
+            f"seconds_since_first_{horizon}": (F.col("timestamp") - F.col(f"first_ms_{horizon}")) / 1000,
+            f"amount_ratio_{horizon}": ratio(F.col("amount"), average),
         }
-    kept = [f"{name}_{h}" for h in HORIZONS for name in ["events", "transactions", *DISTINCT, "carts", "searches", "first_ms"]]
-    return joined.select(*INSTANT, *kept, *[column.alias(name) for name, column in columns.items()])
+    return rows.select("event_id", *[columns.get(name, F.col(name)).alias(name) for name in feature_names()])
 
 
 def event_features(events: DataFrame) -> DataFrame:
     """Every event with all its features: five of its own and 15 for each horizon.
 
-    Events without user are those of one unknown user; those without time are of one unknown instant.
+    Events without user are those of one unknown user; those without time are of one unknown instant, which is neither
+    before nor after the others.
     """
-    own = events.select(
-        "event_id", "user_id", "event_type", "timestamp",
+    placed = events.select(
+        "event_id", "user_id", "event_type", "item_id", "category", "timestamp", "quantity",
         F.coalesce("price", F.lit(0.0)).alias("amount"),
-        F.coalesce("quantity", F.lit(1)).alias("quantity"),
-    )
-    joined = own.alias("e").join(instant_features(events).alias("f"), _same("e", "f", INSTANT))
-    features = [c for c in feature_names() if c not in BASE]
-    of_event = {}
-    for horizon in HORIZONS:
-        of_event[f"seconds_since_first_{horizon}"] = (F.col("e.timestamp") - F.col(f"first_ms_{horizon}")) / 1000
-        of_event[f"amount_ratio_{horizon}"] = ratio(F.col("e.amount"), F.col(f"amount_avg_{horizon}"))
-    return joined.select(
-        "e.event_id", *[f"e.{name}" for name in BASE],
-        *[of_event[name].alias(name) if name in of_event else F.col(f"f.{name}") for name in features],
+        F.coalesce("quantity", F.lit(1)).alias("count"),
+        cents(F.col("price")).alias("_cents"),
     )
+    sizes = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    size = sizes.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    tasks = max(1, -(-(size["rows"] or 0) // EVENTS_PER_TASK))
+    if (size["most"] or 0) <= EVENTS_PER_USER:
+        return _described(_of_users(placed, tasks))
+    large = write_once(sizes.filter(F.col("n") > EVENTS_PER_USER), "large-users").alias("_l")
+    # Events without time need no such way, however many: they are all of one instant.
+    held = placed.filter("timestamp is not null").alias("_d").join(large, _same("_d", "_l", ["user_id"]), "left_semi")
+    on = _same("_d", "_l", ["user_id"]) & F.col("_d.timestamp").isNotNull()
+    others = placed.alias("_d").join(large, on, "left_anti")
+    return _described(_of_users(others, tasks).unionByName(_of_large_users(held)))
