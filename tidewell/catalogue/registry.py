@@ -15,12 +15,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register a function from tables to a result under `name`."""
+def query(name: str, sql: str | None = None, settings: dict[str, str] | None = None):
+    """Register a function from tables to a result under `name`; `settings` are what its session has besides the usual ones."""
 
     def register(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return present(build(Tables(apply_settings(spark), folder)))
+            return present(build(Tables(apply_settings(spark, settings), folder)))
 
         run.__name__ = name
         QUERIES[name] = run

@@ -11,6 +11,7 @@ from tidewell.config import FraudConfig
 from tidewell.functions.scalars import round_to
 from tidewell.operators import fraud, fraud_features
 from tidewell.plans import batch
+from tidewell.session import WIDE_ROWS
 from tidewell.storage import new_path
 
 
@@ -190,7 +191,7 @@ def rounded_features(df):
     return rounded(df, *noisy, digits=4)
 
 
-@query("event_feature_families", features_sql())
+@query("event_feature_families", features_sql(), settings=WIDE_ROWS)
 def _(t: Tables):
     return rounded_features(fraud_features.event_features(t.events))
 
@@ -200,7 +201,7 @@ WITH s AS (SELECT a.event_id, 0.4::DOUBLE * coalesce(any_value(a.price), 0) / 50
            FROM ix_events a JOIN ix_events b ON a.user_id = b.user_id AND b."timestamp" BETWEEN a."timestamp" - 300000 AND a."timestamp"
            GROUP BY 1)
 SELECT event_id, 95 AS feature_count, {rnd("score")} AS fraud_score, score > 0.85::DOUBLE AS is_fraud, 'scored' AS reason FROM s
-""")
+""", settings=WIDE_ROWS)
 def _(t: Tables):
     features = fraud_features.event_features(t.events)
     scored = batch.score_fraud(features, fraud_features.feature_names())

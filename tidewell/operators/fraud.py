@@ -68,7 +68,7 @@ def gate(
     """
     score = F.lit(0.5) if score is None else score
     valid = F.lit(True) if valid is None else F.coalesce(valid, F.lit(False))
-    present = F.size(F.filter(F.array(*[F.col(name).isNotNull() for name in names]), lambda p: p))
+    present = sum((F.col(name).isNotNull().cast("int") for name in names), F.lit(0))
     enough = valid & (present >= config.min_features)
     return df.withColumns({
         "feature_count": present,

@@ -257,7 +257,11 @@ def _block(at: Column, width: int) -> Column:
 
 
 def _of_users(events: DataFrame, tasks: int) -> DataFrame:
-    """What each horizon of an event holds, in windows over whole users."""
+    """What each horizon of an event holds, in windows over whole users.
+
+    Every value is a column by itself, never a field of a struct that a window passes on: so Spark leaves out the
+    values, and the sorts for them, that nothing reads.
+    """
     # Events without time are apart from the others of their user, at an instant of their own.
     user = ["user_id", "_dated"]
     at, money = F.col("_at"), F.col("_cents")
@@ -301,9 +305,10 @@ def _of_users(events: DataFrame, tasks: int) -> DataFrame:
                 new = new | (since > LIMITED[horizon])
                 terms[f"{out}_out_{horizon}"] = (has & (until.isNull() | (until > LIMITED[horizon]))).cast("int")
             terms[f"{out}_in_{horizon}"] = (has & new).cast("int")
-    here = F.struct("_at", *rest)
+    here = ["_at", *rest]
     found = {f"_sum_{name}": F.coalesce(F.sum(terms[name]).over(so_far), none) for name in COUNTED}
-    found |= {"_first": F.first(here).over(so_far), "_next": F.lead(here).over(along)}
+    found |= {f"_first{name}": F.first(name).over(so_far) for name in here}
+    found |= {f"_next{name}": F.lead(name).over(along) for name in here}
     found |= {"cents_min_all": F.min(money).over(so_far), "cents_max_all": F.max(money).over(so_far)}
     for horizon, width in LIMITED.items():
         start = _block(at, width)
@@ -315,25 +320,24 @@ def _of_users(events: DataFrame, tasks: int) -> DataFrame:
     gone = {}
     for horizon, width in LIMITED.items():
         before = along.rangeBetween(W.unboundedPreceding, -width - 1)
-        last = F.struct(
-            *[F.col(f"_sum_{source}").alias(out) for out, source in _departures(horizon).items()],
-            *[F.col("_next")[name].alias(name) for name in ("_at", f"_low_{horizon}", f"_high_{horizon}")],
-        )
-        gone[f"_gone_{horizon}"] = F.last(last).over(before)
+        last = {out: f"_sum_{source}" for out, source in _departures(horizon).items()}
+        last |= {name: f"_next{name}" for name in ("_at", f"_low_{horizon}", f"_high_{horizon}")}
+        gone |= {f"_gone_{horizon}_{name}": F.last(source).over(before) for name, source in last.items()}
     rows = rows.select("*", *[column.alias(name) for name, column in gone.items()])
 
     held = {}
     for horizon in HORIZONS:
         width = LIMITED.get(horizon)
-        left = None if width is None else F.col(f"_gone_{horizon}")
+        left = None if width is None else f"_gone_{horizon}_"
         for out, source in _arrivals(horizon).items():
             value = F.col(f"_sum_{source}")
-            held[f"{out}_{horizon}"] = value if left is None else value - F.coalesce(left[out], none)
+            held[f"{out}_{horizon}"] = value if left is None else value - F.coalesce(F.col(left + out), none)
         if left is None:
-            held |= {f"first_ms_{horizon}": F.col("_first")["_at"], f"cents_min_{horizon}": F.col("cents_min_all"),
+            held |= {f"first_ms_{horizon}": F.col("_first_at"), f"cents_min_{horizon}": F.col("cents_min_all"),
                      f"cents_max_{horizon}": F.col("cents_max_all")}
             continue
-        begin = {name: F.when(left.isNull(), F.col("_first")[name]).otherwise(left[name])
+        # An event that is gone always has a next one.
+        begin = {name: F.when(F.col(left + "_at").isNull(), F.col("_first" + name)).otherwise(F.col(left + name))
                  for name in ("_at", f"_low_{horizon}", f"_high_{horizon}")}
         earlier = _block(begin["_at"], width) < _block(at, width)
         held[f"first_ms_{horizon}"] = begin["_at"]

@@ -12,8 +12,14 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join also where the next step must shuffle once more because of it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Spark's own default; named here so that it holds again after a query with WIDE_ROWS.
+    "spark.sql.codegen.hugeMethodLimit": "65535",
 }
 
+# For rows of a hundred worked out columns. The JVM never compiles a method above 8,000 bytes, and one for a
+# whole stage of them is longer; above this limit Spark writes a stage's code by operator, in short methods.
+WIDE_ROWS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 # Taken over by a stream when it starts.
 STREAM_SETTINGS = {
     # Sessions of a task's rows are merged before the shuffle, so a busy user sends few rows.
@@ -41,8 +47,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return session
 
 
-def apply_settings(spark: SparkSession) -> SparkSession:
-    """Set what can be set on a session somebody else started."""
-    for key, value in SETTINGS.items():
+def apply_settings(spark: SparkSession, more: dict[str, str] | None = None) -> SparkSession:
+    """Set what can be set on a session somebody else started; `more` goes before the settings of all queries."""
+    for key, value in {**SETTINGS, **(more or {})}.items():
         spark.conf.set(key, value)
     return spark
