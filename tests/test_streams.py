@@ -267,6 +267,25 @@ def test_session_recommendations_wait_for_the_table(spark):
     assert got.groupBy("session_id", "rank").count().filter("count > 1").count() == 0
 
 
+def test_sessions_of_a_batch_are_not_broadcast(spark):
+    bronze = new_path(spark, "bronze")
+    stored = [(f"e{n}", "u", f"i{n % 3}", "view", n * HOUR // 2) for n in range(9)]
+    spark.createDataFrame(stored, "event_id string, user_id string, item_id string, event_type string, timestamp bigint").withColumn(
+        "event_date", F.to_date(F.timestamp_millis("timestamp"))
+    ).write.parquet(bronze)
+    sessions = spark.createDataFrame(
+        [("a", "u", 0, HOUR, 3), ("b", "u", 2 * HOUR, 2 * HOUR + 1, 2), ("c", "v", 0, 0, 1)],
+        "session_id string, user_id string, first_ms bigint, last_ms bigint, session_length bigint",
+    )
+    found = jobs.session_events(sessions, bronze)
+    assert sorted((r["session_id"], r["event_id"]) for r in found.collect()) == [("a", "e0"), ("a", "e1"), ("a", "e2"), ("b", "e4")]
+    missing = jobs.incomplete_sessions(sessions, found)
+    assert sorted(r["session_id"] for r in missing.collect()) == ["b", "c"]
+    for part in (found, missing):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_stream_settings_end_with_the_start(spark):
     name = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(name, None)

@@ -13,7 +13,7 @@ from tidewell.operators import cache, fraud, recommend, stock, validate, windows
 from tidewell.plans import batch as plans
 from tidewell.sources import topics
 from tidewell.sources.keyed import KeyedTable
-from tidewell.storage import scratch
+from tidewell.storage import scratch, write_once
 from tidewell.streaming import sinks
 
 
@@ -88,6 +88,35 @@ def closed_sessions(events: DataFrame) -> DataFrame:
     ).select("user_id", "first_ms", "last_ms", "session_length")
 
 
+def session_events(sessions: DataFrame, bronze_path: str) -> DataFrame:
+    """The bronze table's events of each session, with its columns.
+
+    A micro-batch may close as many sessions as there are users: they are sorted and merged with the events, never
+    collected by the driver to be broadcast.
+    """
+    span = sessions.agg(F.min("first_ms").alias("first"), F.max("last_ms").alias("last")).first()
+    day = lambda ms: F.to_date(F.timestamp_millis(F.lit(ms)))
+    stored = sessions.sparkSession.read.parquet(bronze_path).filter(F.col("event_date").between(day(span.first), day(span.last)))
+    # Sessions and events meet by user and hour. A session covers few hours and an hour
+    # has few sessions, so no event meets all sessions of a busy user.
+    hour = lambda ms: F.floor(F.col(ms) / F.lit(ordered.HOUR_MS))
+    hours = sessions.withColumn("_hour", F.explode(F.sequence(hour("first_ms"), hour("last_ms"))))
+    placed = stored.select(
+        "event_id", "user_id", "item_id", "event_type", "timestamp", hour("timestamp").alias("_hour")
+    )
+    return placed.join(hours.hint("merge"), ["user_id", "_hour"]).filter(
+        F.col("timestamp").between(F.col("first_ms"), F.col("last_ms"))
+    )
+
+
+def incomplete_sessions(sessions: DataFrame, found: DataFrame) -> DataFrame:
+    """Sessions of which fewer events were found than they have."""
+    counted = found.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n"))
+    return sessions.join(counted.hint("merge"), "session_id", "left").filter(
+        F.coalesce("_n", F.lit(0)) < F.col("session_length")
+    )
+
+
 def recommendation_job(
     events: DataFrame, bronze_path: str, sims: DataFrame, path: str, settings: RecommendConfig = RecommendConfig()
 ):
@@ -98,45 +127,21 @@ def recommendation_job(
     micro-batch fails and is run again.
     """
 
-    def session_events(batch: DataFrame) -> DataFrame:
-        spark = batch.sparkSession
-        span = batch.agg(F.min("first_ms").alias("first"), F.max("last_ms").alias("last")).first()
-        day = lambda ms: F.to_date(F.timestamp_millis(F.lit(ms)))
-        stored = spark.read.parquet(bronze_path).filter(F.col("event_date").between(day(span.first), day(span.last)))
-        # Sessions and events meet by user and hour. A session covers few hours and an hour
-        # has few sessions, so no event meets all sessions of a busy user.
-        hour = lambda ms: F.floor(F.col(ms) / F.lit(ordered.HOUR_MS))
-        hours = batch.withColumn("_hour", F.explode(F.sequence(hour("first_ms"), hour("last_ms"))))
-        placed = stored.select(
-            "event_id", "user_id", "item_id", "event_type", "timestamp", hour("timestamp").alias("_hour")
-        )
-        return placed.join(hours, ["user_id", "_hour"]).filter(
-            F.col("timestamp").between(F.col("first_ms"), F.col("last_ms"))
-        )
-
     def run(batch: DataFrame, _: int) -> DataFrame:
-        named = batch.withColumn("session_id", F.concat_ws("-", "user_id", "first_ms"))
+        named = write_once(batch.withColumn("session_id", F.concat_ws("-", "user_id", "first_ms")), "closed-sessions")
         if named.isEmpty():
             empty = "session_id string, user_id string, item_id string, score double, rank int"
             return batch.sparkSession.createDataFrame([], empty)
-        found = session_events(named)
-        counted = found.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n"))
-        behind = named.join(counted, "session_id", "left").filter(
-            F.coalesce("_n", F.lit(0)) < F.col("session_length")
-        )
-        if not behind.isEmpty():
+        found = write_once(session_events(named, bronze_path), "session-events")
+        if not incomplete_sessions(named, found).isEmpty():
             raise RuntimeError("the bronze table is behind the session stream")
         keys = ["session_id", "user_id"]
         listed = recommend.recommend_weighted(found, sims, settings, keys)
         return listed.unionByName(recommend.cold_start(found, settings, keys))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            with scratch(batch.sparkSession):
-                sinks.batches_to(path, run)(batch, batch_id)
-        finally:
-            batch.unpersist()
+        with scratch(batch.sparkSession):
+            sinks.batches_to(path, run)(batch, batch_id)
 
     valid = validate.validate(events, "fields").filter("valid")
     return closed_sessions(valid).writeStream.outputMode("append").foreachBatch(write)
